@@ -143,7 +143,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         return table.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
 
     placed = rest.groupBy("block").applyInArrow(place, PLACED)
-    alone = full.withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    alone = full.withColumn("sequence_id", F.lit(blocks << 20) + F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
     return placed.unionByName(alone)
 
 

@@ -1,14 +1,17 @@
 """The operators' queries, and their SQL where SQL can express them."""
 
 from retort.llm.chat import OP8_SQL, op8_chat
+from retort.llm.decontamination import OP7_SQL, op7_decontamination
 from retort.llm.packing import op10_packing
 from retort.llm.sharding import op9_sharding
 
 QUERIES = {
+    "op7_decontamination": op7_decontamination,
     "op8_chat": op8_chat,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL = {
+    "op7_decontamination": OP7_SQL,
     "op8_chat": OP8_SQL,
 }
