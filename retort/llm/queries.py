@@ -2,10 +2,12 @@
 
 from retort.llm.chat import OP8_SQL, op8_chat
 from retort.llm.decontamination import OP7_SQL, op7_decontamination
+from retort.llm.html_text import op1_html
 from retort.llm.packing import op10_packing
 from retort.llm.sharding import op9_sharding
 
 QUERIES = {
+    "op1_html": op1_html,
     "op7_decontamination": op7_decontamination,
     "op8_chat": op8_chat,
     "op9_sharding": op9_sharding,
