@@ -46,6 +46,8 @@ CLOSES = {
 }
 SCOPE = frozenset("ul ol table dl article section div main aside nav header footer form body select".split())
 ROOTS = frozenset(["article", "main"])
+#: Containers that may be the region of the content; other blocks are parts of a text.
+REGIONS = frozenset("article body center div html main section table".split())
 SPACE = re.compile(r"\s+")
 RAW = frozenset(["script", "style"])
 _PART = re.compile(r"[^a-z0-9]+")
@@ -102,7 +104,7 @@ class Lines(HTMLParser):
                 if self.stack[depth][0] == "p":
                     self.close_to(depth)
                     break
-                if self.stack[depth][0] in BLOCKS:
+                if self.stack[depth][0] in BLOCKS or self.stack[depth][0] in DROPPED:
                     break
             if ends := CLOSES.get(tag):
                 for depth in range(len(self.stack) - 1, -1, -1):
@@ -121,7 +123,7 @@ class Lines(HTMLParser):
         if out != self.dropped:
             self.flush()
         place = self.place
-        if tag in BLOCKS:
+        if tag in REGIONS:
             self.parents.append(self.place)
             self.kinds.append("main" if (known.get("role") or "").lower() == "main" else tag)
             place = len(self.parents) - 1
