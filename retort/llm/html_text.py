@@ -68,14 +68,14 @@ def marked(attrs: dict[str, str | None]) -> bool:
 
 
 class Lines(HTMLParser):
-    """The blocks of a page as (text, tags, place, link characters, dropped), from the events of one streaming pass."""
+    """The kept blocks of a page as (text, tags, container, link characters), from the events of one streaming pass."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int]] = []  # tag, dropped from here on, number of the container
         self.parents: list[int] = [-1]
         self.kinds: list[str] = [""]
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, int]] = []
         self.text: list[str] = []
         self.tags = self.linked = self.links = 0
         self.place, self.dropped = 0, False
@@ -83,7 +83,7 @@ class Lines(HTMLParser):
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append((text, self.tags, self.place, self.linked, self.dropped))
+            self.lines.append((text, self.tags, self.place, self.linked))
             self.tags = 0
         self.text, self.linked = [], 0
 
@@ -120,8 +120,6 @@ class Lines(HTMLParser):
         known = dict(attrs)
         inner = tag in ("html", "body") or tag in ROOTS and not self.dropped
         out = self.dropped or tag in DROPPED or not inner and marked(known) or tag in ROOTS and bool({"comment", "comments", "reply"} & set((known.get("class") or "").lower().replace("-", " ").replace("_", " ").split()))
-        if out != self.dropped:
-            self.flush()
         place = self.place
         if tag in REGIONS:
             self.parents.append(self.place)
@@ -142,7 +140,7 @@ class Lines(HTMLParser):
         self.tags += 1
         for depth in range(len(self.stack) - 1, -1, -1):
             if self.stack[depth][0] == tag:
-                if tag in BLOCKS or self.stack[depth][1] != (self.stack[depth - 1][1] if depth else False):
+                if tag in BLOCKS:
                     self.flush()
                 self.close_to(depth)
                 return
@@ -152,6 +150,8 @@ class Lines(HTMLParser):
             self.flush()
 
     def handle_data(self, data: str) -> None:
+        if self.dropped:
+            return
         self.text.append(data)
         if self.links:
             self.linked += len(data)
@@ -197,7 +197,7 @@ def main_text(page: str | None, sigma: float = 1.0) -> str:
     parser = Lines()
     parser.feed(page)
     parser.close()
-    lines = [x for x in parser.lines if not x[4]]
+    lines = parser.lines
     if not lines:
         return ""
     chars = np.array([len(x[0]) for x in lines], dtype=np.float64)
