@@ -99,7 +99,8 @@ class Lines(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag in BLOCKS:
-            self.flush()
+            if not self.dropped:
+                self.flush()
             for depth in range(len(self.stack) - 1, -1, -1):
                 if self.stack[depth][0] == "p":
                     self.close_to(depth)
@@ -140,13 +141,13 @@ class Lines(HTMLParser):
         self.tags += 1
         for depth in range(len(self.stack) - 1, -1, -1):
             if self.stack[depth][0] == tag:
-                if tag in BLOCKS:
+                if tag in BLOCKS and not self.dropped:
                     self.flush()
                 self.close_to(depth)
                 return
             if tag not in BLOCKS and self.stack[depth][0] in BLOCKS:
                 return
-        if tag == "p":
+        if tag == "p" and not self.dropped:
             self.flush()
 
     def handle_data(self, data: str) -> None:
