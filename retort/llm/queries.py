@@ -4,12 +4,14 @@ from retort.llm.chat import OP8_SQL, op8_chat
 from retort.llm.decontamination import OP7_SQL, op7_decontamination
 from retort.llm.fingerprints import op2_fingerprints
 from retort.llm.html_text import op1_html
+from retort.llm.language import op3_language
 from retort.llm.packing import op10_packing
 from retort.llm.sharding import op9_sharding
 
 QUERIES = {
     "op1_html": op1_html,
     "op2_fingerprints": op2_fingerprints,
+    "op3_language": op3_language,
     "op7_decontamination": op7_decontamination,
     "op8_chat": op8_chat,
     "op9_sharding": op9_sharding,
