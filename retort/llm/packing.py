@@ -19,7 +19,7 @@ END_ID = 2
 #: Longest piece that the differencing places; longer documents are cut into such pieces, and whole windows.
 MAX_PIECE = 1024
 #: Tokens that one differencing run shares out.
-BLOCK_TOKENS = 512 * CAPACITY
+BLOCK_TOKENS = 256 * CAPACITY
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
@@ -101,9 +101,9 @@ def tokenise(docs: DataFrame, path: str, capacity: int, max_piece: int) -> DataF
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from retort.llm.tokenize import WordTokenizer
+        from retort.llm.tokenize import of_process
 
-        tokenizer, end = WordTokenizer(path), np.array([END_ID], dtype="<u4").tobytes()
+        tokenizer, end = of_process(path), np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

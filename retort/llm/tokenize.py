@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from __future__ import annotations
+
 import re
 
 import numpy as np
@@ -14,6 +16,15 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 or 192 <= b <= 222 and b != 215 else b fo
 #: Characters that libraries class differently; texts with them take the library's own path.
 _ODD = bytes([*range(0x1C, 0x20), 0x85])
 _SPECIAL = "<|"
+_WORD_END = "</w>"
+_of_process: dict[str, WordTokenizer] = {}
+
+
+def of_process(path: str) -> WordTokenizer:
+    """One tokenizer for each worker process: later tasks find its words cached."""
+    if path not in _of_process:
+        _of_process[path] = WordTokenizer(path)
+    return _of_process[path]
 
 
 class WordTokenizer:
@@ -23,10 +34,13 @@ class WordTokenizer:
     Texts outside Latin-1, or with characters that could be special tokens, are encoded whole by the library.
     """
 
-    def __init__(self, path: str, cache_words: int = 250_000):
+    def __init__(self, path: str, cache_words: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith(_WORD_END)]] = True
         self.cache_words = cache_words
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -35,6 +49,18 @@ class WordTokenizer:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _words(self, words: list[bytes], together: int = 2000) -> list[bytes]:
+        """The ids of each word: many words make one text, whose ids are cut after each word's last token."""
+        out: list[bytes] = []
+        for at in range(0, len(words), together):
+            part = [w.decode("latin-1") for w in words[at : at + together]]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            cuts = [0, *(4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()]
+            raw = ids.tobytes()
+            found = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            out += found if len(found) == len(part) and cuts[-1] == len(raw) else self._library(part)
+        return out
+
     def _learn(self, words: set[bytes]) -> None:
         if len(self.young) + len(words) > self.cache_words:
             self.old, self.young = self.young, {}
@@ -45,7 +71,7 @@ class WordTokenizer:
                 missing.append(w)
             else:
                 self.young[w] = ids
-        self.young.update(zip(missing, self._library([w.decode("latin-1") for w in missing]), strict=True))
+        self.young.update(zip(missing, self._words(missing), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
