@@ -87,14 +87,20 @@ class WordTokenizer:
                 whole.append(i)
             else:
                 plain.append((i, _WORD.findall(raw.translate(_LOWER))))
-        if plain:
-            words = set().union(*[w for _, w in plain])
-            if missing := words.difference(self.young):
-                before = self.old
-                self._learn(missing)
-                if self.old is not before:  # a new generation began: bring over what this call needs
-                    self._learn(words.difference(self.young))
-            for i, w in plain:
+        waiting, missing = [], set()
+        for i, w in plain:
+            ids = list(map(self.young.get, w))
+            if None in ids:
+                waiting.append((i, w))
+                missing.update(x for x, known in zip(w, ids, strict=True) if known is None)
+            else:
+                out[i] = b"".join(ids)
+        if waiting:
+            before = self.old
+            self._learn(missing)
+            if self.old is not before:  # a new generation began: bring over what this call needs
+                self._learn(set().union(*[w for _, w in waiting]).difference(self.young))
+            for i, w in waiting:
                 out[i] = b"".join(map(self.young.__getitem__, w))
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = ids
