@@ -6,12 +6,14 @@ from retort.llm.fingerprints import op2_fingerprints
 from retort.llm.html_text import op1_html
 from retort.llm.language import op3_language
 from retort.llm.packing import op10_packing
+from retort.llm.quality import op4_quality
 from retort.llm.sharding import op9_sharding
 
 QUERIES = {
     "op1_html": op1_html,
     "op2_fingerprints": op2_fingerprints,
     "op3_language": op3_language,
+    "op4_quality": op4_quality,
     "op7_decontamination": op7_decontamination,
     "op8_chat": op8_chat,
     "op9_sharding": op9_sharding,
