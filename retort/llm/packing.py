@@ -105,14 +105,12 @@ def tokenise(docs: DataFrame, path: str, capacity: int, max_piece: int) -> DataF
 
         tokenizer, end = of_process(path), np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 rows = []
-                texts = part.column("text").fill_null("").to_pylist()
-                for doc, ids in zip(part.column("doc_id").to_pylist(), tokenizer.encode(texts), strict=True):
-                    ids += end
-                    n = len(ids) // 4
-                    rows += [(doc, s, k, zlib.crc32(ids[4 * s : 4 * (s + k)]), n) for s, k in cut(n, capacity, max_piece)]
+                for doc, ids in zip(part.column("doc_id").to_pylist(), tokenizer.encode(part.column("text")), strict=True):
+                    n, raw = len(ids) + 1, ids.astype("<u4").tobytes() + end
+                    rows += [(doc, s, k, zlib.crc32(raw[4 * s : 4 * (s + k)]), n) for s, k in cut(n, capacity, max_piece)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
