@@ -5,6 +5,7 @@ from retort.llm.decontamination import OP7_SQL, op7_decontamination
 from retort.llm.fingerprints import op2_fingerprints
 from retort.llm.html_text import op1_html
 from retort.llm.language import op3_language
+from retort.llm.neardup import OP5_SQL, op5_neardup
 from retort.llm.packing import op10_packing
 from retort.llm.quality import op4_quality
 from retort.llm.sharding import op9_sharding
@@ -14,12 +15,14 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_language": op3_language,
     "op4_quality": op4_quality,
+    "op5_neardup": op5_neardup,
     "op7_decontamination": op7_decontamination,
     "op8_chat": op8_chat,
     "op9_sharding": op9_sharding,
     "op10_packing": op10_packing,
 }
 ORACLE_SQL = {
+    "op5_neardup": OP5_SQL,
     "op7_decontamination": OP7_SQL,
     "op8_chat": OP8_SQL,
 }
