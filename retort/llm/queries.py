@@ -8,6 +8,7 @@ from retort.llm.language import op3_language
 from retort.llm.neardup import OP5_SQL, op5_neardup
 from retort.llm.packing import op10_packing
 from retort.llm.quality import op4_quality
+from retort.llm.scoring import op6_scoring
 from retort.llm.sharding import op9_sharding
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_quality": op4_quality,
     "op5_neardup": op5_neardup,
+    "op6_scoring": op6_scoring,
     "op7_decontamination": op7_decontamination,
     "op8_chat": op8_chat,
     "op9_sharding": op9_sharding,
