@@ -41,6 +41,17 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def carried(docs: DataFrame, keep: tuple[str, ...], text: str, made: str) -> tuple[DataFrame, str, list[str], str]:
+    """(kept columns and text, the text's name there, kept names, the result's schema) for a map that adds the columns
+    `made`. A kept column whose name is made anew gives way; a kept text isn't sent twice."""
+    taken = {x.split()[0] for x in made.split(", ")}
+    keep = [k for k in dict.fromkeys(keep) if k not in taken]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), made])
+    if text in keep:
+        return docs.select(*keep), text, keep, schema
+    return docs.select(*keep, docs[text].alias("__text")), "__text", keep, schema
+
+
 def parts_for(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))
 

@@ -75,14 +75,15 @@ def intersect(index: DataFrame, planned: DataFrame) -> DataFrame:
     return lists.join(planned.select("item_key", "windows"), "item_key").withColumn("starts", whole).filter(F.size("starts") > 0).drop("windows", "there")
 
 
-def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
-    """doc_id, n_words and matches array<struct<item_id, shift, starts, length>> of every document.
+def phrase_matches(docs: DataFrame, benchmark: DataFrame, *keep: str, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
+    """doc_id, the kept columns, n_words and matches array<struct<item_id, shift, starts, length>> of every document.
 
     A match is an exact occurrence of `length` consecutive words of the item from each of `starts`, at start + shift in
     the document. Null and empty texts have no words and no matches; items of no words are never found; rows that
     repeat an id are separate documents; other columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
+    keep = tuple(k for k in dict.fromkeys(keep) if k not in ("doc_id", "n_words", "matches"))
+    rows, docs = docs, docs.select("doc_id", "text")
     items = stored(items_of(benchmark))
     terms = items.select(F.explode("item_words").alias("term")).distinct()
     n_terms = terms.count()
@@ -92,18 +93,18 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     index = stored(postings(docs, wanted, n_terms))
     candidates = intersect(index, planned).join(planned.select("item_key", "item_id", "item_words"), "item_key")
     per_doc = stored(candidates.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "item_words", "shift", "starts")).alias("candidates")))
-    per_doc = checked_broadcast(per_doc.withColumnRenamed("doc_id", "_doc"), per_doc.count(), BROADCAST_DOCS)
-    texts = docs.withColumn("text_hash", F.xxhash64("text"))
-    joined = texts.join(per_doc, texts["doc_id"].eqNullSafe(per_doc["_doc"]) & (texts["text_hash"] == per_doc["text_hash"]), "left")
-    joined = joined.select("doc_id", words_of(F.col("text")).alias("words"), "candidates")
+    per_doc = checked_broadcast(per_doc.toDF("__doc", "__of", "__candidates"), per_doc.count(), BROADCAST_DOCS)
+    texts = rows.select("doc_id", *keep, F.col("text").alias("__body"), F.xxhash64("text").alias("__hash"))
+    joined = texts.join(per_doc, texts["doc_id"].eqNullSafe(per_doc["__doc"]) & (texts["__hash"] == per_doc["__of"]), "left")
+    joined = joined.select("doc_id", *keep, words_of(F.col("__body")).alias("__words"), "__candidates")
 
     def check(c: Column) -> Column:
         length = F.least(F.lit(window), F.size(c["item_words"]))
-        same = lambda s: F.slice("words", c["shift"] + s + 1, length) == F.slice(c["item_words"], s + 1, length)
+        same = lambda s: F.slice("__words", c["shift"] + s + 1, length) == F.slice(c["item_words"], s + 1, length)
         return F.struct(c["item_id"].alias("item_id"), c["shift"].alias("shift"), F.filter(c["starts"], same).alias("starts"), length.alias("length"))
 
-    found = F.filter(F.transform("candidates", check), lambda m: F.size(m["starts"]) > 0)
-    return joined.select("doc_id", F.size("words").cast("long").alias("n_words"), F.when(F.col("candidates").isNotNull(), found).alias("matches"))
+    found = F.filter(F.transform("__candidates", check), lambda m: F.size(m["starts"]) > 0)
+    return joined.select("doc_id", *keep, F.size("__words").cast("long").alias("n_words"), F.when(F.col("__candidates").isNotNull(), found).alias("matches"))
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int, window: int = WINDOW) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retort.llm.common import ALNUM, LOWER, mix, parts_for, read, salt, text_slices, word_hashes, words
+from retort.llm.common import ALNUM, LOWER, carried, mix, parts_for, read, salt, text_slices, word_hashes, words
 
 #: Words of a k-mer, k-mers of a tuple, tuples of a fingerprint.
 K, TUPLE, SKETCHES = 3, 2, 64
@@ -101,14 +101,14 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def fingerprint(docs: DataFrame, *keep: str, text: str = "text", **params: int) -> DataFrame:
     """The kept columns and each text's fingerprint (hexadecimal). Null counts as empty, all empty texts being alike;
     texts of fewer than k words are one k-mer; white space, punctuation and the case of A-Z don't count."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", fingerprint string"
+    rows, name, kept, schema = carried(docs, keep, text, "fingerprint string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = to_text(fingerprints(batch.column("_text").fill_null("").to_pylist(), **params))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(found, pa.string())], names=[*keep, "fingerprint"])
+            found = to_text(fingerprints(batch.column(name).fill_null("").to_pylist(), **params))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(found, pa.string())], names=[*kept, "fingerprint"])
 
-    return docs.select(*keep, docs[text].alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def in_runs(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from retort.llm.common import read
+from retort.llm.common import carried, read
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
@@ -231,16 +231,16 @@ def main_text(page: str | None, sigma: float = 1.0) -> str:
 
 def extract(pages: DataFrame, html_column: str = "html", *keep: str) -> DataFrame:
     """The kept columns and `text` of every page; repeated rows give repeated results, an empty table an empty one."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*keep).schema) + ", text string"
+    rows, name, kept, schema = carried(pages, keep, html_column, "text string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                texts = pa.array([main_text(p) for p in part.column("_html").to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), texts], names=[*keep, "text"])
+                texts = pa.array([main_text(p) for p in part.column(name).to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in kept), texts], names=[*kept, "text"])
 
-    return pages.select(*keep, pages[html_column].alias("_html")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:

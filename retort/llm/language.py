@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retort.llm.common import crc_of_id, read, text_slices
+from retort.llm.common import carried, crc_of_id, read, text_slices
 
 #: Bytes that the network sees together, its states in each direction, and the windows that one pass handles.
 WINDOW, STATES, PASS_WINDOWS = 64, 8, 4096
@@ -196,21 +196,21 @@ def identify(docs: DataFrame, net: Network | None, *keep: str) -> DataFrame:
 
     A text that is null or has no letter is `und` with score 0, as is every text if no labels were there to learn from.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", lang_pred string, score double"
+    rows, name, kept, schema = carried(docs, keep, "text", "lang_pred string, score double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = batch.column("_text")
+            column = batch.column(name)
             for i, j, data, offsets in text_slices(column):
                 part = batch.slice(i, j - i)
-                known = [net is not None and t is not None and _LETTER.search(t) is not None for t in part.column("_text").to_pylist()]
+                known = [net is not None and t is not None and _LETTER.search(t) is not None for t in part.column(name).to_pylist()]
                 p = pooled(net, data, offsets) if net is not None else np.zeros((j - i, 1))
                 best = p.argmax(axis=1)
                 pred = [net.labels[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
                 score = np.where(known, np.clip(p[np.arange(len(best)), best], 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(pred, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in kept), pa.array(pred, pa.string()), pa.array(score)], names=[*kept, "lang_pred", "score"])
 
-    return docs.select(*keep, docs["text"].alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:

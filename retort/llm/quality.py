@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retort.llm.common import ALNUM, LOWER, NOT_SPACE, mix, read, salt, text_slices, word_hashes, words
+from retort.llm.common import ALNUM, LOWER, NOT_SPACE, carried, mix, read, salt, text_slices, word_hashes, words
 
 #: Hashed weights; labelled documents of each grade in the training sample, at most about so many whatever the table's size.
 BITS, SAMPLE_PER_GRADE = 20, 4000
@@ -159,7 +159,7 @@ def grade(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
 
     Null and empty texts have only the features of an empty text. Equal texts get equal grades.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", expected_grade double, tail_probability double"
+    rows, name, kept, schema = carried(docs, keep, "text", "expected_grade double, tail_probability double")
     used = np.flatnonzero(model.weights)
     packed = (used, model.weights[used], model.thresholds)
 
@@ -168,11 +168,11 @@ def grade(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
         weights[packed[0]] = packed[1]
         own = Model(weights, packed[2])
         for batch in batches:
-            for i, j, data, offsets in text_slices(batch.column("_text")):
+            for i, j, data, offsets in text_slices(batch.column(name)):
                 above = tail(own, scores(own, *features(data, offsets)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(i, j - i) for k in keep), pa.array(above.sum(axis=1)), pa.array(above[:, -1])], names=[*keep, "expected_grade", "tail_probability"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(i, j - i) for k in kept), pa.array(above.sum(axis=1)), pa.array(above[:, -1])], names=[*kept, "expected_grade", "tail_probability"])
 
-    found = docs.select(*keep, docs["text"].alias("_text")).mapInArrow(run, schema)
+    found = rows.mapInArrow(run, schema)
     return found.withColumn("selected", F.col("tail_probability") >= SELECT_AT)
 
 
