@@ -15,6 +15,8 @@ from retort.llm.common import ALNUM, LOWER, NOT_SPACE, carried, mix, read, salt,
 #: Hashed weights; labelled documents of each grade in the training sample, at most about so many whatever the table's size.
 BITS, SAMPLE_PER_GRADE = 20, 4000
 EPOCHS, BATCH, RATE, DECAY, LEAST_DOCS, LEAST_SHARE = 30, 256, 0.3, 1e-3, 5, 0.005
+#: Ids of labelled documents that may be broadcast.
+BROADCAST_IDS = 500_000
 #: A document is selected if the probability of the highest grade is at least this.
 SELECT_AT = 0.2
 # Classes of bytes for shapes: letters of upper and lower case, digits; any other byte is its own class.
@@ -131,15 +133,20 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int, bits: int =
     return Model(weights, cuts)
 
 
-def sample(docs: DataFrame, per_grade: int = SAMPLE_PER_GRADE) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """The features of about per_grade documents of each grade, chosen by a hash of the text; computed where the texts are."""
-    graded = docs.filter("grade is not null")
-    counts = {r["grade"]: r["count"] for r in graded.groupBy("grade").count().collect()}
+def sample(docs: DataFrame, grades: DataFrame, per_grade: int = SAMPLE_PER_GRADE) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """The features of about per_grade documents of each grade, chosen by a hash of the id; computed where the texts are.
+
+    The choice is made among the labels, so that only its ids, a bounded number, go to the texts.
+    """
+    counts = {r["grade"]: r["count"] for r in grades.groupBy("grade").count().collect()}
     if not counts:
         return []
     share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, per_grade / n))])
-    unit = F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = graded.filter(unit < share[F.col("grade")])
+    unit = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    ids = grades.filter(unit < share[F.col("grade")])
+    if sum(min(n, per_grade) for n in counts.values()) <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,14 +183,14 @@ def grade(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     return found.withColumn("selected", F.col("tail_probability") >= SELECT_AT)
 
 
-def graded_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and grade of labelled documents: 0 toxic, 1 of low quality, 2 neither; a label that is null or of no document is left out."""
-    grades = labels.select("doc_id", F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2).alias("grade")).filter("grade is not null")
-    return docs.select("doc_id", "text").join(grades, "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "grade")
+def grades_of(labels: DataFrame) -> DataFrame:
+    """doc_id and grade: 0 toxic, 1 of low quality, 2 neither; labels that are null, or of no document, are left out."""
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    return labels.select("doc_id", grade.alias("grade")).filter("doc_id is not null and grade is not null")
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> Model:
-    return fit(sample(graded_labels(docs, labels)), 3)
+    return fit(sample(docs, grades_of(labels)), 3)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
