@@ -6,11 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from retort.functions import vocab
-from retort.functions.text import one_of, strip
+from retort.functions.text import clean_text, one_of, strip
 
 _NUMBER = r"\d+(?:\.\d+)?"
 _RATIO = rf"(?i)\A\s*(>=|>|≥)?\s*({_NUMBER})\s*[:：/]\s*({_NUMBER})\s*(?:e\.?\s*r\.?)?\s*(?:\(\s*\d+[a-z]?[RSEZ](?:\s*,\s*\d+[a-z]?[RSEZ])*\s*\))?\s*\z"
 _SIGN = "[<>≥≤~]?"
+_PERCENT = rf"[<>≥≤~]?\s*{_NUMBER}\s*%?"
+_PAIR = rf"[<>≥≤~]?\s*{_NUMBER}\s*[:/]\s*[<>≥≤~]?\s*{_NUMBER}"
+# Patterns by metric, in the order in which they are tried.
+METRIC_PATTERNS = {
+    "yield": (rf"(?i)({_PERCENT})\s*(?:yield|isolated)", rf"(?i)yield\s*[:=]?\s*({_PERCENT})", rf"(?i)\A([<>≥≤~]?\s*{_NUMBER}\s*%)\z"),
+    "ee": (rf"(?i)({_PERCENT})\s*ee", rf"(?i)ee\s*[:=]?\s*({_PERCENT})"),
+    "er": (rf"(?i)er\s*[:=]?\s*({_PAIR})", rf"(?i)({_PAIR})\s*er"),
+    "dr": (rf"(?i)dr\s*[:=]?\s*({_PAIR})", rf"(?i)({_PAIR})\s*dr"),
+}
 COMBINED, YIELD_ONLY = "combined_ee_yield", "yield_only"
 
 
@@ -117,30 +126,27 @@ def legacy_score(yield_: Column, ee: Column) -> Column:
 
 
 def extract_metric(text: Column, metric: str) -> Column:
-    """The first value of a metric in free text, by the metric's patterns in order; "" if none."""
-    percent = rf"([<>~≥≤]?\s*{_NUMBER}\s*%)"
-    ratio = rf"([<>~≥≤]?\s*{_NUMBER}\s*[:/]\s*{_NUMBER})"
-    patterns = {
-        "yield": (rf"(?i)\byield\s*[:=]?\s*{percent}", rf"(?i){percent}\s*(?:isolated\s+)?yield\b", rf"(?i){percent}\s*isolated\b"),
-        "ee": (rf"(?i)\bee\s*[:=]?\s*{percent}", rf"(?i){percent}\s*ee\b"),
-        "er": (rf"(?i)\be\.?r\.?\s*[:=]?\s*{ratio}", rf"(?i){ratio}\s*e\.?r\b"),
-        "dr": (rf"(?i)\bd\.?r\.?\s*[:=]?\s*{ratio}", rf"(?i){ratio}\s*d\.?r\b"),
-    }[metric]
-    return F.coalesce(*[F.nullif(F.regexp_replace(F.regexp_extract(text, p, 1), r"\s+", ""), F.lit("")) for p in patterns], F.lit(""))
+    """The first value of a metric in free text, by the metric's patterns in order; "" if none. A text that names other
+    metrics only has no yield."""
+    text = clean_text(text)
+    found = F.coalesce(*[F.nullif(strip(F.regexp_extract(text, p, 1)), F.lit("")) for p in METRIC_PATTERNS[metric]], F.lit(""))
+    if metric != "yield":
+        return found
+    return F.when(~F.lower(text).contains("yield") & text.rlike(r"(?i)\b(?:ee|er|dr)\b"), F.lit("")).otherwise(found)
 
 
 def labelled_value(text: Column, label: str) -> Column:
     """What follows "label:" up to the next comma or semicolon."""
-    return strip(F.regexp_extract(text, rf"(?i)\b{label}\s*[:=]\s*([^,;]+)", 1))
+    return strip(F.regexp_extract(text, rf"(?i){label}\s*[:=]\s*([^;,]+)", 1))
 
 
 def extract_temperature(text: Column) -> Column:
-    return F.regexp_extract(text, r"(?i)(-?\d+(?:\.\d+)?\s*(?:°|º|deg)\s*C|\brt\b|\broom temperature\b)", 1)
+    return strip(F.regexp_extract(text, r"(?i)(-?\d+\s*(?:°C|C)\b|room temperature|rt\b)", 1))
 
 
 def extract_time(text: Column) -> Column:
-    return F.regexp_extract(text, r"(?i)(\d+(?:\.\d+)?\s*(?:h|hours?|hrs?|min|minutes?|days?|d))\b", 1)
+    return F.regexp_extract(text, r"(?i)(\d+(?:\.\d+)?\s*(?:h|hour|hours|min|minutes)\b)", 1)
 
 
 def extract_amount(text: Column) -> Column:
-    return F.regexp_extract(text, r"(?i)(\d+(?:\.\d+)?\s*(?:mol\s*%|equiv|mmol|mol|mg|g|mL|uL|M))(?![A-Za-z])", 1)
+    return F.regexp_extract(clean_text(text), r"(?i)(\d+(?:\.\d+)?\s*(?:mol%|equiv|mmol|mg|g|ml))", 1)
