@@ -1 +1 @@
-
+"""Operators over reactions, edges, questions, pages and logs."""
