@@ -27,6 +27,14 @@ ROW = "unit long, bucket long, kind int, body binary"
 TOKENS, WORDS, COUNTS, BIGRAMS, SCORES, SPLIT, STATS, BASE = range(8)
 
 
+CODEC = pa.Codec("zstd", compression_level=3)
+
+
+def _planes(a: np.ndarray, width: int) -> np.ndarray:
+    """The first bytes of all numbers, then all second ones, and so on: high bytes, mostly alike, compress to nothing."""
+    return np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(-1, width).T)
+
+
 def pack(**arrays: np.ndarray) -> bytes:
     """Arrays in one compressed string; whole numbers in as few bytes as their largest needs."""
     heads, bodies = [], []
@@ -34,8 +42,8 @@ def pack(**arrays: np.ndarray) -> bytes:
         if a.dtype.kind in "iu" and (not len(a) or int(a.min()) >= 0):
             top = int(a.max()) if len(a) else 0
             a = a.astype("u1" if top < 1 << 8 else "u2" if top < 1 << 16 else "u4" if top < 1 << 32 else "u8")
-        raw = np.ascontiguousarray(a).tobytes()
-        small = pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
+        raw = (_planes(a, a.dtype.itemsize) if a.dtype.kind in "iu" else np.ascontiguousarray(a)).tobytes()
+        small = CODEC.compress(raw, asbytes=True) if raw else b""
         heads.append((name, a.dtype.str, len(raw), len(small)))
         bodies.append(small)
     head = json.dumps(heads).encode()
@@ -46,8 +54,10 @@ def unpack(body: bytes) -> dict[str, np.ndarray]:
     n = struct.unpack_from("<I", body)[0]
     at, out = 4 + n, {}
     for name, kind, size, small in json.loads(body[4 : 4 + n]):
-        raw = pa.decompress(body[at : at + small], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
-        out[name], at = np.frombuffer(raw, dtype=kind), at + small
+        raw = CODEC.decompress(body[at : at + small], decompressed_size=size, asbytes=True) if size else b""
+        width = np.dtype(kind).itemsize if np.dtype(kind).kind in "iu" else 1
+        planes = np.frombuffer(raw, np.uint8).reshape(width, -1) if size else np.zeros((width, 0), np.uint8)
+        out[name], at = (np.ascontiguousarray(planes.T) if width > 1 else planes).ravel().view(kind), at + small
     return out
 
 
