@@ -1 +1 @@
-
+"""Event logs as streams."""
