@@ -166,15 +166,14 @@ def trailing_symbol(name: Column) -> Column:
 
 
 def page_score(text: Column) -> Column:
-    """Three for each quantitative word, one for each word of the trade; a page of 3 or more is relevant."""
-    lowered = F.lower(text)
-    count = lambda w: (F.char_length(lowered) - F.char_length(F.replace(lowered, F.lit(w), F.lit("")))) / len(w)
-    score = F.lit(0.0)
-    for w in vocab.QUANTITATIVE_WORDS:
-        score = score + 3 * count(w)
-    for w in vocab.CHEMISTRY_WORDS:
-        score = score + count(w)
-    return F.coalesce(score, F.lit(0.0)).cast("int")
+    """Three for each quantitative word, one for each word of the trade; a page of 3 or more is relevant.
+
+    Words are folded over as an array: written out, they would outgrow what one method may hold and leave compiled code.
+    """
+    weighed = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(n).alias("n")) for words, n in ((vocab.QUANTITATIVE_WORDS, 3), (vocab.CHEMISTRY_WORDS, 1)) for w in words])
+    page = F.lower(F.coalesce(text, F.lit("")))
+    count = lambda x: (F.char_length(page) - F.char_length(F.replace(page, x["w"], F.lit("")))) / F.char_length(x["w"])
+    return F.aggregate(weighed, F.lit(0), lambda done, x: done + (x["n"] * count(x)).cast("int"))
 
 
 def join_pages(pages: Column) -> Column:

@@ -68,7 +68,7 @@ BROKEN_FORMULAS = {
     "alkali_sulfate_gap": r"\b(?:Na|K|Li)\s+SO\b",
     "magnesium_sulfate_missing_subscript": r"\bMgSO(?=\s*(?:[,.;)]|$)|\s+(?:and|was|were|filtered|dried)\b)",
     "bicarbonate_missing_subscript": r"\b(?:Na|K)HCO(?=\s*(?:[,.;)]|$)|\s+(?:solution|was|were)\b)",
-    "nickel_chloride_missing_subscript": r"\bNiCl\s*(?=[([])",
+    "nickel_chloride_missing_subscript": r"\bNiCl\s*(?=[(\[])",
     "chlorinated_solvent_gap": r"\b(?:CH|CD)\s+Cl\b",
     "deuterated_chloroform_missing_subscript": r"\bCDCl(?=\s*(?:[,.;:)]|$))",
     "ether_gap": r"\bEt\s+O\b",

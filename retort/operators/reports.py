@@ -32,7 +32,7 @@ def usage(events: DataFrame) -> DataFrame:
 def cost(usage_rows: DataFrame, prices: DataFrame) -> DataFrame:
     """usage (model, prompt_tokens, completion_tokens) with `usd`, by prices (model, input_usd, output_usd per million)."""
     usd = (F.col("prompt_tokens") * F.col("input_usd") + F.col("completion_tokens") * F.col("output_usd")) / 1e6
-    return usage_rows.join(prices, "model").withColumn("usd", usd)
+    return usage_rows.join(prices, "model").withColumn("usd", usd).drop("input_usd", "output_usd")
 
 
 def default_prices(spark) -> DataFrame:

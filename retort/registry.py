@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from retort.plans import relational, scalar  # noqa: F401  they register their queries
+from retort.plans.base import ORACLE_SQL, QUERIES
 
+FLAGSHIP = QUERIES["edges_to_summary"]
 
-def FLAGSHIP(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/region.parquet")
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
