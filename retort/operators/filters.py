@@ -90,7 +90,8 @@ def registry_reason(symbol: Column, name: Column) -> Column:
 def broken_formulas(texts: DataFrame, *keep: str, column: str = "text") -> DataFrame:
     """The kept columns, line_no, pattern and match of every hit of a pattern of lost subscripts, line by line."""
     lines = texts.select(*keep, F.posexplode(F.split(column, r"\r?\n")).alias("line_no", "line"))
-    hits = F.flatten(F.array(*[F.transform(F.regexp_extract_all("line", F.lit(f"(?i)({p})"), 1), lambda x, n=n: F.struct(F.lit(n).alias("pattern"), x.alias("match"))) for n, p in vocab.BROKEN_FORMULAS.items()]))
+    named = lambda name, found: F.transform(found, lambda x: F.struct(F.lit(name).alias("pattern"), x.alias("match")))
+    hits = F.flatten(F.array(*[named(n, F.regexp_extract_all("line", F.lit(f"(?i)({p})"), 1)) for n, p in vocab.BROKEN_FORMULAS.items()]))
     return lines.select(*keep, (F.col("line_no") + 1).alias("line_no"), F.inline(hits))
 
 

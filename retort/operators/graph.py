@@ -52,8 +52,12 @@ def condition_summaries(conditions: Column) -> Column:
     """array<struct<text, step>>: per step, in order, "label: value" parts joined by "; ", amounts without a solvent first;
     parts without a step come last."""
     spare = F.transform(F.filter(solvent_entries(conditions), lambda e: e["name"] == ""), lambda e: F.struct(e["step"].alias("step"), F.concat(F.lit("solvent_amount: "), e["amount"]).alias("part")))
-    per_label = [F.transform(F.coalesce(F.try_element_at(conditions, F.lit(k)), F.array()), lambda v, label=label: F.struct(v["step"].alias("step"), F.concat(F.lit(f"{label}: "), F.nullif(t.clean_text(v["value"]), F.lit(""))).alias("part"))) for k, label in vocab.CONDITION_LABELS.items()]
-    parts = F.filter(F.concat(spare, *per_label), lambda p: p["part"].isNotNull())
+
+    def labelled(key: str, label: str) -> Column:
+        part = lambda v: F.concat(F.lit(f"{label}: "), F.nullif(t.clean_text(v["value"]), F.lit("")))
+        return F.transform(F.coalesce(F.try_element_at(conditions, F.lit(key)), F.array()), lambda v: F.struct(v["step"].alias("step"), part(v).alias("part")))
+
+    parts = F.filter(F.concat(spare, *[labelled(k, v) for k, v in vocab.CONDITION_LABELS.items()]), lambda p: p["part"].isNotNull())
     steps = F.array_sort(F.array_distinct(F.transform(parts, lambda p: F.coalesce(p["step"], F.lit(1 << 30)))))
     text = lambda s: F.array_join(F.transform(F.filter(parts, lambda p: F.coalesce(p["step"], F.lit(1 << 30)) == s), lambda p: p["part"]), "; ")
     return F.transform(steps, lambda s: F.struct(text(s).alias("text"), F.when(s < (1 << 30), s.cast("string")).otherwise("").alias("step")))

@@ -72,7 +72,8 @@ def reactions_of(payloads: DataFrame, modality: str = "text") -> DataFrame:
 
 def explode_compounds(reactions: DataFrame, roles: tuple[str, ...] = schemas.ROLES) -> DataFrame:
     """order key, field, item_pos and compound of each compound of each role, in one pass over the reactions."""
-    per_role = F.flatten(F.array(*[F.transform(F.coalesce(F.col(f"reaction.{role}"), F.array()), lambda c, i, role=role: F.struct(F.lit(role).alias("field"), i.alias("item_pos"), c.alias("compound"))) for role in roles]))
+    placed = lambda role: F.transform(F.coalesce(F.col(f"reaction.{role}"), F.array()), lambda c, i: F.struct(F.lit(role).alias("field"), i.alias("item_pos"), c.alias("compound")))
+    per_role = F.flatten(F.array(*[placed(role) for role in roles]))
     return reactions.select(*schemas.ORDER_KEY, "source_paper", "reaction.id", F.inline(per_role))
 
 
