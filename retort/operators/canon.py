@@ -33,7 +33,7 @@ def clean_targets(targets: Column) -> Column:
 def step_count(reaction: Column, roles: tuple[str, ...]) -> Column:
     """The largest step that the reaction, its compounds, conditions or intermediates name; null if none."""
     steps = [F.transform(F.coalesce(reaction[r], F.array()), lambda c: c["step"]) for r in roles]
-    steps.append(F.transform(F.flatten(F.map_values(reaction["conditions"])), lambda v: v["step"]))
+    steps.append(F.transform(F.coalesce(F.flatten(F.map_values(reaction["conditions"])), F.array()), lambda v: v["step"]))
     steps.append(F.flatten(F.transform(F.coalesce(reaction["intermediates"], F.array()), lambda i: F.array(i["produced_in_step"], i["consumed_in_step"]))))
     return F.array_max(F.concat(F.array(reaction["step_count"]), *steps))
 

@@ -76,20 +76,20 @@ def numbered(questions: DataFrame, order: Sequence[str], prefix: str) -> DataFra
 def public_condition(reaction: Column) -> Column:
     """The condition that a question shows: conditions, catalysts, ligands and other components, symbols hidden, as canonical text."""
     shown = lambda cs, *fields: F.array_sort(F.transform(F.filter(F.coalesce(cs, F.array()), lambda c: t.clean_text(c["name"]) != ""), lambda c: F.concat_ws("|", *[F.coalesce(c[f].cast("string"), F.lit("")) for f in fields])))
-    entries = F.array_sort(F.transform(F.map_entries(reaction["conditions"]), lambda e: F.concat(e["key"], F.lit("="), F.array_join(F.transform(e["value"], lambda v: F.concat_ws("@", v["value"], v["step"].cast("string"))), ","))))
+    entries = F.array_sort(F.transform(F.coalesce(F.map_entries(reaction["conditions"]), F.array()), lambda e: F.concat(e["key"], F.lit("="), F.array_join(F.transform(e["value"], lambda v: F.concat_ws("@", v["value"], v["step"].cast("string"))), ","))))
     return F.to_json(F.struct(entries.alias("conditions"), shown(reaction["catalysts"], "name").alias("catalysts"), *[shown(reaction[r], "name", "amount", "step").alias(r) for r in ("ligands", "other_components", "additives", "reagents")]))
 
 
 def condition_key(reaction: Column) -> Column:
     """The key under which conditions count as equal for grouping: texts folded, ligand amounts left out, lists sorted."""
     items = lambda cs, amount: F.array_sort(F.transform(F.filter(F.coalesce(cs, F.array()), lambda c: t.clean_text(c["name"]) != ""), lambda c: F.concat_ws("|", t.grouping_text(c["name"], "name"), *([t.grouping_text(F.coalesce(c["amount"], F.lit("")), "amount")] if amount else []))))
-    entries = F.array_sort(F.transform(F.map_entries(reaction["conditions"]), lambda e: F.concat(e["key"], F.lit("="), F.array_join(F.array_sort(F.transform(e["value"], lambda v: F.concat_ws("@", t.grouping_text(v["value"]), v["step"].cast("string")))), ","))))
+    entries = F.array_sort(F.transform(F.coalesce(F.map_entries(reaction["conditions"]), F.array()), lambda e: F.concat(e["key"], F.lit("="), F.array_join(F.array_sort(F.transform(e["value"], lambda v: F.concat_ws("@", t.grouping_text(v["value"]), v["step"].cast("string")))), ","))))
     return F.to_json(F.struct(entries.alias("conditions"), items(reaction["catalysts"], False).alias("catalysts"), items(reaction["ligands"], False).alias("ligands"), *[items(reaction[r], True).alias(r) for r in ("other_components", "additives", "reagents")]))
 
 
 def has_visible_condition(reaction: Column) -> Column:
     parts = [F.size(F.coalesce(reaction[r], F.array())) > 0 for r in ("catalysts", "ligands", "reagents", "additives", "other_components")]
-    out = F.size(reaction["conditions"]) > 0
+    out = F.coalesce(F.size(reaction["conditions"]), F.lit(0)) > 0
     for p in parts:
         out = out | p
     return out
