@@ -26,6 +26,15 @@ def unescape(text: Column) -> Column:
     return text
 
 
+def escape_role(role: Column) -> Column:
+    """As escape(), and without the sign that ends a role."""
+    return F.replace(escape(role), F.lit("|"), F.lit("\\p"))
+
+
+def unescape_role(role: Column) -> Column:
+    return unescape(F.replace(role, F.lit("\\p"), F.lit("|")))
+
+
 def format_chats(turns: DataFrame, conv: str = "conv_id", order: str = "turn") -> DataFrame:
     """conv, formatted string and loss_mask array<struct<start, length>> (code points, from 0) of each conversation.
 
@@ -46,7 +55,7 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", order: str = "turn") -
             ),
         ).otherwise(F.concat(done, F.array(F.struct(t["role"].alias("role"), F.array(t["text"]).alias("texts"))))),
     )
-    head = lambda b: F.concat(F.lit(OPEN), escape(b["role"]), F.lit(CLOSE))
+    head = lambda b: F.concat(F.lit(OPEN), escape_role(b["role"]), F.lit(CLOSE))
     body = lambda b: F.array_join(F.transform(b["texts"], escape), TURN)
     # One piece for each block and each text in it; a piece knows where its text begins once the lengths are summed.
     pieces = F.flatten(
@@ -83,8 +92,8 @@ def parse_chats(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
         F.transform(
             blocks,
             lambda b: F.transform(
-                F.split(F.regexp_replace(b, r"\A<\|[^<]*?\|>", ""), r"<\|turn\|>"),
-                lambda t: F.struct(unescape(F.regexp_extract(b, r"\A<\|([^<]*?)\|>", 1)).alias("role"), unescape(t).alias("text")),
+                F.split(F.regexp_replace(b, r"\A<\|[^<|]*\|>", ""), r"<\|turn\|>"),
+                lambda t: F.struct(unescape_role(F.regexp_extract(b, r"\A<\|([^<|]*)\|>", 1)).alias("role"), unescape(t).alias("text")),
             ),
         )
     )
@@ -115,7 +124,7 @@ WITH turns AS (
 ), placed AS (
   SELECT *, coalesce(lag(role) OVER w = role, false) AS goes_on,
     length(text) + length(text) - length(replace(text, '\', '')) + length(text) - length(replace(text, '<', '')) + length(text) - length(replace(text, '[', '')) AS text_chars,
-    length(role) + length(role) - length(replace(role, '\', '')) + length(role) - length(replace(role, '<', '')) + length(role) - length(replace(role, '[', '')) AS role_chars
+    length(role) + length(role) - length(replace(role, '\', '')) + length(role) - length(replace(role, '<', '')) + length(role) - length(replace(role, '[', '')) + length(role) - length(replace(role, '|', '')) AS role_chars
   FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 )
 SELECT conv_id, count(*) AS n_turns,

@@ -119,10 +119,10 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int, window:
     one = planned.select("item_id", "item_words", F.explode("windows").alias("w"))
     one = one.select("item_id", F.col("w.start").alias("start"), F.col("w.anchors")[0].alias("anchor"), F.slice("item_words", F.col("w.start") + 1, window).alias("phrase"))
     one = one.withColumn("term", F.element_at("phrase", F.col("anchor") - F.col("start") + 1))
-    begun = index.join(one, "term").withColumnRenamed("at", "anchor_at")
-    need = begun.select("doc_id", "text_hash", "item_id", "start", "anchor_at", "anchor", F.size("phrase").alias("n"), F.posexplode("phrase").alias("k", "term"))
+    begun = index.join(one, "term").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "item_id", "start", F.col("at").alias("anchor_at"), "anchor", "phrase")
+    need = begun.select("_doc", "_hash", "item_id", "start", "anchor_at", "anchor", F.size("phrase").alias("n"), F.posexplode("phrase").alias("k", "term"))
     near = F.abs(F.col("at") - F.col("anchor_at") - (F.col("start") + F.col("k") - F.col("anchor"))) <= slop
-    met = need.withColumnRenamed("doc_id", "_doc").join(index, "term").filter(F.col("_doc").eqNullSafe(F.col("doc_id")) & (need["text_hash"] == index["text_hash"]) & near)
+    met = need.join(index, "term").filter(F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")) & near)
     keys = ["doc_id", "item_id", "start", "anchor_at"]
     return met.groupBy(*keys, "n").agg(F.count_distinct("k").alias("met")).filter("met = n").select("doc_id", "item_id", "start", F.col("anchor_at").alias("at"))
 
