@@ -121,11 +121,22 @@ def positional_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], va
     return a.join(b, list(keys), "full_outer").filter(~F.col("before").eqNullSafe(F.col("after")))
 
 
-def contains_join(rows: DataFrame, aliases: DataFrame, text: str, alias: str) -> DataFrame:
-    """rows x aliases where the text holds the alias. Aliases are few: their side is broadcast only below a checked size."""
-    n = aliases.count()
-    side = F.broadcast(aliases) if n <= 10_000 else aliases
-    return rows.join(side, F.contains(F.col(text), F.col(alias)))
+def contains_join(rows: DataFrame, aliases: DataFrame, text: str, alias: str, block_chars: int = 4_000_000) -> DataFrame:
+    """rows x aliases where the text holds the alias.
+
+    The aliases are a stated set that meets all rows in blocks of about block_chars characters, each of them broadcast;
+    one block is usual.
+    """
+    size = aliases.agg(F.sum(F.char_length(alias) + 64)).first()[0] or 0
+    blocks = 1 + size // block_chars
+    hit = F.contains(F.col(text), F.col(alias))
+    if blocks == 1:
+        return rows.join(F.broadcast(aliases), hit)
+    found = None
+    for b in range(blocks):
+        part = rows.join(F.broadcast(aliases.filter(F.pmod(F.xxhash64(alias), F.lit(blocks)) == b)), hit)
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def range_join(points: DataFrame, spans: DataFrame, point: str, low: str, high: str, width: int) -> DataFrame:

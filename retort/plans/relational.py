@@ -94,7 +94,7 @@ def candidate_antijoin(spark, table):
 
 @query(
     "full_outer_pairing",
-    """WITH c AS (SELECT c_nationkey AS nation, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS n FROM customer), s AS (SELECT s_nationkey AS nation, s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS n FROM supplier)
+    """WITH c AS (SELECT c_nationkey AS nation, c_custkey, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey))::INTEGER AS n FROM customer), s AS (SELECT s_nationkey AS nation, s_suppkey, (row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey))::INTEGER AS n FROM supplier)
        SELECT coalesce(c.nation, s.nation) AS nation, coalesce(c.n, s.n) AS n, c_custkey, s_suppkey FROM c FULL JOIN s ON c.nation = s.nation AND c.n = s.n""",
 )
 def full_outer_pairing(spark, table):
@@ -282,7 +282,7 @@ def qa_top3(spark, table):
 
 @query(
     "qa_window_ranks",
-    """SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY (p_size > 10) DESC, p_size DESC, p_partkey::VARCHAR) AS rank, p_size > 10 AND p_size = max(p_size) FILTER (p_size > 10) OVER (PARTITION BY p_brand) AS is_gold FROM part""",
+    """SELECT p_partkey, (row_number() OVER (PARTITION BY p_brand ORDER BY (p_size > 10) DESC, p_size DESC, p_partkey::VARCHAR))::INTEGER AS rank, p_size > 10 AND p_size = max(p_size) FILTER (p_size > 10) OVER (PARTITION BY p_brand) AS is_gold FROM part""",
 )
 def qa_window_ranks(spark, table):
     return questions.rank_options(table("part"), ["p_brand"], F.col("p_size") > 10, F.col("p_size"), "p_partkey").select("p_partkey", "rank", "is_gold")

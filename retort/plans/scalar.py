@@ -154,7 +154,7 @@ def paper_keys(spark, table):
     return table("pages").select("page_id", t.paper_key(F.col("url")).alias("paper_key"))
 
 
-@query("page_numbers", "SELECT o_orderkey, list_sort(list_distinct([o_custkey % 50 + 1, o_orderkey % 30 + 1])) AS pages FROM orders")
+@query("page_numbers", "SELECT o_orderkey, list_sort(list_distinct([o_custkey % 50 + 1, o_orderkey % 30 + 1]))::INTEGER[] AS pages FROM orders")
 def page_numbers(spark, table):
     text = F.concat(F.lit("page "), (F.col("o_custkey") % 50 + 1).cast("string"), F.lit(", p. "), (F.col("o_orderkey") % 30 + 1).cast("string"), F.lit(" and 0"))
     return table("orders").select("o_orderkey", t.page_numbers(text).alias("pages"))
@@ -209,7 +209,7 @@ def modality_names(spark, table):
 
 @query(
     "formula_hits",
-    r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
+    r"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1)::INTEGER AS line_no FROM documents),
        h AS (SELECT doc_id, line_no, 'ether_gap' AS pattern, unnest(regexp_extract_all(line, '(?i)\bEt\s+O\b')) AS match FROM l
        UNION ALL SELECT doc_id, line_no, 'alkali_sulfate_gap', unnest(regexp_extract_all(line, '(?i)\b(?:Na|K|Li)\s+SO\b')) FROM l
        UNION ALL SELECT doc_id, line_no, 'alkali_carbonate_gap', unnest(regexp_extract_all(line, '(?i)\b(?:Na|K|Li)\s+CO\b')) FROM l
