@@ -12,8 +12,8 @@ from retort.llm.common import read, stored
 WINDOW = 10
 #: Terms of a window, rarest in the documents first, whose posting lists are intersected before the text is compared.
 RAREST = 2
-#: Rows that may be broadcast: of index terms, and of documents with candidates. Beyond, Spark shuffles.
-BROADCAST_TERMS, BROADCAST_DOCS = 200_000, 20_000
+#: Bytes of a table that may be broadcast, once they are counted. Beyond, Spark shuffles.
+BROADCAST_BYTES = 32 << 20
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -24,8 +24,10 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(lowered, F.lit("")), _BETWEEN), lambda w: w != "")
 
 
-def checked_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
+def checked_broadcast(df: DataFrame, *measured: Column) -> DataFrame:
+    """df, to be broadcast if the measured columns, and 64 bytes a row, are within BROADCAST_BYTES. df should be stored."""
+    size = F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in measured), F.lit(64)).cast("long"))
+    return F.broadcast(df) if (df.agg(size).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -33,16 +35,16 @@ def items_of(benchmark: DataFrame, item: str = "item_id", text: str = "text") ->
     return benchmark.select(F.col(item).alias("item_id"), words_of(F.col(text)).alias("item_words")).filter(F.size("item_words") > 0)
 
 
-def term_counts(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
+def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """term and its occurrences in all documents, for the given terms."""
     tokens = docs.select(F.explode(words_of(F.col("text"))).alias("term"))
-    return tokens.join(checked_broadcast(terms, n_terms, BROADCAST_TERMS), "term").groupBy("term").agg(F.count("*").alias("n"))
+    return tokens.join(checked_broadcast(terms, F.col("term")), "term").groupBy("term").agg(F.count("*").alias("n"))
 
 
-def postings(docs: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
+def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """The positional index: term, document (doc_id and a hash of its text) and position of every occurrence."""
     tokens = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(words_of(F.col("text"))).alias("at", "term"))
-    return tokens.join(checked_broadcast(terms, n_terms, BROADCAST_TERMS), "term").select("term", "doc_id", "text_hash", "at")
+    return tokens.join(checked_broadcast(terms, F.col("term")), "term").select("term", "doc_id", "text_hash", "at")
 
 
 def plan_windows(items: DataFrame, counts: DataFrame, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
@@ -85,15 +87,13 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, *keep: str, window: in
     keep = tuple(k for k in dict.fromkeys(keep) if k not in ("doc_id", "n_words", "matches"))
     rows, docs = docs, docs.select("doc_id", "text")
     items = stored(items_of(benchmark))
-    terms = items.select(F.explode("item_words").alias("term")).distinct()
-    n_terms = terms.count()
-    counts = term_counts(docs, terms, n_terms)
+    counts = term_counts(docs, items.select(F.explode("item_words").alias("term")).distinct())
     planned = stored(plan_windows(items, counts, window, rarest))
     wanted = planned.select("item_words", F.explode("windows").alias("w")).select(F.explode(F.transform("w.anchors", lambda a: F.element_at("item_words", a + 1))).alias("term")).distinct()
-    index = stored(postings(docs, wanted, n_terms))
+    index = stored(postings(docs, wanted))
     candidates = intersect(index, planned).join(planned.select("item_key", "item_id", "item_words"), "item_key")
     per_doc = stored(candidates.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "item_words", "shift", "starts")).alias("candidates")))
-    per_doc = checked_broadcast(per_doc.toDF("__doc", "__of", "__candidates"), per_doc.count(), BROADCAST_DOCS)
+    per_doc = checked_broadcast(per_doc.toDF("__doc", "__of", "__candidates"), F.to_json("__candidates"))
     texts = rows.select("doc_id", *keep, F.col("text").alias("__body"), F.xxhash64("text").alias("__hash"))
     joined = texts.join(per_doc, texts["doc_id"].eqNullSafe(per_doc["__doc"]) & (texts["__hash"] == per_doc["__of"]), "left")
     joined = joined.select("doc_id", *keep, words_of(F.col("__body")).alias("__words"), "__candidates")
@@ -112,9 +112,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, slop: int, window:
     window's rarest term at `at`; slop 0 gives the exact phrases. Every term of every window is indexed."""
     docs = docs.select("doc_id", "text")
     items = stored(items_of(benchmark))
-    terms = items.select(F.explode("item_words").alias("term")).distinct()
-    n_terms = terms.count()
-    index = stored(postings(docs, terms, n_terms))
+    index = stored(postings(docs, items.select(F.explode("item_words").alias("term")).distinct()))
     planned = plan_windows(items, index.groupBy("term").agg(F.count("*").alias("n")), window, 1)
     one = planned.select("item_id", "item_words", F.explode("windows").alias("w"))
     one = one.select("item_id", F.col("w.start").alias("start"), F.col("w.anchors")[0].alias("anchor"), F.slice("item_words", F.col("w.start") + 1, window).alias("phrase"))
