@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -29,8 +30,12 @@ def squeeze(value: Column) -> Column:
 
 
 def clean_text(value: Column, empty: Iterable[str] = vocab.KG_EMPTY) -> Column:
-    """Trimmed and single-spaced; "" for null and for the words that mean nothing."""
-    return F.when(one_of(value, tuple(empty)), F.lit("")).otherwise(squeeze(value))
+    """Trimmed and single-spaced; "" for null and for the words that mean nothing.
+
+    The value stands in it once: normalisers are nested, and each repetition would double the plan.
+    """
+    words = "|".join(re.escape(w) for w in empty if w)
+    return F.coalesce(F.regexp_replace(F.regexp_replace(strip(value), rf"(?i)\A(?:{words})\z", ""), _RUN, " "), F.lit(""))
 
 
 def clean_list(values: Column, glue: str = ", ", empty: Iterable[str] = vocab.KG_EMPTY) -> Column:
@@ -41,7 +46,8 @@ def clean_list(values: Column, glue: str = ", ", empty: Iterable[str] = vocab.KG
 
 def first_text(*values: Column) -> Column:
     """The first that isn't empty after cleaning, else ""."""
-    return F.coalesce(*[F.nullif(clean_text(v), F.lit("")) for v in values], F.lit(""))
+    some = F.filter(F.array(*[clean_text(v) for v in values]), lambda v: v != "")
+    return F.coalesce(F.try_element_at(some, F.lit(1)), F.lit(""))
 
 
 def normalize_iupac(value: Column) -> Column:

@@ -18,14 +18,14 @@ def first_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str], *v
 
     An aggregate, so that each task hands on one row for each key it has; the order must be unique in a key.
     """
-    first = F.min(F.struct(*order, *[v for v in values if v not in order]))
+    first = F.min_by(F.struct(*values), F.struct(*order))
     return rows.groupBy(*keys).agg(first.alias("_first")).select(*keys, *[F.col(f"_first.{v}").alias(v) for v in values])
 
 
 def dedupe_union(rows: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str], union: str) -> DataFrame:
     """As first_per_key(), and `union`: the sorted distinct elements of that array of all the key's rows."""
     found = rows.groupBy(*keys).agg(
-        F.min(F.struct(*order, *[v for v in values if v not in order])).alias("_first"),
+        F.min_by(F.struct(*values), F.struct(*order)).alias("_first"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(union)))).alias(union),
     )
     return found.select(*keys, *[F.col(f"_first.{v}").alias(v) for v in values], union)

@@ -37,9 +37,10 @@ def basic_reason(left: Column, right: Column) -> Column:
 def label_reactions(reactions: DataFrame) -> DataFrame:
     """reactions (rows with a struct `reaction`) and `reason`: a basic rule, `target`, or null for those that stay."""
     r, target = F.col("reaction"), F.col("reaction.targets")
-    basic = basic_reason(F.transform(r["substrates"], compound_name), F.transform(r["products"], compound_name))
+    named = reactions.withColumns({"_left": F.transform(r["substrates"], compound_name), "_right": F.transform(r["products"], compound_name)})
     passes = m.target_passes(*[F.col(f"reaction.targets.{k}") for k in ("yield", "ee", "er", "dr")])
-    return reactions.withColumn("reason", F.coalesce(basic, F.when(target.isNull() | ~passes, "target")))
+    basic = basic_reason(F.col("_left"), F.col("_right"))
+    return named.withColumn("reason", F.coalesce(basic, F.when(target.isNull() | ~passes, "target"))).drop("_left", "_right")
 
 
 def filter_stats(labelled: DataFrame, *by: str) -> DataFrame:

@@ -70,7 +70,13 @@ def _edges(items: Column, relation: str, y_type: str, name: Callable, step: Call
     )
 
 
-def text_edges(reactions: DataFrame, policy: str = "resolved") -> DataFrame:
+def image_edges(reactions: DataFrame) -> DataFrame:
+    """As text_edges(), for reactions of images (with `source_image`): structures name compounds, nothing is said of pages or
+    intermediates, and each reaction points to its image."""
+    return text_edges(reactions, "resolved", image=True)
+
+
+def text_edges(reactions: DataFrame, policy: str = "resolved", image: bool = False) -> DataFrame:
     """The edges of reactions (source_paper, reaction struct): one pass, an array of edges for each reaction, inlined.
 
     Compounds without a name are an `unknown` node, intermediates without one vanish. Additives and reagents are other
@@ -78,7 +84,8 @@ def text_edges(reactions: DataFrame, policy: str = "resolved") -> DataFrame:
     """
     r = F.col("reaction")
     no_step = lambda c: F.lit("")
-    named = lambda c: t.first_text(display_name(c), F.lit("unknown"))
+    named = lambda c: t.first_text(image_display_name(c) if image else display_name(c), F.lit("unknown"))
+    picture = F.col("source_image") if image else F.lit("")
     role = lambda field, relation, name=named: _edges(r[field], relation, "Compound", name, lambda c: c["step"], lambda c: t.clean_text(c["amount"]))
     inter = F.filter(F.coalesce(r["intermediates"], F.array()), lambda i: t.first_text(i["name"], i["symbol"]) != "")
     inter_name = lambda i: t.first_text(i["name"], i["symbol"])
@@ -92,7 +99,7 @@ def text_edges(reactions: DataFrame, policy: str = "resolved") -> DataFrame:
         one("OF_TYPE", of_type, "ReactionType"),
         _edges(solvents, "USES_SOLVENT", "Compound", lambda e: e["name"], lambda e: e["step"], lambda e: e["amount"]),
         F.transform(condition_summaries(r["conditions"]), lambda c: F.struct(F.lit("HAS_CONDITION").alias("relationship"), c["text"].alias("y_name"), F.lit("Condition").alias("y_type"), c["step"].alias("step"), F.lit("").alias("amount"))),
-        role("substrates", "USES_SUBSTRATE", lambda c: t.first_text(substrate_display_name(c, policy), F.lit("unknown"))),
+        role("substrates", "USES_SUBSTRATE", named if image else lambda c: t.first_text(substrate_display_name(c, policy), F.lit("unknown"))),
         role("products", "PRODUCES"),
         role("catalysts", "USES_CATALYST"),
         role("ligands", "USES_LIGAND"),
@@ -102,10 +109,12 @@ def text_edges(reactions: DataFrame, policy: str = "resolved") -> DataFrame:
         _edges(F.filter(inter, lambda i: i["produced_in_step"].isNotNull()), "PRODUCES_INTERMEDIATE", "Compound", inter_name, lambda i: i["produced_in_step"]),
         _edges(F.filter(inter, lambda i: i["consumed_in_step"].isNotNull()), "USES_INTERMEDIATE", "Compound", inter_name, lambda i: i["consumed_in_step"]),
     )
-    node = F.concat(F.lit("TextReaction:"), F.col("source_paper"), F.lit(":"), r["id"])
+    if image:
+        everything = F.concat(F.filter(everything, lambda e: ~e["relationship"].isin("PRODUCES_INTERMEDIATE", "USES_INTERMEDIATE")), one("EXTRACTED_FROM_IMAGE", picture, "Image"))
+    node = F.concat_ws(":", F.lit("ImageReaction" if image else "TextReaction"), F.col("source_paper"), *([picture] if image else []), r["id"])
     target = lambda k: t.clean_text(r["targets"][k]).alias(k)
-    rows = reactions.select(node.alias("x_name"), F.lit("Reaction").alias("x_type"), F.col("source_paper").alias("pdf_name"), F.array_join(F.transform(F.coalesce(r["source_pages"], F.array()), lambda p: p.cast("string")), ", ").alias("source_pages"), *[target(k) for k in ("yield", "ee", "er", "dr")], F.inline(everything))
-    rows = rows.withColumn("reaction_id", F.col("x_name")).withColumn("source_modality", F.lit("text")).withColumn("source_image", F.lit(""))
+    rows = reactions.select(node.alias("x_name"), F.lit("Reaction").alias("x_type"), F.col("source_paper").alias("pdf_name"), (F.lit("") if image else F.array_join(F.transform(F.coalesce(r["source_pages"], F.array()), lambda p: p.cast("string")), ", ")).alias("source_pages"), picture.alias("source_image"), *[target(k) for k in ("yield", "ee", "er", "dr")], F.inline(everything))
+    rows = rows.withColumn("reaction_id", F.col("x_name")).withColumn("source_modality", F.lit("image" if image else "text"))
     return dedupe_edges(route_amounts(rows)).select(*vocab.EDGE_COLUMNS)
 
 

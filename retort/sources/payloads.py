@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retort import schemas
+from retort.functions import metrics as m
 from retort.functions import text as t
 
 
@@ -70,6 +71,46 @@ def reactions_of(payloads: DataFrame, modality: str = "text") -> DataFrame:
     return rows.select(t.paper_key(F.col("file")).alias("paper_key"), F.lit(modality).alias("source_modality"), F.col("file").alias("file_pos"), "reaction_pos", "source_paper", body.alias("reaction"))
 
 
+def image_reactions_of(payloads: DataFrame) -> DataFrame:
+    """As reactions_of(), of image records; those with an error are left out. Reactants are substrates, and the condition
+    rows of a reaction go to catalysts (ligands too), additives, reagents, conditions or targets by their effective role."""
+    v = F.col("payload")
+    head = payloads.filter(F.coalesce(F.lower(_text(v, "$.status")), F.lit("ok")) != "error").select("file", t.paper_name(_text(v, "$.pdf_name"), _text(v, "$.pdf_name"), F.col("file")).alias("source_paper"), F.coalesce(_text(v, "$.image_name"), F.lit("")).alias("source_image"), F.posexplode(F.try_variant_get(v, "$.reactions", "array<variant>")).alias("reaction_pos", "r"))
+    r = F.col("r")
+    listed = F.coalesce(F.try_variant_get(r, "$.conditions", "array<variant>"), F.expr("cast(array() as array<variant>)"))
+    role = lambda x: t.direct_role(t.effective_role(_text(x, "$.refined_role"), F.coalesce(_text(x, "$.original_role"), _text(x, "$.role"))))
+    said = lambda x: t.first_text(_text(x, "$.text"), _text(x, "$.label"), _text(x, "$.iupac_name"), _text(x, "$.smiles"))
+    rows = F.transform(listed, lambda x: F.struct(role(x).alias("role"), said(x).alias("value"), x.alias("x")))
+    of = lambda test: F.filter("rows", lambda c: test(c["role"]))
+    outcome, setting = ("yield", "ee", "er", "dr"), ("solvent", "temperature", "time", "concentration", "volume", "atmosphere", "light", "wavelength")
+    compound = lambda c: F.from_json(F.to_json(F.struct(t.strip_amounts(c["value"]).alias("name"), _text(c["x"], "$.smiles").alias("smiles"), _text(c["x"], "$.iupac_name").alias("iupac_name"), _text(c["x"], "$.label").alias("label"), F.nullif(m.extract_amount(c["value"]), F.lit("")).alias("amount"))), schemas.COMPOUND)
+    compounds = lambda test: F.transform(of(test), compound)
+    known = ("catalyst", "ligand", "additive", "base", *outcome, *setting)
+    empty = F.expr(f"cast(array() as array<{schemas.COMPOUND}>)")
+    target = lambda k: F.try_element_at(F.transform(of(lambda x: x == k), lambda c: c["value"]), F.lit(1)).alias(k)
+    values = lambda k: F.transform(of(lambda x: x == k), lambda c: F.struct(F.lit(None).cast("int").alias("step"), c["value"].alias("value")))
+    settings = F.map_filter(F.map_from_entries(F.array(*[F.struct(F.lit(k).alias("key"), values(k).alias("value")) for k in setting])), lambda _, v: F.size(v) > 0)
+    parts = {
+        "substrates": _compounds(F.try_variant_get(r, "$.reactants", "variant")),
+        "products": _compounds(F.try_variant_get(r, "$.products", "variant")),
+        "catalysts": compounds(lambda x: x.isin("catalyst", "ligand")),
+        "additives": compounds(lambda x: x.isin("additive", "base")),
+        "reagents": compounds(lambda x: ~x.isin(*known)),
+    }
+    body = F.struct(
+        F.coalesce(F.nullif(t.clean_text(_text(r, "$.reaction_id")), F.lit("")), F.concat(F.lit("image_reaction_"), F.col("reaction_pos") + 1)).alias("id"),
+        _text(r, "$.reaction_type").alias("reaction_type"),
+        F.lit(None).cast("array<int>").alias("source_pages"),
+        F.lit(None).cast("int").alias("step_count"),
+        F.lit(None).cast("string").alias("gp_source"),
+        *[parts.get(k, empty).alias(k) for k in schemas.ROLES],
+        F.lit(None).cast(f"array<{schemas.INTERMEDIATE}>").alias("intermediates"),
+        settings.alias("conditions"),
+        F.struct(*[target(k) for k in outcome]).alias("targets"),
+    )
+    return head.withColumn("rows", rows).select(t.paper_key(F.col("file")).alias("paper_key"), F.lit("image").alias("source_modality"), F.col("file").alias("file_pos"), "reaction_pos", "source_paper", "source_image", body.alias("reaction"))
+
+
 def explode_compounds(reactions: DataFrame, roles: tuple[str, ...] = schemas.ROLES) -> DataFrame:
     """order key, field, item_pos and compound of each compound of each role, in one pass over the reactions."""
     placed = lambda role: F.transform(F.coalesce(F.col(f"reaction.{role}"), F.array()), lambda c, i: F.struct(F.lit(role).alias("field"), i.alias("item_pos"), c.alias("compound")))
