@@ -177,9 +177,10 @@ def page_score(text: Column) -> Column:
     Words are folded over as an array: written out, they would outgrow what one method may hold and leave compiled code.
     """
     weighed = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(n).alias("n")) for words, n in ((vocab.QUANTITATIVE_WORDS, 3), (vocab.CHEMISTRY_WORDS, 1)) for w in words])
-    page = F.lower(F.coalesce(text, F.lit("")))
-    count = lambda x: (F.char_length(page) - F.char_length(F.replace(page, x["w"], F.lit("")))) / F.char_length(x["w"])
-    return F.aggregate(weighed, F.lit(0), lambda done, x: done + (x["n"] * count(x)).cast("int"))
+    count = lambda page, x: (F.octet_length(page) - F.octet_length(F.replace(page, x["w"], F.lit("")))) / F.octet_length(x["w"])
+    score = lambda page: F.aggregate(weighed, F.lit(0), lambda done, x: done + (x["n"] * count(page, x)).cast("int"))
+    # The page is the one element of an array, so that it is lower-cased once and not for each word.
+    return F.transform(F.array(F.lower(F.coalesce(text, F.lit("")))), score)[0]
 
 
 def join_pages(pages: Column) -> Column:
