@@ -101,8 +101,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in text_slices(batch.column("text")):
-                found, times, n = shingles(data, offsets)
-                marks = dart_minhash(found, 1 + np.log(times), n)
+                found, _, n = shingles(data, offsets)
+                marks = dart_minhash(found, np.ones(len(found)), n)  # links are by distinct shingles, so each weighs the same
                 ends = np.cumsum(n)
                 keys = [hashlib.md5(b"s" + found[e - k : e].tobytes() if k else b"t" + data[a:z].tobytes()).digest() for e, k, a, z in zip(ends, n, offsets, offsets[1:], strict=False)]
                 bands = [x.tolist() if k else [] for x, k in zip(band_keys(marks), n, strict=True)]

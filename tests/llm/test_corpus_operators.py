@@ -76,6 +76,18 @@ def test_classes_against_all_pairs(spark):
     assert got == shingle_classes(rows)
 
 
+def test_copies_whose_repeat_counts_differ(spark):
+    rows = []
+    for k in range(40):  # 60 words once and a line of 24, fifty times or once, with one word replaced
+        once, line = [f"o{k}x{i}" for i in range(64)], [f"l{k}x{i}" for i in range(24)]
+        rows.append((2 * k, " ".join(once + line * 50)))
+        rows.append((2 * k + 1, " ".join([*once[:30], "new", *once[31:], *line, *line[:4]])))
+    expected = shingle_classes(rows)
+    assert sum(expected[2 * k + 1] == 2 * k for k in range(40)) == 40
+    got = {x.doc_id: x.class_id for x in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == expected
+
+
 def test_connected(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60) if i % 20 != 19] + [(100 + r.randrange(50), 100 + r.randrange(50)) for _ in range(40)]
