@@ -18,8 +18,8 @@ BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
 #: A pair's exact similarity is computed if its signatures agree on this share, 2.8 standard deviations under LEAST.
 LEAST_AGREEMENT = 0.7
-#: Neighbours in a sorted bucket with which a text of another class so far is compared.
-REACH = 8
+#: Members of a bucket in a chunk; every two chunks of a bucket meet in a block, so that a large one spreads over tasks.
+CHUNK = 128
 #: Ids that may be broadcast as a filter; beyond, Spark shuffles.
 BROADCAST_IDS = 500_000
 
@@ -145,44 +145,66 @@ def similarities(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFra
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long, similarity double")
 
 
-def agreement(a: str, b: str) -> F.Column:
-    """The share of coordinates in which two marks agree."""
-    same = F.transform(F.sequence(F.lit(1), F.lit(COORDINATES)), lambda i: F.when(F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1)), 1).otherwise(0))
-    return F.aggregate(same, F.lit(0), lambda x, y: x + y) / COORDINATES
-
-
-def neighbours(rows: DataFrame) -> DataFrame:
-    """a, b: texts of different parts that stand within REACH of each other in a bucket sorted by the coordinates after
-    its band's, so that those with most in common are near, and whose signatures agree. Left out, exactly, are pairs
-    whose distances (1 - similarity, a metric) from one hub differ by more than a link allows, and pairs of a text and
-    its hub, which are known. Buckets are dealt out by ranges
-    of (bucket, coordinates), so that a large one spreads over tasks, which hold REACH rows each."""
+def partners(rows: DataFrame, nearest: bool = False) -> DataFrame:
+    """a, b: all pairs of texts of different parts that share a bucket and whose signatures agree; with `nearest`, of
+    each text the nearest in each block only. Left out, exactly, are pairs whose distances (1 - similarity, a metric)
+    from one hub differ by more than a link allows, pairs of a text and its hub, which are known, and all but the first
+    of the buckets that a pair shares."""
+    columns = ("bucket", "x", "y", "chunk", "node", "part", "hub", "far")
+
+    def pairs_of(t: dict[str, np.ndarray], starts: np.ndarray) -> pa.RecordBatch:
+        marks, bands = t["marks"], t["bands"]
+        group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+        found = []
+        for step in range(1, int(np.diff(starts).max(initial=1))):
+            i = np.flatnonzero(group[:-step] == group[step:])
+            j = i + step
+            ok = (t["part"][i] != t["part"][j]) & ((t["chunk"][i] != t["chunk"][j]) | (t["x"][i] == t["y"][i])) & (t["hub"][i] != t["node"][j]) & (t["hub"][j] != t["node"][i])
+            ok &= ~((t["hub"][i] == t["hub"][j]) & (np.abs(t["far"][i] - t["far"][j]) > 1 - LEAST + 1e-9))
+            i, j = i[ok], j[ok]
+            apart = (marks[i] != marks[j]).mean(axis=1)
+            ok = apart <= 1 - LEAST_AGREEMENT
+            i, j, apart = i[ok], j[ok], apart[ok]
+            same = bands[i] == bands[j]
+            ok = bands[i, same.argmax(axis=1)] == t["bucket"][i]
+            found.append((i[ok], j[ok], apart[ok]))
+        i, j, apart = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3))
+        if nearest and len(i):
+            order = np.argsort(apart, kind="stable")
+            ends, which = np.concatenate([i[order], j[order]]), np.concatenate([order, order])
+            by = np.lexsort((np.tile(np.arange(len(order)), 2), ends))
+            new = np.ones(len(by), dtype=bool)
+            new[1:] = ends[by][1:] != ends[by][:-1]
+            kept = np.unique(which[by[new]])
+            i, j = i[kept], j[kept]
+        a, b = t["node"][i], t["node"][j]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
+        held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, node, part, hub, far = (batch.column(c).to_numpy() for c in ("bucket", "node", "part", "hub", "far"))
-            marks = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.uint8).reshape(-1, COORDINATES)
-            if tail is not None:
-                key, node, part, hub, far, marks = (np.concatenate([t, x]) for t, x in zip(tail, (key, node, part, hub, far, marks), strict=True))
-            fresh = 0 if tail is None else len(tail[0])
-            a, b = [], []
-            for step in range(1, REACH + 1):
-                i = np.flatnonzero((key[:-step] == key[step:]) & (part[:-step] != part[step:]))
-                i = i[i + step >= fresh]
-                j = i + step
-                i = i[~((hub[i] == hub[j]) & (np.abs(far[i] - far[j]) > 1 - LEAST + 1e-9)) & (hub[i] != node[j]) & (hub[j] != node[i])]
-                i = i[(marks[i] == marks[i + step]).mean(axis=1) >= LEAST_AGREEMENT]
-                a.append(np.minimum(node[i], node[i + step]))
-                b.append(np.maximum(node[i], node[i + step]))
-            tail = tuple(x[-REACH:] for x in (key, node, part, hub, far, marks))
-            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
+            t = {c: batch.column(c).to_numpy() for c in columns}
+            t["marks"] = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            t["bands"] = batch.column("bands").flatten().to_numpy().reshape(batch.num_rows, BANDS)
+            if held is not None:
+                t = {c: np.concatenate([held[c], t[c]]) for c in t}
+            new = np.ones(len(t["node"]), dtype=bool)
+            new[1:] = (t["bucket"][1:] != t["bucket"][:-1]) | (t["x"][1:] != t["x"][:-1]) | (t["y"][1:] != t["y"][:-1])
+            starts = np.flatnonzero(new)
+            held = {c: v[starts[-1] :] for c, v in t.items()}
+            yield pairs_of({c: v[: starts[-1]] for c, v in t.items()}, starts)
+        if held is not None:
+            yield pairs_of(held, np.array([0, len(held["node"])]))
+
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    dealt = rows.join(sizes, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(17)), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.withColumn("x", F.least("chunk", "other")).withColumn("y", F.greatest("chunk", "other"))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(parts, "bucket", "after", "node").sortWithinPartitions("bucket", "after", "node").mapInArrow(run, "a long, b long").distinct()
+    dealt = dealt.select(*columns, "marks", "bands").repartition(parts, "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -212,39 +234,36 @@ def classes(docs: DataFrame) -> DataFrame:
     Texts are linked if at least 0.8 of their distinct shingles of five words (runs of letters and digits, A-Z lowered)
     are common; a text of fewer words is one shingle; one of no words, null and empty among them, is linked with equal
     texts only. Classes are what links connect. Candidates come from the bands: each bucket links its members with its
-    hub, the member of least hash; after the first links, members of one bucket that are still apart are compared with
-    their nearest in it. Equal shingle sets are one node throughout, so copies make no pairs. Rows that repeat a doc_id
-    count as one document if their texts are equal. Of a class without any id all rows are representatives, and its
-    class_id is a hash above all ids.
+    hub, the member of least hash; members of one bucket that are still apart are compared with the nearest in it, and
+    then all that are apart after that with each other, whatever the bucket's size. Equal shingle sets are one node
+    throughout, so copies make no pairs. Rows that repeat a doc_id count as one document if their texts are equal. Of a
+    class without any id all rows are representatives, and its class_id is a hash above all ids.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = stored(signatures(docs))
     own = F.coalesce("doc_id", F.lit(1 << 62) + F.pmod(F.xxhash64("set_key"), F.lit(1 << 61)))
     nodes = stored(rows.groupBy("set_key").agg(F.min(own).alias("node"), F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("bands").alias("bands"), F.first("marks").alias("marks")))
     nodes = nodes.select("set_key", "node", "at.doc_id", "at.text_hash", "bands", "marks")
-    twice = F.concat("marks", "marks")
-    buckets = nodes.filter(F.size("bands") > 0).select("node", F.posexplode("bands").alias("band", "bucket"), twice.alias("m"))
-    buckets = stored(buckets.select("bucket", "node", F.substring("m", (F.col("band") + 1) * ROWS + 1, F.lit(8)).alias("after")))
+    buckets = stored(nodes.select("node", F.explode("bands").alias("bucket")).select("bucket", "node"))
     order = F.struct(F.xxhash64("node", F.lit(16)).alias("h"), F.col("node").alias("hub"))
     hubs = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1")
     spokes = stored(buckets.join(hubs, "bucket").filter("node <> first.hub").select("node", "first.h", "first.hub").distinct())
     best = spokes.groupBy("node").agg(F.min(F.struct("h", "hub")).alias("best"))
     first = stored(similarities(stored(best.select(F.col("best.hub").alias("a"), F.col("node").alias("b"))), docs, nodes))
     sure = first.filter(F.col("similarity") >= LEAST).select("a", "b")
-    # One link up from each node; two steps up is part enough to leave out what is known to be linked.
-    up = sure.select(F.col("b").alias("node"), F.col("a").alias("part"))
-    parts = up.join(up.select(F.col("node").alias("part"), F.col("part").alias("over")), "part", "left").select("node", F.coalesce("over", "part").alias("part"))
-    distance = first.select(F.col("b").alias("node"), F.col("a").alias("hub"), (1 - F.col("similarity")).alias("far"))
-    known = nodes.select("node", "marks").join(parts, "node", "left").join(distance, "node", "left")
-    known = stored(known.select("node", "marks", F.coalesce("part", "node").alias("part"), F.coalesce("hub", "node").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far")))
-    placed = buckets.join(known, "node")
-    open_buckets = placed.groupBy("bucket").agg(F.min("part").alias("x"), F.max("part").alias("y")).filter("x <> y").select("bucket")
-    apart = stored(placed.join(open_buckets, "bucket"))
-    ends = lambda n: known.select(F.col("node").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("marks", "part", "hub", "far")])
-    more = spokes.select(F.col("hub").alias("a"), F.col("node").alias("b")).join(ends("a"), "a").join(ends("b"), "b")
-    more = more.filter(f"part_a <> part_b and hub_b <> a and hub_a <> b and not (hub_a = hub_b and abs(far_a - far_b) > {1 - LEAST + 1e-9})")
-    more = more.filter(agreement("marks_a", "marks_b") >= LEAST_AGREEMENT).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(more.union(neighbours(apart)).distinct())
+    distance = stored(first.select(F.col("b").alias("node"), F.col("a").alias("hub"), (1 - F.col("similarity")).alias("far")))
+
+    def apart(parts: DataFrame) -> DataFrame:
+        """What partners() needs of the members of buckets that hold several parts."""
+        placed = buckets.join(hubs.select("bucket"), "bucket").join(parts, "node", "left").select("bucket", "node", F.coalesce("part", "node").alias("part"))
+        several = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("bucket")
+        known = nodes.select("node", "bands", "marks").join(distance, "node", "left")
+        known = known.select("node", "bands", "marks", F.coalesce("hub", "node").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far"))
+        return stored(placed.join(several, "bucket")).join(known, "node")
+
+    met = stored(similarities(stored(partners(apart(connected(sure)), nearest=True)), docs, nodes))
+    sure = stored(sure.union(met.filter(F.col("similarity") >= LEAST).select("a", "b")))
+    rest = stored(partners(apart(connected(sure))).join(met.select("a", "b"), ["a", "b"], "left_anti"))
     late = similarities(rest, docs, nodes).filter(F.col("similarity") >= LEAST).select("a", "b")
     parts = connected(sure.union(late))
     of_key = stored(nodes.select("set_key", "node").join(parts, "node", "left").select("set_key", F.coalesce("part", "node").alias("class_id")))
