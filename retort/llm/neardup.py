@@ -16,8 +16,8 @@ from retort.llm.common import ALNUM, LOWER, mix, read, salt, stored, text_slices
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
-#: A pair's exact similarity is computed if its signatures agree on this share, 2.8 standard deviations under LEAST.
-LEAST_AGREEMENT = 0.7
+#: Bins of a text's shingle counts, by which texts that differ in too many shingles are told apart exactly.
+BINS = 256
 #: Members of a bucket in a chunk; every two chunks of a bucket meet in a block, so that a large one spreads over tasks.
 CHUNK = 128
 #: Ids that may be broadcast as a filter; beyond, Spark shuffles.
@@ -96,7 +96,7 @@ def _binary(rows: np.ndarray) -> pa.Array:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash (by which a row is found again), set_key (of the shingles, or of a text without words), bands
-    array<long> and marks (a byte for each coordinate) of every row."""
+    array<long>, n (distinct shingles) and counts (of shingles in each bin, a byte each, modulo 256) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,14 +104,16 @@ def signatures(docs: DataFrame) -> DataFrame:
                 found, _, n = shingles(data, offsets)
                 marks = dart_minhash(found, np.ones(len(found)), n)  # links are by distinct shingles, so each weighs the same
                 ends = np.cumsum(n)
+                bins = np.repeat(np.arange(len(n)), n) * BINS + (found >> np.uint64(56)).astype(np.int64)
+                counts = np.bincount(bins, minlength=len(n) * BINS).reshape(len(n), BINS).astype(np.uint8)
                 keys = [hashlib.md5(b"s" + found[e - k : e].tobytes() if k else b"t" + data[a:z].tobytes()).digest() for e, k, a, z in zip(ends, n, offsets, offsets[1:], strict=False)]
                 bands = [x.tolist() if k else [] for x, k in zip(band_keys(marks), n, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), batch.column("text_hash").slice(i, j - i), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), _binary(marks.astype(np.uint8))],
-                    names=["doc_id", "text_hash", "set_key", "bands", "marks"],
+                    [batch.column("doc_id").slice(i, j - i), batch.column("text_hash").slice(i, j - i), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(n, pa.int64()), _binary(counts)],
+                    names=["doc_id", "text_hash", "set_key", "bands", "n", "counts"],
                 )
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, "doc_id long, text_hash long, set_key binary, bands array<long>, marks binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, "doc_id long, text_hash long, set_key binary, bands array<long>, n long, counts binary")
 
 
 def similarities(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -146,14 +148,14 @@ def similarities(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFra
 
 
 def partners(rows: DataFrame, nearest: bool = False) -> DataFrame:
-    """a, b: all pairs of texts of different parts that share a bucket and whose signatures agree; with `nearest`, of
-    each text the nearest in each block only. Left out, exactly, are pairs whose distances (1 - similarity, a metric)
-    from one hub differ by more than a link allows, pairs of a text and its hub, which are known, and all but the first
-    of the buckets that a pair shares."""
-    columns = ("bucket", "x", "y", "chunk", "node", "part", "hub", "far")
+    """a, b: all pairs of texts of different parts that share a bucket and may be linked; with `nearest`, of each
+    text the nearest in each block only. Left out, exactly, are pairs whose counts of shingles differ by more than a link
+    allows in sum, pairs whose distances (1 - similarity, a metric) from one hub do, pairs of a text and its hub, which
+    are known, and all but the first of the buckets that a pair shares."""
+    columns = ("bucket", "x", "y", "chunk", "node", "part", "hub", "far", "n")
 
     def pairs_of(t: dict[str, np.ndarray], starts: np.ndarray) -> pa.RecordBatch:
-        marks, bands = t["marks"], t["bands"]
+        counts, bands, n = t["counts"], t["bands"], t["n"]
         group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         found = []
         for step in range(1, int(np.diff(starts).max(initial=1))):
@@ -161,9 +163,13 @@ def partners(rows: DataFrame, nearest: bool = False) -> DataFrame:
             j = i + step
             ok = (t["part"][i] != t["part"][j]) & ((t["chunk"][i] != t["chunk"][j]) | (t["x"][i] == t["y"][i])) & (t["hub"][i] != t["node"][j]) & (t["hub"][j] != t["node"][i])
             ok &= ~((t["hub"][i] == t["hub"][j]) & (np.abs(t["far"][i] - t["far"][j]) > 1 - LEAST + 1e-9))
+            ok &= np.minimum(n[i], n[j]) >= LEAST * np.maximum(n[i], n[j]) - 1e-6
             i, j = i[ok], j[ok]
-            apart = (marks[i] != marks[j]).mean(axis=1)
-            ok = apart <= 1 - LEAST_AGREEMENT
+            # Shingles of one text only number at least as the counts differ, and at most (1 - LEAST) / (1 + LEAST) of both
+            # texts' if they're linked. Counts wrap around, and the shorter way around is never longer than the difference.
+            wide = counts[i] - counts[j]
+            apart = np.minimum(wide, -wide).sum(axis=1, dtype=np.int64) / (n[i] + n[j])
+            ok = apart <= (1 - LEAST) / (1 + LEAST) + 1e-9
             i, j, apart = i[ok], j[ok], apart[ok]
             same = bands[i] == bands[j]
             ok = bands[i, same.argmax(axis=1)] == t["bucket"][i]
@@ -186,7 +192,7 @@ def partners(rows: DataFrame, nearest: bool = False) -> DataFrame:
             if not batch.num_rows:
                 continue
             t = {c: batch.column(c).to_numpy() for c in columns}
-            t["marks"] = np.frombuffer(b"".join(batch.column("marks").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            t["counts"] = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(batch.num_rows, BINS)
             t["bands"] = batch.column("bands").flatten().to_numpy().reshape(batch.num_rows, BANDS)
             if held is not None:
                 t = {c: np.concatenate([held[c], t[c]]) for c in t}
@@ -203,7 +209,7 @@ def partners(rows: DataFrame, nearest: bool = False) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     dealt = dealt.withColumn("x", F.least("chunk", "other")).withColumn("y", F.greatest("chunk", "other"))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.select(*columns, "marks", "bands").repartition(parts, "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+    dealt = dealt.select(*columns, "counts", "bands").repartition(parts, "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -242,8 +248,8 @@ def classes(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = stored(signatures(docs))
     own = F.coalesce("doc_id", F.lit(1 << 62) + F.pmod(F.xxhash64("set_key"), F.lit(1 << 61)))
-    nodes = stored(rows.groupBy("set_key").agg(F.min(own).alias("node"), F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("bands").alias("bands"), F.first("marks").alias("marks")))
-    nodes = nodes.select("set_key", "node", "at.doc_id", "at.text_hash", "bands", "marks")
+    nodes = stored(rows.groupBy("set_key").agg(F.min(own).alias("node"), F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("bands").alias("bands"), F.first("n").alias("n"), F.first("counts").alias("counts")))
+    nodes = nodes.select("set_key", "node", "at.doc_id", "at.text_hash", "bands", "n", "counts")
     buckets = stored(nodes.select("node", F.explode("bands").alias("bucket")).select("bucket", "node"))
     order = F.struct(F.xxhash64("node", F.lit(16)).alias("h"), F.col("node").alias("hub"))
     hubs = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1")
@@ -257,8 +263,8 @@ def classes(docs: DataFrame) -> DataFrame:
         """What partners() needs of the members of buckets that hold several parts."""
         placed = buckets.join(hubs.select("bucket"), "bucket").join(parts, "node", "left").select("bucket", "node", F.coalesce("part", "node").alias("part"))
         several = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("bucket")
-        known = nodes.select("node", "bands", "marks").join(distance, "node", "left")
-        known = known.select("node", "bands", "marks", F.coalesce("hub", "node").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far"))
+        known = nodes.select("node", "bands", "n", "counts").join(distance, "node", "left")
+        known = known.select("node", "bands", "n", "counts", F.coalesce("hub", "node").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far"))
         return stored(placed.join(several, "bucket")).join(known, "node")
 
     met = stored(similarities(stored(partners(apart(connected(sure)), nearest=True)), docs, nodes))

@@ -88,6 +88,19 @@ def test_copies_whose_repeat_counts_differ(spark):
     assert got == expected
 
 
+def test_links_inside_large_buckets(spark):
+    """Variants of one template, 0.794 alike, each with a copy that is 0.802 like it alone."""
+    r, base = random.Random(5), [f"t{i}" for i in range(181)]
+    rows = []
+    for k in range(1000):
+        text = base + [f"v{k}x{i}" for i in range(23)]
+        at = r.randrange(5, 150)
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join([*text[:at], *(f"c{k}x{i}" for i in range(18)), *text[at + 18 :]]))]
+    assert shingle_classes(rows[:40]) == {i: i // 2 * 2 for i in range(40)}
+    got = {x.doc_id: x.class_id for x in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: c for i, c in got.items() if c != i // 2 * 2} == {}
+
+
 def test_connected(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60) if i % 20 != 19] + [(100 + r.randrange(50), 100 + r.randrange(50)) for _ in range(40)]
