@@ -190,7 +190,7 @@ def main_text(page: str | None, sigma: float = 1.0) -> str:
 
     Blocks of dropped elements (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts) go. The
     others' text-to-tag ratios are smoothed and split into two clusters; the region that holds most of the upper
-    cluster's text, an article or main element or else the smallest container of most of it, is given whole, so that a
+    cluster's text, an article or main element or else the smallest container of all of it but blocks of links, is given whole, so that a
     short paragraph of the article stays. A null or empty page, or one without text, gives "".
     """
     if not page:
@@ -223,7 +223,11 @@ def main_text(page: str | None, sigma: float = 1.0) -> str:
         parent = parser.parents[best]
         chosen = {best} | {p for p in one_kind if parser.parents[p] == parent and mass[p] >= 0.5 * mass[best]}
     else:
-        chosen = {max((p for p in mass if mass[p] >= 0.8 * total), default=0)}
+        # Menus and the like are dropped by name, blocks of links below. Long blocks whose ratio the tags of their
+        # containers lower are the article's as those of the core are.
+        wanted = (core | (plain >= content_threshold(plain))) & (plain > 0.3 * chars)
+        need = [set(chain) for chain, keep in zip(chains, wanted.tolist(), strict=True) if keep]
+        chosen = {max(set.intersection(*need), default=0) if need else 0}
     inside = [i for i, chain in enumerate(chains) if chosen.intersection(chain)]
     kept = [i for i in inside if roots or core[i] or not (lines[i][3] >= 0.7 * chars[i] and chars[i])]
     return "\n\n".join(lines[i][0] for i in kept)

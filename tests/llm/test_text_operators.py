@@ -36,6 +36,16 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_articles_over_sibling_containers(tag):
+    paragraphs = [f"Paragraph {i} " + "has words to be read by people. " * 25 for i in range(6)]
+    p = [f"<p>{x}</p>" for x in paragraphs]
+    whole = "\n\n".join(x.strip() for x in paragraphs)
+    for at in (1, 2, 5):
+        page = f"<body><div id=content><{tag} class=part>{''.join(p[:at])}</{tag}><{tag} class=part>{''.join(p[at:])}</{tag}></div><div><a href=x>Other pages of this site</a></div></body>"
+        assert html_text.main_text(page) == whole
+
+
 def test_smoothing_keeps_constants_and_threshold_separates():
     assert np.allclose(html_text.smoothed(np.full(9, 3.0)), 3.0)
     cut = html_text.content_threshold(np.array([1.0, 2.0, 1.5, 80.0, 90.0]))
