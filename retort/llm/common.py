@@ -15,19 +15,36 @@ PASS_BYTES = 2 << 20
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+#: Rows of a batch that goes to Python, where the session leaves Spark's default: long texts make those too large for memory
+#: beside the heap.
+BATCH_ROWS = 1024
+
+
+def small_batches(spark: SparkSession) -> None:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     """The named columns of a table, and nothing else of it."""
+    small_batches(spark)
     df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return df.select(*columns) if columns else df
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share; set only where it is unset."""
+    """A new folder under spark.checkpoint.dir, which driver and executors share. Where it is unset a session with local
+    executors only, as in tests, gets a temporary folder; on a cluster that is an error."""
+    import re
     import tempfile
     import uuid
 
+    small_batches(spark)
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="retort-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/retort/{uuid.uuid4().hex}"
@@ -52,6 +69,26 @@ def carried(docs: DataFrame, keep: tuple[str, ...], text: str, made: str) -> tup
     return docs.select(*keep, docs[text].alias("__text")), "__text", keep, schema
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last, the memory that a reused worker would keep goes back to the system."""
+    try:
+        yield from batches
+    finally:
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory of this process: Arrow's pool, and what the C library holds for later."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc; elsewhere there is nothing to do
+    if trim is not None:
+        trim(0)
+
+
 def parts_for(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))
 
