@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -10,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from retort.llm.common import carried, read
+from retort.llm.common import carried, read, released
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
@@ -20,18 +21,22 @@ BLOCKS = frozenset(
 )
 #: Elements whose text isn't the article's, whatever it says.
 DROPPED = frozenset(
-    "aside audio button canvas datalist dialog embed footer form frameset head header iframe input label legend map math menu nav noembed noframes"
+    "audio button canvas datalist dialog embed footer frameset head iframe input label legend map math menu nav noembed noframes"
     " noscript object optgroup option progress script search select style svg template textarea title video".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar tooltip".split())
-#: Parts of a class or id that tell what a container holds.
+#: Elements, and parts of a class or id, that hint at what a container holds. They count unless it holds the article.
+HINTED = frozenset("aside form header".split())
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs byline-share comment comments commentlist consent cookie"
-    " cookies disclaimer discussion disqus dropdown feedback foot footer footnav gdpr header login masthead menu menubar modal nav navbar navigation newsletter"
-    " notice notices notification outbrain overlay pager pagination paywall popup promo promos promotion reader-comments recommendations recommended register"
-    " related replies reply respond share sharing sidebar sidenav signup skip social sponsor sponsored sponsors subscribe subscription taboola teaser teasers"
-    " toolbar topbar widget widgets".split()
+    "ad ads adv advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs byline-share consent cookie cookies disclaimer"
+    " dropdown feedback foot footer footnav gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices notification"
+    " outbrain overlay pager pagination paywall popup promo promos promotion recommendations recommended register share sharing sidebar"
+    " sidenav signup skip social sponsor sponsored sponsors subscribe subscription taboola teaser teasers toolbar topbar widget widgets".split()
 )
+#: The same for reader comments.
+COMMENTS = frozenset("comment comments commentlist disqus reader-comments remarks replies reply respond responses".split())
+#: Words that tell of other pages only together with one of the second kind, or alone.
+OTHERS, WITH_OTHERS = frozenset(["related", "discussion"]), frozenset("articles box content forum items links list news pages posts reading stories thread topics".split())
 #: With these, a class says what a container has or lacks beside its text.
 QUALIFIERS = frozenset("has with no without free".split())
 #: A start tag of these ends an open p (or li, dd, dt, tr, td, th, option, as listed).
@@ -53,80 +58,119 @@ RAW = frozenset(["script", "style"])
 _PART = re.compile(r"[^a-z0-9]+")
 
 
-def marked(attrs: dict[str, str | None]) -> bool:
-    """Whether an element's attributes say that it isn't part of an article."""
+def hidden(attrs: dict[str, str | None]) -> bool:
+    """Whether an element isn't shown, or has a role that no article has."""
     if "hidden" in attrs or (attrs.get("aria-hidden") or "").strip().lower() == "true" or "display:none" in SPACE.sub("", attrs.get("style") or "").lower():
         return True
-    if (attrs.get("role") or "").strip().lower() in ROLES:
-        return True
+    return (attrs.get("role") or "").strip().lower() in ROLES
+
+
+def hint(attrs: dict[str, str | None]) -> int:
+    """What an element's class and id hint at: 2 reader comments, 1 something else beside an article, 0 nothing."""
+    found = 0
     for name in ("class", "id"):
         for token in (attrs.get(name) or "").lower().split():
             parts = [p for p in _PART.split(re.sub(r"(?<=[a-z])\d+$", "", token)) if p]
-            if token in MARKS or not QUALIFIERS.intersection(parts) and any(p in MARKS for p in parts):
-                return True
-    return False
+            if QUALIFIERS.intersection(parts) and token not in MARKS:
+                continue
+            if token in COMMENTS or any(p in COMMENTS for p in parts):
+                return 2
+            others = name == "class" and parts and parts[0] in OTHERS and WITH_OTHERS.issuperset(parts[1:])
+            if token in MARKS or others or any(p in MARKS for p in parts):
+                found = 1
+    return found
 
 
 class Lines(HTMLParser):
-    """The kept blocks of a page as (text, tags, container, link characters), from the events of one streaming pass."""
+    """The blocks of a page as (text, tags, container, link characters, hint), from the events of one streaming pass.
+
+    Containers and hints are numbered as they open, each with the one it lies in, so that sums over them need one pass
+    from the last to the first. Work for an event doesn't depend on the depth: a block keeps count of the inline elements
+    open in it, and scans stop at it.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # tag, dropped from here on, number of the container
+        self.stack: list[tuple[str, bool, int, int]] = []  # tag, dropped from here on, number of the container, of the hint
+        self.blocks: list[int] = []  # places of the blocks in the stack
+        self.inline: list[Counter] = [Counter()]  # open inline elements of each of these, and outside of all
+        self.open: Counter = Counter()
         self.parents: list[int] = [-1]
         self.kinds: list[str] = [""]
-        self.lines: list[tuple[str, int, int, int]] = []
+        self.hints: list[tuple[int, int, int]] = [(-1, 0, 0)]  # the hint around it, its kind, the container it begins at
+        self.lines: list[tuple[str, int, int, int, int]] = []
         self.text: list[str] = []
         self.tags = self.linked = self.links = 0
-        self.place, self.dropped = 0, False
+        self.place = self.hint = 0
+        self.dropped = False
 
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append((text, self.tags, self.place, self.linked))
+            self.lines.append((text, self.tags, self.place, self.linked, self.hint))
             self.tags = 0
         self.text, self.linked = [], 0
 
     def settle(self) -> None:
-        self.dropped, self.place = (self.stack[-1][1], self.stack[-1][2]) if self.stack else (False, 0)
+        self.dropped, self.place, self.hint = self.stack[-1][1:] if self.stack else (False, 0, 0)
 
     def close_to(self, depth: int) -> None:
-        for tag, *_ in self.stack[depth:]:
+        for at in range(len(self.stack) - 1, depth - 1, -1):
+            tag = self.stack[at][0]
             self.links -= tag == "a"
+            self.open[tag] -= 1
+            if self.blocks and self.blocks[-1] == at:
+                self.blocks.pop()
+                self.inline.pop()
+            else:
+                self.inline[-1][tag] -= 1
         del self.stack[depth:]
         self.settle()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
-        if tag in BLOCKS:
+        block = tag in BLOCKS
+        if block:
             if not self.dropped:
                 self.flush()
-            for depth in range(len(self.stack) - 1, -1, -1):
-                if self.stack[depth][0] == "p":
-                    self.close_to(depth)
-                    break
-                if self.stack[depth][0] in BLOCKS or self.stack[depth][0] in DROPPED:
-                    break
+            if not self.dropped and self.blocks and self.stack[self.blocks[-1]][0] == "p":
+                self.close_to(self.blocks[-1])
             if ends := CLOSES.get(tag):
-                for depth in range(len(self.stack) - 1, -1, -1):
+                for depth in reversed(self.blocks):
                     if self.stack[depth][0] in ends:
                         self.close_to(depth)
                         break
-                    if self.stack[depth][0] in SCOPE - ends:
+                    if self.stack[depth][0] in SCOPE:
                         break
         if tag == "br":
             self.text.append(" ")
         if tag in VOID:
             return
         known = dict(attrs)
-        inner = tag in ("html", "body") or tag in ROOTS and not self.dropped
-        out = self.dropped or tag in DROPPED or not inner and marked(known) or tag in ROOTS and bool({"comment", "comments", "reply"} & set((known.get("class") or "").lower().replace("-", " ").replace("_", " ").split()))
-        place = self.place
+        kind = 0 if tag in ("html", "body") else hint(known) or (1 if tag in HINTED else 0)
+        root = tag in ROOTS and not self.dropped
+        out = self.dropped or tag in DROPPED or tag not in ("html", "body") and not root and hidden(known)
+        if tag == "header" and kind == 1 and self.open["article"]:
+            kind = 0  # the article's own: its title
+        if root and kind == 1:
+            kind = 0
+        if kind and not block:
+            out = True
+        place, mark = self.place, self.hint
         if tag in REGIONS:
             self.parents.append(self.place)
             self.kinds.append("main" if (known.get("role") or "").lower() == "main" else tag)
             place = len(self.parents) - 1
-        self.stack.append((tag, out, place))
+        if kind and block and not out:
+            self.hints.append((self.hint, kind, place))
+            mark = len(self.hints) - 1
+        self.stack.append((tag, out, place, mark))
+        self.open[tag] += 1
+        if block:
+            self.blocks.append(len(self.stack) - 1)
+            self.inline.append(Counter())
+        else:
+            self.inline[-1][tag] += 1
         self.links += tag == "a"
         self.settle()
 
@@ -139,16 +183,16 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for depth in range(len(self.stack) - 1, -1, -1):
-            if self.stack[depth][0] == tag:
-                if tag in BLOCKS and not self.dropped:
+        if tag in BLOCKS:
+            if self.open[tag] > 0:
+                at = next(depth for depth in reversed(self.blocks) if self.stack[depth][0] == tag)
+                if not self.dropped:
                     self.flush()
-                self.close_to(depth)
-                return
-            if tag not in BLOCKS and self.stack[depth][0] in BLOCKS:
-                return
-        if tag == "p" and not self.dropped:
-            self.flush()
+                self.close_to(at)
+            elif tag == "p" and not self.dropped:
+                self.flush()
+        elif self.inline[-1][tag] > 0:
+            self.close_to(next(depth for depth in range(len(self.stack) - 1, -1, -1) if self.stack[depth][0] == tag))
 
     def handle_data(self, data: str) -> None:
         if self.dropped:
@@ -162,6 +206,37 @@ class Lines(HTMLParser):
         self.flush()
 
 
+def sums_inside(parents: list[int], values: list[float]) -> list[float]:
+    """Each container's value with those of all containers inside it; one opens after the one that it lies in."""
+    out = list(values)
+    for at in range(len(out) - 1, 0, -1):
+        out[parents[at]] += out[at]
+    return out
+
+
+def in_force(parser: Lines) -> list[bool]:
+    """Of each hint, whether what it marks is left out: not where it, or one around it that isn't in force either,
+    wraps the article, that is an article or main element, or without any such on the page half of its text."""
+    around = [h[0] for h in parser.hints]
+    mass, roots = [0.0] * len(around), [0.0] * len(around)
+    has_root = [0.0] * len(parser.parents)
+    for x in parser.lines:
+        mass[x[4]] += max(0, len(x[0]) - x[3])
+    for at, kind in enumerate(parser.kinds):
+        has_root[at] = float(kind in ROOTS)
+    has_root = sums_inside(parser.parents, has_root)
+    mass = sums_inside(around, mass)
+    for at, (_, kind, place) in enumerate(parser.hints):
+        roots[at] = has_root[place] if kind else 0.0
+    out = [False] * len(around)
+    anywhere = any(k in ROOTS for k in parser.kinds)
+    for at in range(1, len(around)):
+        _, kind, place = parser.hints[at]
+        wraps = roots[at] > 0 and parser.kinds[place] not in ROOTS and kind == 1 if anywhere else kind == 1 and mass[at] >= 0.5 * max(1.0, mass[0])
+        out[at] = out[around[at]] or not wraps
+    return out
+
+
 def smoothed(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     """Gaussian smoothing, the ends weighted by what is there."""
     reach = max(1, int(3 * sigma))
@@ -188,49 +263,51 @@ def content_threshold(values: np.ndarray) -> float:
 def main_text(page: str | None, sigma: float = 1.0) -> str:
     """The article of a page: its blocks joined by blank lines.
 
-    Blocks of dropped elements (menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts) go. The
-    others' text-to-tag ratios are smoothed and split into two clusters; the region that holds most of the upper
-    cluster's text, an article or main element or else the smallest container of all of it but blocks of links, is given whole, so that a
-    short paragraph of the article stays. A null or empty page, or one without text, gives "".
+    Text of dropped elements (menus, footers, scripts and the like) goes, and so do blocks of containers whose class,
+    id or element hints at a sidebar, a notice, an advert, a form or comments, unless that container wraps the article.
+    The others' text-to-tag ratios are smoothed and split into two clusters; the region that holds most of the upper
+    cluster's text, an article or main element or else the smallest container of all of it but blocks of links, is
+    given but for blocks of links below the threshold, so that a short paragraph of the article stays. A null or empty
+    page, or one without text, gives "". Time grows with the page's length, not with its depth.
     """
     if not page:
         return ""
     parser = Lines()
     parser.feed(page)
     parser.close()
-    lines = parser.lines
+    left_out = in_force(parser)
+    lines = [x for x in parser.lines if not left_out[x[4]]]
     if not lines:
         return ""
     chars = np.array([len(x[0]) for x in lines], dtype=np.float64)
-    plain = np.maximum(chars - np.array([x[3] for x in lines]), 0)
+    linked = np.minimum(chars, [x[3] for x in lines])
+    plain = chars - linked
+    place = np.array([x[2] for x in lines])
     ratios = smoothed(plain / np.maximum(1, np.array([x[1] for x in lines])), sigma)
     core = ratios >= content_threshold(ratios)
-    mass: dict[int, float] = {}
-    chains = []
-    for x, keep, c in zip(lines, core.tolist(), plain.tolist(), strict=True):
-        chain, at = [], x[2]
-        while at >= 0:
-            chain.append(at)
-            if keep:
-                mass[at] = mass.get(at, 0.0) + c
-            at = parser.parents[at]
-        chains.append(chain)
-    total = sum(c for c, keep in zip(plain.tolist(), core.tolist(), strict=True) if keep)
-    roots = [p for p in mass if parser.kinds[p] in ROOTS and mass[p] >= 0.4 * total]
+    parents, count = parser.parents, len(parser.parents)
+    inside = lambda values: np.array(sums_inside(parents, np.bincount(place, weights=values, minlength=count).tolist()))
+    mass = inside(np.where(core, plain, 0.0))
+    total = mass[0]
+    roots = [p for p in range(count) if parser.kinds[p] in ROOTS and mass[p] > 0 and mass[p] >= 0.4 * total]
+    chosen = np.zeros(count, dtype=bool)
     if roots:
-        best = max(roots, key=lambda p: (mass[p] >= 0.9 * max(mass[q] for q in roots), parser.kinds[p] == "article", p))
-        one_kind = [p for p in mass if parser.kinds[p] == parser.kinds[best]]
-        parent = parser.parents[best]
-        chosen = {best} | {p for p in one_kind if parser.parents[p] == parent and mass[p] >= 0.5 * mass[best]}
+        top = max(mass[p] for p in roots)
+        best = max(roots, key=lambda p: (mass[p] >= 0.9 * top, parser.kinds[p] == "article", p))
+        for p in range(count):
+            chosen[p] = p == best or parser.kinds[p] == parser.kinds[best] and parents[p] == parents[best] and mass[p] >= 0.5 * mass[best]
     else:
-        # Menus and the like are dropped by name, blocks of links below. Long blocks whose ratio the tags of their
-        # containers lower are the article's as those of the core are.
+        # Blocks of links are dropped below. Long blocks whose ratio the tags of their containers lower are the article's
+        # as those of the core are. The region is the innermost container of all of these.
         wanted = (core | (plain >= content_threshold(plain))) & (plain > 0.3 * chars)
-        need = [set(chain) for chain, keep in zip(chains, wanted.tolist(), strict=True) if keep]
-        chosen = {max(set.intersection(*need), default=0) if need else 0}
-    inside = [i for i, chain in enumerate(chains) if chosen.intersection(chain)]
-    kept = [i for i in inside if roots or core[i] or not (lines[i][3] >= 0.7 * chars[i] and chars[i])]
-    return "\n\n".join(lines[i][0] for i in kept)
+        need = inside(wanted.astype(np.float64))
+        chosen[int(np.flatnonzero(need == need[0])[-1]) if need[0] else 0] = True
+    for p in range(1, count):
+        chosen[p] |= chosen[parents[p]]
+    # The line ratios decide once more inside: what lies below the threshold goes if it, or its container, is mostly links.
+    of_links = inside(linked) >= 0.7 * np.maximum(1.0, inside(chars))
+    links = (linked >= 0.7 * chars) & (of_links[place] | ~(chosen[place] & bool(roots)))
+    return "\n\n".join(lines[i][0] for i in np.flatnonzero(chosen[place] & (core | ~links)).tolist())
 
 
 def extract(pages: DataFrame, html_column: str = "html", *keep: str) -> DataFrame:
@@ -238,7 +315,7 @@ def extract(pages: DataFrame, html_column: str = "html", *keep: str) -> DataFram
     rows, name, kept, schema = carried(pages, keep, html_column, "text string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
                 texts = pa.array([main_text(p) for p in part.column(name).to_pylist()], pa.string())
