@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retort.llm.common import ALNUM, LOWER, carried, mix, parts_for, read, salt, text_slices, word_hashes, words
+from retort.llm.common import ALNUM, LOWER, carried, mix, parts_for, read, released, salt, text_slices, word_hashes, words
 
 #: Words of a k-mer, k-mers of a tuple, tuples of a fingerprint.
 K, TUPLE, SKETCHES = 3, 2, 64
-#: Rows of a run of consecutive documents, which one task handles.
-RUN_ROWS = 4096
+#: Rows of a run of consecutive documents, which one task handles; runs at most, beyond which they grow.
+RUN_ROWS, MOST_RUNS = 4096, 1 << 16
 
 
 def numbered(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -100,58 +100,66 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fingerprint(docs: DataFrame, *keep: str, text: str = "text", **params: int) -> DataFrame:
     """The kept columns and each text's fingerprint (hexadecimal). Null counts as empty, all empty texts being alike;
-    texts of fewer than k words are one k-mer; white space, punctuation and the case of A-Z don't count."""
+    texts of fewer than k words are one k-mer; white space, punctuation and the case of A-Z don't count. Very long texts are
+    whole, each a pass of its own; an empty table gives an empty result; columns that aren't kept are ignored."""
     rows, name, kept, schema = carried(docs, keep, text, "fingerprint string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             found = to_text(fingerprints(batch.column(name).fill_null("").to_pylist(), **params))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), pa.array(found, pa.string())], names=[*kept, "fingerprint"])
 
     return rows.mapInArrow(run, schema)
 
 
+def _keys(ids: pa.Array, hashes: pa.Array) -> np.ndarray:
+    """17 bytes of each row, ordered as descending ids, null last, and hashes."""
+    out = np.zeros((len(ids), 17), np.uint8)
+    out[:, 0] = np.asarray(ids.is_null())
+    top = np.int64(-(2**63))
+    out[:, 1:9] = (~ids.fill_null(0).to_numpy(zero_copy_only=False) ^ top).astype(">i8").view(np.uint8).reshape(-1, 8)
+    out[:, 9:] = (hashes.to_numpy(zero_copy_only=False) ^ top).astype(">i8").view(np.uint8).reshape(-1, 8)
+    return out.reshape(-1).view("S17")
+
+
 def in_runs(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
-    """doc_id, text, run and ghost: runs of consecutive documents by descending doc_id, null last, in partitions of their own.
+    """doc_id, text, run and ghost: runs of consecutive documents by descending doc_id, null last, ties by a hash of the
+    text and by the text, in partitions of their own.
 
-    Each run also has, as ghosts, the first documents of the run after it (of the first one, after the last). The runs'
-    bounds come from a sketch of the ids alone, and only a pair of ids for each run reaches the driver.
+    Each run also has, as ghosts, the first documents of the run after it (of the first one, after the last). The bounds
+    are the first key of each partition of the ids and hashes alone, dealt by range; no more than MOST_RUNS of these
+    reach the driver, whatever the table's size, since a task reads its run row by row. Only rows alike in both id and
+    text can't be parted.
     """
-    ids = docs.select("doc_id").filter("doc_id is not null")
-    runs = parts_for(ids.count(), run_rows)
-    bounds = sorted(set(ids.agg(F.percentile_approx("doc_id", [i / runs for i in range(1, runs)] or [0.5], 10000)).first()[0] or [])) if runs > 1 else []
-    edges = np.array(bounds, dtype=np.int64)
-
-    @F.arrow_udf("int")
-    def run_of(i: pa.Array) -> pa.Array:
-        # ids above a bound come first, so runs count down; a null id is in the last run
-        ids = i.fill_null(-(2**63)).to_numpy(zero_copy_only=False)
-        return pa.array((len(edges) - np.searchsorted(edges, ids, side="left")).astype(np.int32))
-
-    heads = docs.select(run_of("doc_id").alias("run"), "doc_id").groupBy("run").agg(F.max("doc_id").alias("head"), F.count("*").alias("n")).orderBy("run").collect()
-    if not heads:
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("hash"))
+    runs = min(MOST_RUNS, parts_for(keyed.count(), run_rows))
+    ranged = keyed.repartitionByRange(runs, F.col("doc_id").desc_nulls_last(), "hash") if runs > 1 else keyed.coalesce(1)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.bitwise_not("doc_id").alias("down"), "hash", "doc_id"))
+    found = ranged.groupBy(F.spark_partition_id().alias("at")).agg(first.alias("first")).select("first.doc_id", "first.hash").toArrow()
+    if not found.num_rows:
         return docs.select("doc_id", "text", F.lit(0).alias("run"), F.lit(False).alias("ghost"))
-    before = {h.head: heads[i - 1].run for i, h in enumerate(heads)}
-    keys = pa.array(sorted(k for k in before if k is not None), pa.int64())
-    values = np.array([before[k] for k in keys.to_pylist()], dtype=np.int32)
-    null_before = before.get(None)
-
-    @F.arrow_udf("int")
-    def ghost_of(i: pa.Array) -> pa.Array:
-        import pyarrow.compute as pc
+    heads = np.unique(_keys(found.column("doc_id").combine_chunks(), found.column("hash").combine_chunks()))
 
-        at = pc.index_in(i, keys)
-        found = pc.take(pa.array(values), at) if len(values) else pa.nulls(len(i), pa.int32())
-        return found if null_before is None else pc.if_else(pc.is_null(i), pa.scalar(null_before, pa.int32()), found)
+    @F.arrow_udf("array<struct<run:int,ghost:boolean>>")
+    def runs_of(ids: pa.Array, hashes: pa.Array) -> pa.Array:
+        keys = _keys(ids, hashes)
+        own = np.searchsorted(heads, keys, side="right") - 1
+        head = heads[own] == keys  # the run before gets it too
+        counts = 1 + head
+        at = np.cumsum(counts) - counts
+        run, ghost = np.zeros(int(counts.sum()), np.int32), np.zeros(int(counts.sum()), dtype=bool)
+        run[at] = own
+        run[at[head] + 1], ghost[at[head] + 1] = (own[head] - 1) % len(heads), True
+        rows = pa.StructArray.from_arrays([pa.array(run), pa.array(ghost)], names=["run", "ghost"])
+        return pa.ListArray.from_arrays(pa.array(np.append(at, len(run)), pa.int32()), rows)
 
-    placed = docs.select("doc_id", "text", run_of("doc_id").alias("own"), ghost_of("doc_id").alias("other"))
-    copies = F.filter(F.array(F.struct(F.col("own").alias("run"), F.lit(False).alias("ghost")), F.struct(F.col("other").alias("run"), F.lit(True).alias("ghost"))), lambda c: c["run"].isNotNull())
-    dealt = placed.select("doc_id", "text", F.inline(copies))
-    return dealt.repartition(len(heads), "run").sortWithinPartitions(F.col("run"), F.col("ghost"), F.col("doc_id").desc_nulls_last(), F.col("text"))
+    dealt = docs.withColumn("_hash", F.xxhash64("text")).select("doc_id", "text", "_hash", F.inline(runs_of("doc_id", "_hash")))
+    return dealt.repartition(len(heads), "run").sortWithinPartitions(F.col("run"), F.col("ghost"), F.col("doc_id").desc_nulls_last(), F.col("_hash"), F.col("text")).drop("_hash")
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ties of doc_id are ordered by text. With one document only, it is its own next document."""
+    """Ties of doc_id are ordered by a hash of the text, then the text, null as empty. With one document only, it is its own
+    next document; an empty table gives an empty result. Very long texts are fingerprinted whole."""
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def finish(ids: list, texts: list[str], nexts: list[str], own: np.ndarray, after: np.ndarray) -> pa.RecordBatch:
@@ -172,7 +180,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple | None = None  # run, id, text, fingerprint, ghost of the row before
-        for whole in batches:
+        for whole in released(batches):
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 texts, runs = batch.column("text").fill_null("").to_pylist(), batch.column("run").to_pylist()
@@ -188,4 +196,5 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                     yield finish([ids[i] for i in ready], [texts[i] for i in ready], [texts[i] for i in after], marks[ready], marks[after])
                 last = (runs[-1], ids[-1], texts[-1], marks[-1], ghosts[-1])
 
-    return in_runs(read(spark, sf_dir, "documents", "doc_id", "text")).mapInArrow(run, schema)
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return in_runs(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))).mapInArrow(run, schema)
