@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retort.llm.common import read
@@ -35,54 +37,38 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("\\p"), F.lit("|")))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), the value computed once, also where use() reads it inside another lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
 def format_chats(turns: DataFrame, conv: str = "conv_id", order: str = "turn") -> DataFrame:
     """conv, formatted string and loss_mask array<struct<start, length>> (code points, from 0) of each conversation.
 
     Turns are sorted by `order`, ties by role and text, null orders first. Adjacent turns of one role become one block:
     "<|role|>" text ("<|turn|>" text)* "<|end|>". Null roles and texts count as empty. The mask has one span for each
-    assistant text. Conversations of no rows don't exist; an empty table gives an empty result.
+    assistant text. Where a text begins is a sum over the turns before it, taken row by row, so a conversation costs
+    in proportion to its length; its output is one string, as long as it may be. Rows alike in everything are turns of
+    their own, and null conversations one conversation. Conversations of no rows don't exist; an empty table gives an
+    empty result; other columns are ignored.
     """
-    rows = turns.select(F.col(conv), F.struct(F.col(order).alias("at"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("turn"))
-    sorted_turns = rows.groupBy(conv).agg(F.array_sort(F.collect_list("turn")).alias("turns"))
-    blocks = F.aggregate(
-        "turns",
-        F.expr("cast(array() as array<struct<role:string,texts:array<string>>>)"),
-        lambda done, t: F.when(
-            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["role"] == t["role"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(F.struct(t["role"].alias("role"), F.concat(F.try_element_at(done, F.lit(-1))["texts"], F.array(t["text"])).alias("texts"))),
-            ),
-        ).otherwise(F.concat(done, F.array(F.struct(t["role"].alias("role"), F.array(t["text"]).alias("texts"))))),
-    )
-    head = lambda b: F.concat(F.lit(OPEN), escape_role(b["role"]), F.lit(CLOSE))
-    body = lambda b: F.array_join(F.transform(b["texts"], escape), TURN)
-    # One piece for each block and each text in it; a piece knows where its text begins once the lengths are summed.
-    pieces = F.flatten(
-        F.transform(
-            "blocks",
-            lambda b: F.transform(
-                b["texts"],
-                lambda t, i: F.struct(
-                    F.when(i == 0, F.char_length(head(b))).otherwise(len(TURN)).alias("before"),
-                    F.char_length(escape(t)).alias("length"),
-                    F.when(i == F.size(b["texts"]) - 1, len(END)).otherwise(0).alias("after"),
-                    (b["role"] == LEARNED_ROLE).alias("learned"),
-                ),
-            ),
-        )
-    )
-    mask = F.aggregate(
-        "pieces",
-        F.expr("named_struct('at', 0, 'spans', cast(array() as array<struct<start:int,length:int>>))"),
-        lambda acc, p: F.struct(
-            (acc["at"] + p["before"] + p["length"] + p["after"]).alias("at"),
-            F.when(p["learned"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + p["before"]).alias("start"), p["length"].alias("length"))))).otherwise(acc["spans"]).alias("spans"),
-        ),
-    )["spans"]
-    out = sorted_turns.select(conv, blocks.alias("blocks"))
-    out = out.select(conv, F.array_join(F.transform("blocks", lambda b: F.concat(head(b), body(b), F.lit(END))), "").alias("formatted"), pieces.alias("pieces"))
-    return out.select(conv, "formatted", mask.alias("loss_mask"))
+    rows = turns.select(F.col(conv), F.col(order).alias("_at"), F.coalesce("role", F.lit("")).alias("_role"), F.coalesce("text", F.lit("")).alias("_text"))
+    sorted_rows = Window.partitionBy(conv).orderBy(F.col("_at").asc_nulls_first(), "_role", "_text")
+    rows = rows.withColumn("_goes_on", F.coalesce(F.lag("_role").over(sorted_rows) == F.col("_role"), F.lit(False)))
+    head = F.length(escape_role(F.col("_role"))) + len(OPEN) + len(CLOSE)
+    # What stands between the texts: a separator, or the end of a block (but of none before the first) and a head.
+    between = F.when(F.col("_goes_on"), len(TURN)).otherwise(head + len(END))
+    length = F.length(escape(F.col("_text")))
+    rows = rows.withColumn("_end", F.sum(between + length).over(sorted_rows.rowsBetween(Window.unboundedPreceding, 0)).cast("int") - len(END))
+    turn = F.struct(F.col("_at").alias("at"), F.col("_role").alias("role"), F.col("_text").alias("text"), F.col("_end").alias("end"), (~F.col("_goes_on")).alias("begins"))
+    out = rows.groupBy(conv).agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    begins = lambda: F.filter(F.sequence(F.lit(1), F.size("turns")), lambda i: F.element_at("turns", i)["begins"])
+    part = lambda first, k: F.slice("turns", F.element_at(first, k), F.element_at(first, k + 1) - F.element_at(first, k))
+    blocks = let(F.concat(begins(), F.array(F.size("turns") + 1)), lambda first: F.transform(F.sequence(F.lit(1), F.size(first) - 1), lambda k: part(first, k)))
+    block = lambda b: F.concat(F.lit(OPEN), escape_role(F.element_at(b, 1)["role"]), F.lit(CLOSE), F.array_join(F.transform(b, lambda t: escape(t["text"])), TURN), F.lit(END))
+    learned = F.filter("turns", lambda t: t["role"] == LEARNED_ROLE)
+    span = lambda t: F.struct((t["end"] - F.length(escape(t["text"]))).alias("start"), F.length(escape(t["text"])).alias("length"))
+    return out.select(conv, F.array_join(F.transform(blocks, block), "").alias("formatted"), F.transform(learned, span).alias("loss_mask"))
 
 
 def parse_chats(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
@@ -90,21 +76,23 @@ def parse_chats(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
     blocks = F.filter(F.split("formatted", r"<\|end\|>"), lambda b: b != "")
     turns = F.flatten(
         F.transform(
-            blocks,
+            F.transform(blocks, lambda b: F.struct(F.substring_index(F.substring(b, len(OPEN) + 1, 1 << 30), CLOSE, 1).alias("role"), b.alias("body"))),
             lambda b: F.transform(
-                F.split(F.regexp_replace(b, r"\A<\|[^<|]*\|>", ""), r"<\|turn\|>"),
-                lambda t: F.struct(unescape_role(F.regexp_extract(b, r"\A<\|([^<|]*)\|>", 1)).alias("role"), unescape(t).alias("text")),
+                F.split(F.substring(b["body"], F.length(b["role"]) + len(OPEN) + len(CLOSE) + 1, F.lit(1 << 30)), r"<\|turn\|>"),
+                lambda t: F.struct(unescape_role(b["role"]).alias("role"), unescape(t).alias("text")),
             ),
         )
     )
-    loss = F.array_join(F.transform("loss_mask", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"]))), "")
-    return formatted.select(conv, turns.alias("turns"), loss.alias("loss_text"), "formatted")
+    # Code points of four bytes each: a span is cut out without counting from the string's beginning.
+    cut = lambda wide, s: unescape(F.decode(F.substring(wide, s["start"] * 4 + 1, s["length"] * 4), "UTF-32"))
+    learned = let(F.encode("formatted", "UTF-32"), lambda wide: F.transform("loss_mask", lambda s: cut(wide, s)))
+    return formatted.select(conv, turns.alias("turns"), F.array_join(learned, "").alias("loss_text"), "formatted")
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
-    chats = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(probe)
-    back = parse_chats(format_chats(chats))
+    chats = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    back = parse_chats(format_chats(chats).unionByName(format_chats(probe)))  # apart, so that the table may have a -1 too
     joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id",
@@ -118,19 +106,19 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 WITH turns AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
-  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+  SELECT false AS probe, conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT true, -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT true, -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), placed AS (
   SELECT *, coalesce(lag(role) OVER w = role, false) AS goes_on,
     length(text) + length(text) - length(replace(text, '\', '')) + length(text) - length(replace(text, '<', '')) + length(text) - length(replace(text, '[', '')) AS text_chars,
     length(role) + length(role) - length(replace(role, '\', '')) + length(role) - length(replace(role, '<', '')) + length(role) - length(replace(role, '[', '')) + length(role) - length(replace(role, '|', '')) AS role_chars
-  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+  FROM turns WINDOW w AS (PARTITION BY probe, conv_id ORDER BY turn NULLS FIRST, role, text)
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(text_chars + CASE WHEN goes_on THEN 8 ELSE role_chars + 4 + 7 END)::BIGINT AS formatted_chars
-FROM placed GROUP BY conv_id
+FROM placed GROUP BY probe, conv_id
 """
