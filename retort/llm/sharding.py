@@ -7,19 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retort.llm.common import parts_for, read
+from retort.llm.common import parts_for, read, stored
 
 SHARDS = 16
 #: Rows that one task numbers at once.
-RUN_ROWS = 8192
+RUN_ROWS = 65536
 
 
-def rendezvous(key: Column, shards: int, weights: Sequence[float] | None = None) -> Column:
-    """The shard (0 to shards-1) of a key: the one with the highest score weight / -ln(u), u a hash of key and shard.
+def scores(key: Column, shards: int, weights: Sequence[float] | None = None) -> Column:
+    """array<struct<score, shard>>: weight / -ln(u) of a key for each shard, u a hash of key and shard.
 
-    A key's scores for the other shards don't change when a shard is added, so only keys that the new shard wins
-    move, and a shard gets keys in proportion to its weight. A null key counts as the string "null". Scores never tie
-    in practice; if they did, the higher shard number would win.
+    A shard's score doesn't depend on how many there are, so one array of a shard more serves for both counts. A null key
+    counts as the string "null".
     """
     weights = [1.0] * shards if weights is None else list(weights)
     if len(weights) != shards or min(weights) <= 0:
@@ -29,25 +28,34 @@ def rendezvous(key: Column, shards: int, weights: Sequence[float] | None = None)
     def score(i: int) -> Column:
         digits = F.substring(F.md5(F.concat(text, F.lit(f"#{i}"))), 1, 13)
         unit = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
-        return F.lit(weights[i]) / -F.log(unit)
+        return F.struct((F.lit(weights[i]) / -F.log(unit)).alias("score"), F.lit(i).alias("shard"))
+
+    return F.array(*[score(i) for i in range(shards)])
 
-    return F.array_max(F.array(*[F.struct(score(i).alias("score"), F.lit(i).alias("shard")) for i in range(shards)]))["shard"]
 
+def rendezvous(key: Column, shards: int, weights: Sequence[float] | None = None) -> Column:
+    """The shard (0 to shards-1) of a key: the one with the highest score.
 
-def number_within(df: DataFrame, shard: str, slot: str, key: str, *ties: str, run_rows: int = RUN_ROWS) -> DataFrame:
+    Only keys that a new shard wins move when it is added, and a shard gets keys in proportion to its weight. Scores
+    never tie in practice; if they did, the higher shard number would win.
+    """
+    return F.array_max(scores(key, shards, weights))["shard"]
+
+
+def number_within(df: DataFrame, shard: str, slot: str, row: str, run_rows: int = RUN_ROWS) -> DataFrame:
     """Number the rows of each shard gaplessly from 0 without gathering a shard in one task.
 
-    Rows go to runs by a hash of the key and the ties; a run's first number is the sum of the sizes of the shard's
-    earlier runs, and the run is numbered by key and ties inside. Rows that agree in all of these are interchangeable.
+    `row` is a number of its own for each row; rows go to runs by its hash, however alike they are in all else. A row's
+    slot is the sum of the sizes of the shard's earlier runs and its place by `row` in its own run.
     """
     runs = parts_for(df.count(), run_rows)
-    df = df.withColumn("_run", F.pmod(F.xxhash64(key, *ties), F.lit(runs)))
+    df = df.withColumn("_run", F.pmod(F.xxhash64(row), F.lit(runs)))
     sizes = df.groupBy(shard, "_run").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(shard).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(shard, "_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(shard, "_run").orderBy(F.col(key).asc_nulls_first(), *[F.col(t) for t in ties])
-    numbered = df.withColumn("_row", F.row_number().over(inside) - 1)
-    return numbered.join(offsets, [shard, "_run"]).withColumn(slot, F.col("_offset") + F.col("_row")).drop("_run", "_row", "_offset")
+    inside = Window.partitionBy(shard, "_run").orderBy(row)
+    numbered = df.withColumn("_place", F.row_number().over(inside) - 1)
+    return numbered.join(offsets, [shard, "_run"]).withColumn(slot, (F.col("_offset") + F.col("_place")).cast("long")).drop("_run", "_place", "_offset")
 
 
 def shard(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int = SHARDS, weights: Sequence[float] | None = None) -> DataFrame:
@@ -55,19 +63,28 @@ def shard(df: DataFrame, key: str = "doc_id", text: str = "text", shards: int =
 
     A null text counts as empty (size 1, CRC 0). The law is `key`: the key and the shard count alone decide, so repeated
     keys share a shard, and grown_shard, with one more shard of weight 1, differs from shard only where it is the new
-    one. An empty table gives an empty result.
+    one. Very long texts count by their size alone; rows alike in everything get slots of their own. An empty table
+    gives an empty result.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    out = df.select(
-        F.col(key),
+    scored = df.select(
+        F.col(key).alias("_key"),
         (F.octet_length(body) + 1).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
+        scores(F.col(key), shards + 1, [*([1.0] * shards if weights is None else weights), 1.0]).alias("_scores"),
+    )
+    out = scored.select(
+        "_key",
+        "size",
+        "text_crc32",
         F.lit("key").alias("law"),
-        rendezvous(F.col(key), shards, weights).alias("shard"),
-        rendezvous(F.col(key), shards + 1, None if weights is None else [*weights, 1.0]).alias("grown_shard"),
+        F.array_max(F.slice("_scores", 1, shards))["shard"].alias("shard"),
+        F.array_max("_scores")["shard"].alias("grown_shard"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    out = number_within(out, "shard", "slot", key, "size", "text_crc32")
-    return out.select(key, "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
+    # Stored, without the texts, so that every row is scored once and keeps its number.
+    out = number_within(stored(out), "shard", "slot", "_row")
+    return out.select(F.col("_key").alias(key), "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
