@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retort.llm.common import carried, crc_of_id, read, text_slices
+from retort.llm.common import carried, crc_of_id, read, released, text_slices
 
 #: Bytes that the network sees together, its states in each direction, and the windows that one pass handles.
 WINDOW, STATES, PASS_WINDOWS = 64, 8, 4096
@@ -177,17 +177,18 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def sample(docs: DataFrame, per_label: int = SAMPLE_DOCS, stretches: int = SAMPLE_STRETCHES) -> tuple[list[bytes], list[str]]:
-    """About per_label documents of each label, chosen by a hash of the text, and hashed places in each; labels are few by nature."""
+    """About per_label different texts of each label, chosen by a hash of the text, and hashed places in each, so that a
+    text that is repeated counts once. Labels are few by nature."""
     labelled = docs.filter(F.col("label").isNotNull())
-    counts = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.approx_count_distinct(F.xxhash64("text")).alias("n")).collect()}
     if not counts:
         return [], []
-    share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, per_label / n))])
+    share = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, per_label / max(1, n)))])
     unit = F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
     chosen = labelled.filter(F.col("text").isNotNull() & (unit < share[F.col("label")]))
     start = lambda j: F.pmod(F.xxhash64("text", j), F.greatest(F.char_length("text") - WINDOW, F.lit(1)))
     cuts = F.transform(F.sequence(F.lit(2), F.lit(stretches + 1)), lambda j: F.substring(F.col("text"), (start(j) + 1).cast("int"), F.lit(WINDOW)))
-    rows = chosen.select("label", F.explode(F.array_distinct(cuts)).alias("cut")).orderBy("label", "cut").collect()
+    rows = chosen.select("label", F.explode(F.array_distinct(cuts)).alias("cut")).distinct().orderBy("label", "cut").collect()
     return [r["cut"].encode() for r in rows], [r["label"] for r in rows]
 
 
@@ -195,11 +196,14 @@ def identify(docs: DataFrame, net: Network | None, *keep: str) -> DataFrame:
     """The kept columns, lang_pred and score (the pooled probability of that language) of every document.
 
     A text that is null or has no letter is `und` with score 0, as is every text if no labels were there to learn from.
+    Equal texts get equal labels, and of labels equally probable the first by name; very long texts are read whole, in
+    passes of windows. An empty table gives an empty result; columns that aren't kept are ignored, and a kept one whose
+    name is made here gives way.
     """
     rows, name, kept, schema = carried(docs, keep, "text", "lang_pred string, score double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             column = batch.column(name)
             for i, j, data, offsets in text_slices(column):
                 part = batch.slice(i, j - i)
