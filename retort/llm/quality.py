@@ -10,10 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retort.llm.common import ALNUM, LOWER, NOT_SPACE, carried, mix, read, salt, text_slices, word_hashes, words
+from retort.llm.common import ALNUM, LOWER, NOT_SPACE, carried, mix, read, released, salt, text_slices, word_hashes, words
 
 #: Hashed weights; labelled documents of each grade in the training sample, at most about so many whatever the table's size.
 BITS, SAMPLE_PER_GRADE = 20, 4000
+#: Features of a text of the training sample at most, so that the sample has a bound in bytes: 8 times this for each text.
+SAMPLE_FEATURES = 4096
 EPOCHS, BATCH, RATE, DECAY, LEAST_DOCS, LEAST_SHARE = 30, 256, 0.3, 1e-3, 5, 0.005
 #: Ids of labelled documents that may be broadcast.
 BROADCAST_IDS = 500_000
@@ -80,6 +82,17 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[n
     return slot[order], value[order], np.bincount(row, minlength=n)
 
 
+def fewest(slots: np.ndarray, values: np.ndarray, counts: np.ndarray, most: int = SAMPLE_FEATURES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows of more than `most` features those of least hash, by which all rows choose alike."""
+    rows = np.repeat(np.arange(len(counts)), counts)
+    if not (counts > most).any():
+        return slots, values, counts
+    order = np.lexsort((mix(slots.astype(np.uint64) + salt(5)), rows))
+    rank = np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts)
+    keep = np.sort(order[rank < most])
+    return slots[keep], values[keep], np.minimum(counts, most)
+
+
 def scores(model: Model, slots: np.ndarray, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     rows = np.repeat(np.arange(len(counts)), counts)
     return np.bincount(rows, weights=model.weights[slots] * values, minlength=len(counts))
@@ -136,7 +149,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int, bits: int =
 def sample(docs: DataFrame, grades: DataFrame, per_grade: int = SAMPLE_PER_GRADE) -> list[tuple[np.ndarray, np.ndarray, int]]:
     """The features of about per_grade documents of each grade, chosen by a hash of the id; computed where the texts are.
 
-    The choice is made among the labels, so that only its ids, a bounded number, go to the texts.
+    The choice is made among the labels, so that only its ids, a bounded number, go to the texts. Only this sample has
+    bounds, SAMPLE_PER_GRADE and SAMPLE_FEATURES; grade() reads whole texts.
     """
     counts = {r["grade"]: r["count"] for r in grades.groupBy("grade").count().collect()}
     if not counts:
@@ -151,7 +165,7 @@ def sample(docs: DataFrame, grades: DataFrame, per_grade: int = SAMPLE_PER_GRADE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in text_slices(batch.column("text")):
-                slots, values, n = features(data, offsets)
+                slots, values, n = fewest(*features(data, offsets))
                 ends = np.cumsum(n)
                 cut = lambda a, kind: pa.array([a[e - k : e].astype(kind).tobytes() for e, k in zip(ends, n, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("grade").slice(i, j - i), cut(slots, "<u4"), cut(values, "<f4")], names=["grade", "slots", "vals"])
@@ -164,7 +178,9 @@ def sample(docs: DataFrame, grades: DataFrame, per_grade: int = SAMPLE_PER_GRADE
 def grade(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """The kept columns, expected_grade, tail_probability (of the highest grade) and selected of every document.
 
-    Null and empty texts have only the features of an empty text. Equal texts get equal grades.
+    Null and empty texts have only the features of an empty text. Equal texts get equal grades. A very long text is one
+    pass of its own. An empty table gives an empty result; rows that repeat an id are graded each; columns that aren't
+    kept are ignored, and a kept one whose name is made here gives way.
     """
     rows, name, kept, schema = carried(docs, keep, "text", "expected_grade double, tail_probability double")
     used = np.flatnonzero(model.weights)
@@ -174,7 +190,7 @@ def grade(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
         weights = np.zeros(1 << BITS, np.float32)
         weights[packed[0]] = packed[1]
         own = Model(weights, packed[2])
-        for batch in batches:
+        for batch in released(batches):
             for i, j, data, offsets in text_slices(batch.column(name)):
                 above = tail(own, scores(own, *features(data, offsets)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(i, j - i) for k in kept), pa.array(above.sum(axis=1)), pa.array(above[:, -1])], names=[*kept, "expected_grade", "tail_probability"])
