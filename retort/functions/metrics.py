@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from retort.functions import vocab
 from retort.functions.text import clean_text, one_of, strip
 
+# What a number, a ratio and a percentage look like.
 _NUMBER = r"\d+(?:\.\d+)?"
 _RATIO = rf"(?i)\A\s*(>=|>|≥)?\s*({_NUMBER})\s*[:：/]\s*({_NUMBER})\s*(?:e\.?\s*r\.?)?\s*(?:\(\s*\d+[a-z]?[RSEZ](?:\s*,\s*\d+[a-z]?[RSEZ])*\s*\))?\s*\z"
 _SIGN = "[<>≥≤~]?"
@@ -20,6 +21,10 @@ METRIC_PATTERNS = {
     "er": (rf"(?i)er\s*[:=]?\s*({_PAIR})", rf"(?i)({_PAIR})\s*er"),
     "dr": (rf"(?i)dr\s*[:=]?\s*({_PAIR})", rf"(?i)({_PAIR})\s*dr"),
 }
+TARGET_CUE = (
+    r"(?i)(?:\b\d{1,3}(?:\.\d+)?\s*%(?:\s*\([^)]{1,80}\))?\s*(?:yield|ee|e\.e\.)\b|\byield\s*\d{1,3}(?:\.\d+)?\s*%"
+    rf"|\b(?:er|dr)\s*[:=]?\s*{_SIGN}\s*{_NUMBER}\s*[:/]\s*{_NUMBER}|{_SIGN}\s*{_NUMBER}\s*[:/]\s*{_NUMBER}\s*\b(?:er|dr)\b)"
+)
 COMBINED, YIELD_ONLY = "combined_ee_yield", "yield_only"
 
 
@@ -56,7 +61,7 @@ def ee_text(er: Column) -> Column:
     parsed, text = parse_er(er), strip(er)
     sign = F.regexp_extract(text, _RATIO, 1)
     sign = F.when(sign == "≥", ">=").otherwise(sign)
-    number = F.when(parsed["ee"] == F.floor(parsed["ee"]), F.format_string("%.0f", parsed["ee"])).otherwise(F.format_string("%.1f", F.bround(parsed["ee"], 1)))
+    number = F.when(parsed["ee"] == F.floor(parsed["ee"]), F.format_string("%.0f", parsed["ee"])).otherwise(F.format_string("%.1f", F.bround(parsed["ee"].cast("decimal(38,30)"), 1).cast("double")))
     return F.when(parsed["ee"].isNotNull(), F.concat(sign, number, F.lit("%")))
 
 
@@ -135,6 +140,11 @@ def extract_metric(text: Column, metric: str) -> Column:
     return F.when(~F.lower(text).contains("yield") & text.rlike(r"(?i)\b(?:ee|er|dr)\b"), F.lit("")).otherwise(found)
 
 
+def target_cue(text: Column) -> Column:
+    """Whether a passage names an outcome: a percentage of yield or excess, or a labelled ratio."""
+    return F.coalesce(text, F.lit("")).rlike(TARGET_CUE)
+
+
 def labelled_value(text: Column, label: str) -> Column:
     """What follows "label:" up to the next comma or semicolon."""
     return strip(F.regexp_extract(text, rf"(?i){label}\s*[:=]\s*([^;,]+)", 1))

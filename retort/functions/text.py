@@ -90,6 +90,20 @@ def looks_like_symbol(value: Column) -> Column:
     return clean_text(value).rlike(r"\A[0-9][a-zA-Z0-9]{0,4}\z")
 
 
+def is_obvious_generic(name: Column) -> Column:
+    """Whether a name stands for a class of compounds and not for one."""
+    text = F.lower(strip(name))
+    some = F.lit(False)
+    for part in vocab.GENERIC_PARTS:
+        some = some | text.contains(part)
+    return F.coalesce((text != "") & (text.isin(*vocab.OBVIOUS_GENERIC) | (F.char_length(text) < 20) & some), F.lit(False))
+
+
+def quick_class(name: Column) -> Column:
+    """`Q2` for a label or a class of compounds, of which a provider needn't be asked; else null."""
+    return F.when(F.coalesce(strip(name).rlike(r"\A[0-9][a-zA-Z0-9]{0,4}\z"), F.lit(False)) | is_obvious_generic(name), "Q2")
+
+
 def paper_key(source: Column) -> Column:
     """The stem of a path, without "_si" and a trailing eight-digit hash, lower-cased."""
     stem = F.regexp_replace(F.element_at(F.split(clean_text(source), r"[/\\]"), -1), r"\.[^.]*$", "")
@@ -199,8 +213,11 @@ def safe_stem(text: Column) -> Column:
 
 
 def formula_candidates(text: Column) -> Column:
-    """Distinct runs of elements and counts in which every part is an element, no count above 32 and at least one given."""
-    found = F.regexp_extract_all(text, F.lit(r"\b((?:[A-Z][a-z]?\d*){2,})\b"), 1)
+    """Distinct runs of elements and counts, white space between them aside, that their parts rebuild: every part an element,
+    no count above 32 and at least one given."""
+    spaced = F.regexp_extract_all(text, F.lit(r"\b((?:[A-Z][a-z]?\s*\d*\s*){2,})\b"), 1)
+    joined = F.transform(spaced, lambda f: F.regexp_replace(f, r"\s+", ""))
+    found = F.filter(joined, lambda f: F.array_join(F.regexp_extract_all(f, F.lit(r"([A-Z][a-z]?\d*)"), 1), "") == f)
     known = F.array(*[F.lit(e) for e in vocab.ELEMENTS])
     parts = lambda f: F.regexp_extract_all(f, F.lit(r"([A-Z][a-z]?)\d*"), 1)
     counts = lambda f: F.regexp_extract_all(f, F.lit(r"(\d+)"), 1)

@@ -34,12 +34,58 @@ INVALID_NAMES = (
 )
 QUANTITATIVE_WORDS = ("yield", " enantiomeric", " ee ", " er ", " dr ", " mmol", " equiv", " conv", "diastereomeric")
 CHEMISTRY_WORDS = (
-    *("reaction", "substrate", "product", "catalyst", "solvent", "table", "entry", "scheme", "optimization", "general procedure"),
-    *("coupling", "cross-coupling", "suzuki", "miyaura", "heck", "sonogashira", "buchwald", "ullmann", "negishi", "stille"),
-    *("boronic", "boronate", "aryl halide", "palladium", "pd", "biaryl", "base", "reduction", "oxidation", "hydrogenation"),
-    *("amination", "amidation", "esterification", "cyclization", "annulation", "cycloaddition", "enantioselective"),
-    *("stereoselectiv", "diastereoselectiv", "regioselectiv", "asymmetric", "chiral", "enantiomer", "photocatal"),
-    *("irradiation", "wavelength", "sensitiz", "photocycloaddition", "triplet", "radical", "dearomat", "pericyclic"),
+    "reaction",
+    "substrate",
+    "product",
+    "catalyst",
+    "solvent",
+    "table",
+    "entry",
+    "scheme",
+    "optimization",
+    "general procedure",
+    "coupling",
+    "cross-coupling",
+    "suzuki",
+    "miyaura",
+    "heck",
+    "sonogashira",
+    "buchwald",
+    "ullmann",
+    "negishi",
+    "stille",
+    "boronic",
+    "boronate",
+    "aryl halide",
+    "palladium",
+    "pd",
+    "biaryl",
+    "base",
+    "reduction",
+    "oxidation",
+    "hydrogenation",
+    "amination",
+    "amidation",
+    "esterification",
+    "cyclization",
+    "annulation",
+    "cycloaddition",
+    "enantioselective",
+    "stereoselectiv",
+    "diastereoselectiv",
+    "regioselectiv",
+    "asymmetric",
+    "chiral",
+    "enantiomer",
+    "photocatal",
+    "irradiation",
+    "wavelength",
+    "sensitiz",
+    "photocycloaddition",
+    "triplet",
+    "radical",
+    "dearomat",
+    "pericyclic",
 )
 PAGE_THRESHOLD = 3
 MODALITIES = {"text": "text", "textual": "text", "image": "image", "chemeagle": "image", "vision": "image"}
@@ -57,11 +103,60 @@ AMOUNT_COLUMNS = {
 }
 IGNORED_RELATIONS = ("REPORTED_IN", "OF_TYPE", "HAS_SCAFFOLD", "HAS_SUBSTITUENT", "EXTRACTED_FROM_IMAGE", "SAME_AS", "NAME_RESOLVED_BY")
 EDGE_COLUMNS = (
-    *("x_name", "x_type", "relationship", "y_name", "y_type", "pdf_name", "reaction_id", "source_pages", "step"),
-    *("substrate_amount", "product_amount", "catalyst_amount", "ligand_amount", "solvent_amount", "other_component_amount"),
-    *("additive_amount", "reagent_amount", "yield", "ee", "er", "dr", "source_modality", "source_image"),
+    "x_name",
+    "x_type",
+    "relationship",
+    "y_name",
+    "y_type",
+    "pdf_name",
+    "reaction_id",
+    "source_pages",
+    "step",
+    "substrate_amount",
+    "product_amount",
+    "catalyst_amount",
+    "ligand_amount",
+    "solvent_amount",
+    "other_component_amount",
+    "additive_amount",
+    "reagent_amount",
+    "yield",
+    "ee",
+    "er",
+    "dr",
+    "source_modality",
+    "source_image",
 )
 TERMINAL_ROLE = "reagent"
+SOLVENT_NAME_LABELS = ("solvent",)
+SOLVENT_LABELS = ("solvent", "solvent amount", "vol", "volume")
+OBVIOUS_GENERIC = (
+    "ketone derivative",
+    "aldehyde derivative",
+    "amine derivative",
+    "acid derivative",
+    "alcohol derivative",
+    "ester derivative",
+    "amide derivative",
+    "nitrile derivative",
+    "olefin derivative",
+    "alkene derivative",
+    "alkyne derivative",
+    "vinyl derivative",
+    "aryl derivative",
+    "heteroaryl derivative",
+    "phenol derivative",
+    "compound",
+    "product",
+    "material",
+    "starting material",
+    "unknown",
+    "not specified",
+    "not reported",
+    "n/a",
+    "null",
+)
+GENERIC_PARTS = ("derivative", "substituted", "compound", "starting material", "product", "material", "mixture")
 # name -> pattern of text in which a formula lost its subscripts
 BROKEN_FORMULAS = {
     "alkali_carbonate_gap": r"\b(?:Na|K|Li)\s+CO\b",

@@ -94,17 +94,58 @@ def route_conditions(records: DataFrame, key: list[str], conditions: str = "cond
     return rows.select(*key, "item_pos", target.alias("target"), t.first_text(F.col("c.text"), F.col("c.label"), F.col("c.iupac_name"), F.col("c.smiles")).alias("value"))
 
 
-def nested_paths(rows: DataFrame, key: str, variant: str, name: str, depth: int = 8) -> DataFrame:
-    """key, path and value of every object field `name` at any depth of a VARIANT, down to `depth` levels.
+def nested_paths(rows: DataFrame, key: str, variant: str, name: str) -> DataFrame:
+    """key, path and value of every object field `name` at any depth of a VARIANT.
 
-    Each level is one explode of what the level above left; a level that finds nothing costs nothing further.
+    Each level is one explode of the objects and arrays that the level above left, until a level leaves none.
     """
     level = rows.select(key, F.lit("$").alias("path"), F.col(variant).alias("value"))
     found = None
-    for _ in range(depth):
-        level.createOrReplaceTempView("_nested_level")
-        children = level.sparkSession.sql(f"SELECT l.`{key}`, concat(l.path, coalesce('.' || e.key, '[' || e.pos || ']')) AS path, e.key AS field, e.value FROM _nested_level l, LATERAL variant_explode(l.value) e")
+    while found is None or level.limit(1).count():
+        # children that hold others: an object's or array's text begins so
+        children = level.sparkSession.sql("SELECT l.k, concat(l.path, coalesce('.' || e.key, '[' || e.pos || ']')) AS path, e.key AS field, e.value FROM {level} l, LATERAL variant_explode(l.value) e", level=level.withColumnRenamed(key, "k")).withColumnRenamed("k", key)
         hit = children.filter(F.col("field") == name).select(key, "path", "value")
         found = hit if found is None else found.unionByName(hit)
-        level = children.select(key, "path", "value")
+        level = children.filter(F.to_json("value").rlike(r"\A[{\[]")).select(key, "path", "value")
     return found
+
+
+def legacy_reaction(reaction: Column, position: Column) -> Column:
+    """struct<id, conditions, targets and the roles> of a reaction of the older form, with nothing null: an id by position,
+    empty maps and arrays."""
+    roles = ("substrates", "products", "catalysts", "ligands", "other_components", "additives", "reagents")
+    return F.struct(
+        F.coalesce(reaction["id"], F.concat(F.lit("reaction_"), position.cast("string"))).alias("id"),
+        F.coalesce(reaction["conditions"], F.create_map().cast("map<string,array<struct<step:int,value:string>>>")).alias("conditions"),
+        F.coalesce(reaction["targets"], F.struct(*[F.lit(None).cast("string").alias(k) for k in ("yield", "ee", "er", "dr")])).alias("targets"),
+        *[F.coalesce(reaction[r], F.array()).alias(r) for r in roles],
+    )
+
+
+def append_unique(have: Column, new: Column) -> Column:
+    """An array of structs with those of another after it that are named and not there yet, as they stand in JSON."""
+    return F.concat(have, F.filter(F.array_distinct(F.filter(new, lambda c: F.coalesce(c["name"], F.lit("")) != "")), lambda c: ~F.exists(have, lambda h: F.to_json(h) == F.to_json(c))))
+
+
+def free_condition(text: Column, targets: Column, conditions: Column) -> Column:
+    """struct<targets, conditions> with what a free text says of outcomes, solvent, temperature and time where nothing is
+    given yet."""
+    said = t.clean_text(text)
+    outcome = lambda k: F.coalesce(targets[k], F.nullif(m.extract_metric(said, k), F.lit(""))).alias(k)
+    found = (("solvent", m.labelled_value(said, "solvent")), ("temperature", m.extract_temperature(said)), ("time", m.extract_time(said)))
+    entries = F.filter(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in found]), lambda e: (F.coalesce(e["value"], F.lit("")) != "") & ~F.map_contains_key(conditions, e["key"]))
+    return F.struct(F.struct(*[outcome(k) for k in ("yield", "ee", "er", "dr")]).alias("targets"), F.map_concat(conditions, F.map_from_entries(entries)).alias("conditions"))
+
+
+def digest(reaction: Column, limit: int = 8) -> Column:
+    """What a provider is shown of a reaction: up to `limit` names of each role, and what conditions and outcomes say."""
+    names = lambda f: F.slice(F.filter(F.transform(F.coalesce(reaction[f], F.array()), lambda c: F.coalesce(F.nullif(c["name"], F.lit("")), c["symbol"])), lambda n: F.coalesce(n, F.lit("")) != ""), 1, limit)
+    said = lambda v: ~F.coalesce(v, F.lit("")).isin("", "null")
+    conditions = F.map_filter(F.transform_values(reaction["conditions"], lambda _, v: F.array_join(F.transform(v, lambda x: x["value"]), "; ")), lambda _, v: said(v))
+    return F.struct(
+        *[names(f).alias(f) for f in ("substrates", "products", "intermediates", "catalysts", "ligands", "other_components")],
+        conditions.alias("conditions"),
+        F.struct(*[F.when(said(reaction["targets"][k]), reaction["targets"][k]).alias(k) for k in ("yield", "ee", "er", "dr")]).alias("targets"),
+        reaction["step_count"].alias("step_count"),
+        reaction["reaction_type"].alias("raw_reaction_type"),
+    )

@@ -45,19 +45,19 @@ def renumber(rows: DataFrame, partition: Sequence[str], order: Sequence[str], pr
 
 def unique_suffixes(rows: DataFrame, partition: Sequence[str], order: Sequence[str], key: str) -> DataFrame:
     """`unique_key`: repeats of a key get _2, _3, ...; a literal key that looks like that keeps it, and the repeat goes on
-    to the next free number."""
-    body = F.aggregate(
-        "_keys",
-        F.expr("named_struct('taken', cast(array() as array<string>), 'out', cast(array() as array<string>))"),
-        lambda acc, k: _place(acc, k, F.col("_literal")),
-    )["out"]
-    grouped = rows.groupBy(*partition).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(key).alias("_key")))).alias("_rows"))
-    grouped = grouped.withColumn("_keys", F.transform("_rows", lambda r: r["_key"])).withColumn("_literal", F.array_distinct("_keys"))
-    zipped = grouped.select(*partition, F.posexplode("_rows").alias("_i", "_r"), body.alias("_out"))
-    return zipped.select(*partition, *[F.col(f"_r.{o}").alias(o) for o in order], F.col("_r._key").alias(key), F.col("_out")[F.col("_i")].alias("unique_key"))
-
-
-def _place(acc: Column, k: Column, literal: Column) -> Column:
-    free = F.filter(F.transform(F.sequence(F.lit(2), F.size(acc["taken"]) + F.size(literal) + 2), lambda i: F.concat(k, F.lit("_"), i)), lambda c: ~F.array_contains(acc["taken"], c) & ~F.array_contains(literal, c))
-    chosen = F.when(F.array_contains(acc["taken"], k), free[0]).otherwise(k)
-    return F.struct(F.concat(acc["taken"], F.array(chosen)).alias("taken"), F.concat(acc["out"], F.array(chosen)).alias("out"))
+    to the next free number.
+
+    The n-th row of a key gets the (n - 1)-th number from 2 on that no literal key of its takes. Literals are laid between
+    the rows in the order of the numbers they shift, so a running count gives each row its own: sorts, and no pairs.
+    """
+    scope = [*partition, key]
+    kept = rows.select(*partition, *order, key).withColumn("_n", F.row_number().over(Window.partitionBy(*scope).orderBy(*order)))
+    literal = rows.select(*partition, F.regexp_extract(key, r"(?s)\A(.*)_([2-9]|[1-9]\d+)\z", 1).alias("_base"), F.regexp_extract(key, r"(?s)\A(.*)_([2-9]|[1-9]\d+)\z", 2).try_cast("long").alias("_i"))
+    literal = literal.filter("_i is not null").distinct()
+    shift = F.col("_i") - F.row_number().over(Window.partitionBy(*partition, "_base").orderBy("_i")) + 1
+    taken = literal.select(*partition, F.col("_base").alias(key), shift.alias("_n"), F.lit(0).alias("_kind"))
+    both = kept.withColumn("_kind", F.lit(1)).unionByName(taken, allowMissingColumns=True)
+    passed = F.count_if(F.col("_kind") == 0).over(Window.partitionBy(*scope).orderBy("_n", "_kind").rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("_passed", passed).filter("_kind = 1")
+    unique = F.when(F.col("_n") == 1, F.col(key)).otherwise(F.concat(key, F.lit("_"), (F.col("_n") + F.col("_passed")).cast("string")))
+    return found.select(*partition, *order, key, unique.alias("unique_key"))

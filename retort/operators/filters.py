@@ -13,7 +13,7 @@ from retort.functions import vocab
 def compound_name(c: Column) -> Column:
     """The first usable of a compound's names, resolved ones included."""
     usable = lambda v: F.when(~t.one_of(v, vocab.FILTER_NAME_EMPTY), t.strip(v))
-    return F.coalesce(*[usable(c[k]) for k in ("iupac_name", "resolved_iupac_name", "name", "resolved_name", "smiles", "resolved_smiles", "symbol")], F.lit(""))
+    return F.coalesce(*[usable(c[k]) for k in ("iupac_name", "resolved_iupac_name", "name", "resolved_name_normalized", "resolved_name", "smiles", "resolved_smiles", "symbol")], F.lit(""))
 
 
 def names_of(compounds: Column) -> Column:
@@ -96,6 +96,20 @@ def broken_formulas(texts: DataFrame, *keep: str, column: str = "text") -> DataF
     return lines.select(*keep, (F.col("line_no") + 1).alias("line_no"), F.inline(hits))
 
 
+def checkable(text: Column) -> Column:
+    """Whether a page isn't one of spectra or crystal data, whose text makes formulas up."""
+    return ~F.coalesce(text, F.lit("")).rlike(vocab.ANALYTICAL_PAGE)
+
+
+def missing_formulas(pages: DataFrame, reference: DataFrame, *keys: str, text: str = "text") -> DataFrame:
+    """keys and formula: formulas of a page's reference text that its own text lacks, white space aside; pages of spectra or
+    crystal data are left out."""
+    both = pages.select(*keys, F.col(text).alias("_own")).join(reference.select(*keys, F.col(text).alias("_ref")), list(keys))
+    both = both.filter(checkable(F.concat_ws("\n", "_own", "_ref")))
+    asked = both.select(*keys, F.regexp_replace(F.coalesce("_own", F.lit("")), r"\s+", "").alias("_own"), F.explode(t.formula_candidates(F.col("_ref"))).alias("formula"))
+    return asked.filter(~F.contains("_own", "formula")).drop("_own")
+
+
 def violations(rows: DataFrame, key: str, options: str, gold: str) -> DataFrame:
     """key and violation of a question bundle: repeated ids, gold that isn't an option, no gold at all."""
     repeated = rows.groupBy(key).count().filter("count > 1").select(key, F.lit("repeated_id").alias("violation"))

@@ -13,14 +13,27 @@ from retort.operators.resolve import candidates
 
 def display_name(c: Column) -> Column:
     """A compound's name in a text: systematic, reliable, resolved, then symbol, label and structure."""
-    return t.first_text(c["iupac_name"], t.reliable_name(c["name"], c["symbol"], c["label"]), c["resolved_iupac_name"], c["resolved_name"], c["symbol"], c["label"], c["smiles"], c["resolved_smiles"])
+    return t.first_text(c["iupac_name"], t.reliable_name(c["name"], c["symbol"], c["label"]), c["resolved_iupac_name"], c["resolved_name_normalized"], c["resolved_name"], c["symbol"], c["label"], c["smiles"], c["resolved_smiles"], t.strip_amounts(c["text"]))
 
 
 def image_display_name(c: Column) -> Column:
     """A compound's name in an image: structures first."""
     name = t.reliable_name(c["name"], c["symbol"], c["label"])
     smiles = t.looks_like_smiles(name)
-    return t.first_text(c["smiles"], F.when(smiles, name), c["resolved_smiles"], c["iupac_name"], c["resolved_iupac_name"], c["resolved_name"], F.when(~smiles, name), c["label"], c["symbol"])
+    return t.first_text(c["smiles"], F.when(smiles, name), c["resolved_smiles"], c["iupac_name"], c["resolved_iupac_name"], c["resolved_name_normalized"], c["resolved_name"], F.when(~smiles, name), t.strip_amounts(c["text"]), c["label"], c["symbol"])
+
+
+def structure_identifier(c: Column, modality: str) -> Column:
+    """struct<value, source> of what a provider can draw a compound by, and the field that it stands in; "" if nothing."""
+    name = t.clean_text(c["name"])
+    plain = lambda *fields: [(f, t.clean_text(c[f])) for f in fields]
+    if modality == "image":
+        drawn = t.looks_like_smiles(name)
+        ways = [*plain("smiles"), ("name", F.when(drawn, name)), *plain("resolved_smiles", "iupac_name", "resolved_iupac_name", "resolved_name_normalized", "resolved_name"), ("name", F.when(~drawn, name)), *plain("label", "symbol")]
+    else:
+        ways = [*plain("iupac_name", "resolved_iupac_name", "resolved_name_normalized", "resolved_name"), ("name", name)]
+    found = F.filter(F.array(*[F.struct(v.alias("value"), F.lit(f).alias("source")) for f, v in ways]), lambda x: x["value"] != "")
+    return F.coalesce(F.try_element_at(found, F.lit(1)), F.struct(F.lit("").alias("value"), F.lit("").alias("source")))
 
 
 def substrate_display_name(c: Column, policy: str) -> Column:
@@ -29,7 +42,7 @@ def substrate_display_name(c: Column, policy: str) -> Column:
     if policy == "resolved":
         return own
     if policy == "original_if_available":
-        series = F.when(t.clean_text(c["resolution_method"]) == "underspecified_series_label", F.nullif(t.clean_text(c["symbol"]), F.lit("")))
+        series = F.when(t.clean_text(c["resolution_evidence"]["match_type"]) == "underspecified_series_label", F.nullif(t.clean_text(c["symbol"]), F.lit("")))
         return F.coalesce(series, given, own)
     if policy == "registry_if_resolved_else_original":
         by_registry = (t.clean_text(c["resolution_source"]) == "name_registry") & (F.lower(t.clean_text(c["registry_match_status"])) != "conflict")
@@ -77,7 +90,8 @@ def image_edges(reactions: DataFrame) -> DataFrame:
 
 
 def text_edges(reactions: DataFrame, policy: str = "resolved", image: bool = False) -> DataFrame:
-    """The edges of reactions (source_paper, reaction struct): one pass, an array of edges for each reaction, inlined.
+    """The edges of reactions (source_paper, reaction struct): one pass, an array of edges for each reaction, without
+    repeats, inlined.
 
     Compounds without a name are an `unknown` node, intermediates without one vanish. Additives and reagents are other
     components. Outcomes are on every edge. Rows are distinct in all columns.
@@ -113,7 +127,7 @@ def text_edges(reactions: DataFrame, policy: str = "resolved", image: bool = Fal
         everything = F.concat(F.filter(everything, lambda e: ~e["relationship"].isin("PRODUCES_INTERMEDIATE", "USES_INTERMEDIATE")), one("EXTRACTED_FROM_IMAGE", picture, "Image"))
     node = F.concat_ws(":", F.lit("ImageReaction" if image else "TextReaction"), F.col("source_paper"), *([picture] if image else []), r["id"])
     target = lambda k: t.clean_text(r["targets"][k]).alias(k)
-    rows = reactions.select(node.alias("x_name"), F.lit("Reaction").alias("x_type"), F.col("source_paper").alias("pdf_name"), (F.lit("") if image else F.array_join(F.transform(F.coalesce(r["source_pages"], F.array()), lambda p: p.cast("string")), ", ")).alias("source_pages"), picture.alias("source_image"), *[target(k) for k in ("yield", "ee", "er", "dr")], F.inline(everything))
+    rows = reactions.select(node.alias("x_name"), F.lit("Reaction").alias("x_type"), F.col("source_paper").alias("pdf_name"), (F.lit("") if image else F.array_join(F.transform(F.coalesce(r["source_pages"], F.array()), lambda p: p.cast("string")), ", ")).alias("source_pages"), picture.alias("source_image"), *[target(k) for k in ("yield", "ee", "er", "dr")], F.inline(F.array_distinct(everything)))
     rows = rows.withColumn("reaction_id", F.col("x_name")).withColumn("source_modality", F.lit("image" if image else "text"))
     return dedupe_edges(route_amounts(rows)).select(*vocab.EDGE_COLUMNS)
 
@@ -152,6 +166,39 @@ def split_condition(text: Column) -> Column:
     return F.filter(F.transform(parts, t.strip), lambda p: p != "")
 
 
+def condition_label(part: Column) -> Column:
+    """The label of "label: value", lower-cased, with spaces for underscores; "" if there is none."""
+    return F.replace(F.lower(t.clean_text(F.regexp_extract(part, r"\A\s*([^:：]+)\s*[:：]", 1))), F.lit("_"), F.lit(" "))
+
+
+def condition_value(part: Column) -> Column:
+    return t.clean_text(F.regexp_extract(part, r"\A\s*[^:：]+\s*[:：]\s*(.*)", 1))
+
+
+def legacy_solvents(parts: Column, order: Column) -> Column:
+    """Items of USES_SOLVENT from ordered parts <o, s, named, v>: in each step the n-th name with the n-th amount, and amounts
+    without a name as "solvent_amount: x"."""
+    steps = F.array_distinct(F.transform(parts, lambda p: p["s"]))
+    of = lambda s, named: F.array_distinct(F.transform(F.filter(parts, lambda p: (p["s"] == s) & (p["named"] == named)), lambda p: p["v"]))
+    text = lambda z: F.when(z["a"].isNull(), F.concat(F.lit("solvent_amount: "), z["b"])).when(z["b"].isNull(), z["a"]).otherwise(F.concat(z["a"], F.lit(" ("), z["b"], F.lit(")")))
+    pairs = lambda s: F.transform(F.arrays_zip(of(s, True).alias("a"), of(s, False).alias("b")), lambda z: F.struct(order.alias("o"), F.lit("USES_SOLVENT").alias("r"), s.alias("s"), text(z).alias("v")))
+    return F.flatten(F.transform(steps, pairs))
+
+
+def legacy_edges(reactions: DataFrame) -> DataFrame:
+    """The older graph of reactions (source_paper, reaction_pos, reaction): x_name, relationship, y_name, step and amount of
+    distinct triples; the first reaction of a (paper, id) counts, and one without an id is reaction_<pos>."""
+    r = F.col("reaction")
+    one = reactions.withColumn("_id", F.coalesce(r["id"], F.concat(F.lit("reaction_"), F.col("reaction_pos").cast("string"))))
+    first = one.groupBy("source_paper", "_id").agg(F.min_by("reaction", "reaction_pos").alias("reaction"))
+    name = lambda c: t.first_text(c["name"], c["symbol"])
+    sides = {"substrates": "USES_SUBSTRATE", "products": "PRODUCES", "catalysts": "USES_CATALYST", "ligands": "USES_LIGAND", "other_components": "USES_OTHER_COMPONENT", "additives": "USES_ADDITIVE", "reagents": "USES_REAGENT"}
+    triple = lambda rel: lambda c: F.struct(F.lit(rel).alias("relationship"), name(c).alias("y_name"), c["step"].alias("step"), t.clean_text(c["amount"]).alias("amount"))
+    made = F.concat(*[F.transform(F.coalesce(r[f], F.array()), triple(rel)) for f, rel in sides.items()])
+    rows = first.select(F.concat_ws(":", "source_paper", "_id").alias("x_name"), F.inline(F.array_distinct(made))).filter("y_name <> ''")
+    return rows.groupBy("x_name", "relationship", "y_name", "step").agg(F.min("amount").alias("amount"))
+
+
 def fold_edges(edges: DataFrame, order: str = "pos") -> DataFrame:
     """One row for each reaction of edges with an order column: per role the distinct "name (amount)" values, those
     without a step first, then "stepN: a; b"; outcomes are the first that aren't empty.
@@ -163,9 +210,17 @@ def fold_edges(edges: DataFrame, order: str = "pos") -> DataFrame:
     value = F.when(amount != "", F.concat("y_name", F.lit(" ("), amount, F.lit(")"))).otherwise(F.col("y_name"))
     used = edges.filter((F.col("source_modality") != "text+image") & (F.col("reaction_id") != "") & (~r.isin(*vocab.IGNORED_RELATIONS)))
     item = F.struct(F.col(order).alias("o"), r.alias("r"), step.alias("s"), value.alias("v"))
+    # Solvents that an older form keeps among the conditions are told apart first; the rest of the text stays a condition.
+    parts = split_condition(F.col("y_name"))
+    is_legacy = (r == "HAS_CONDITION") & F.exists(parts, lambda p: condition_label(p).isin(*vocab.SOLVENT_LABELS))
+    legacy = F.transform(F.filter(F.transform(parts, lambda p: F.struct(condition_label(p).alias("label"), condition_value(p).alias("value"))), lambda p: p["label"].isin(*vocab.SOLVENT_LABELS) & (p["value"] != "")), lambda p: F.struct(F.col(order).alias("o"), step.alias("s"), p["label"].isin(*vocab.SOLVENT_NAME_LABELS).alias("named"), p["value"].alias("v")))
+    kept = F.array_join(F.filter(parts, lambda p: ~condition_label(p).isin(*vocab.SOLVENT_LABELS)), "; ")
+    used = used.withColumn("_legacy", F.when(is_legacy, legacy)).withColumn("y_name", F.when(is_legacy, kept).otherwise(F.col("y_name")))
+    item = F.when(F.col("y_name") != "", item)
     first = lambda c: F.coalesce(F.min(F.when(F.col(c) != "", F.struct(F.col(order), F.col(c).alias("v"))))["v"], F.lit("")).alias(c)
     pages = F.array_sort(F.array_distinct(F.flatten(F.collect_set(t.page_numbers(F.col("source_pages")))))).alias("pages")
-    rows = used.groupBy("reaction_id").agg(F.min(F.struct(order, "pdf_name"))["pdf_name"].alias("paper"), F.min(order).alias("first_pos"), F.array_sort(F.collect_list(item)).alias("items"), pages, *[first(c) for c in ("yield", "ee", "er", "dr")])
+    rows = used.groupBy("reaction_id").agg(F.min(F.struct(order, "pdf_name"))["pdf_name"].alias("paper"), F.min(order).alias("first_pos"), F.array_sort(F.collect_list(item)).alias("items"), F.array_sort(F.flatten(F.collect_list("_legacy"))).alias("legacy"), pages, *[first(c) for c in ("yield", "ee", "er", "dr")])
+    rows = rows.withColumn("items", F.concat("items", legacy_solvents(F.col("legacy"), F.try_element_at("items", F.lit(1))["o"])))
     role = lambda *rels: render_steps(F.filter("items", lambda x: x["r"].isin(*rels)))
     produced = F.transform(F.filter("items", lambda x: x["r"] == "PRODUCES_INTERMEDIATE"), lambda x: x["v"])
     between = F.filter("items", lambda x: (x["r"] == "PRODUCES_INTERMEDIATE") | ((x["r"] == "USES_INTERMEDIATE") & ~F.array_contains(produced, x["v"])))

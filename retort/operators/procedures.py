@@ -29,6 +29,18 @@ def gp_key(title: Column) -> Column:
     return F.nullif(F.upper(F.regexp_extract(title, _TITLE, 1)), F.lit(""))
 
 
+def embedded_procedures(texts: DataFrame, key: str = "gp_key", text: str = "text") -> DataFrame:
+    """gp_key and text of each procedure, those that hold several "Procedure A (for products 3a-3k)" cut into these, which
+    are named by letter and products; white space around a part goes."""
+    heading = r"(?:^|\n)\s*(?:\d+\)\s*)?Procedure\s+[A-Z]\s*\((?:for\s+)?[^)]+?\b(?:products?|compounds?)\s+[A-Za-z]?\d+[A-Za-z]*\s*[-\u2010-\u2015]\s*[A-Za-z]?\d+[A-Za-z]*\)"
+    at = F.split(text, rf"(?i)(?={heading})")
+    begins = rf"(?i)\A\s*(?:\d+\)\s*)?Procedure\s+([A-Z])\s*\((?:for\s+)?[^)]+?\b(?:products?|compounds?)\s+([A-Za-z]?\d+[A-Za-z]*)\s*[-\u2010-\u2015]\s*([A-Za-z]?\d+[A-Za-z]*)\)"
+    parts = texts.withColumn("_parts", F.filter(at, lambda p: p.rlike(begins))).withColumn("_parts", F.when(F.size("_parts") >= 2, F.col("_parts")))
+    part = parts.select("*", F.explode_outer("_parts").alias("_part"))
+    name = F.concat(F.lit("GeneralProcedure"), F.upper(F.regexp_extract("_part", begins, 1)), F.lit("_"), F.regexp_extract("_part", begins, 2), F.lit("-"), F.regexp_extract("_part", begins, 3))
+    return part.select(*[c for c in texts.columns if c not in (key, text)], F.coalesce(name, F.col(key)).alias(key), F.coalesce(t.strip(F.col("_part")), F.col(text)).alias(text))
+
+
 def gp_aliases(key: Column) -> Column:
     """How texts call a general procedure, longest first."""
     names = F.array(*[F.concat(F.lit(p), F.lower(key)) for p in ("general procedure ", "procedure ", "method ", "gp-", "gp ", "gp")])

@@ -11,6 +11,7 @@ from retort.functions import metrics as m
 from retort.functions import text as t
 from retort.functions import vocab
 from retort.operators.filters import reaction_type
+from retort.storage import materialize
 
 
 def staged_reason(*stages: tuple[Column, str]) -> Column:
@@ -69,8 +70,39 @@ def shuffled(options: DataFrame, group: Sequence[str], key: Column, seed: str) -
 
 
 def numbered(questions: DataFrame, order: Sequence[str], prefix: str) -> DataFrame:
-    """`id`: prefix_0001, ... by the order of all questions, of which there are few by nature."""
-    return questions.withColumn("id", F.concat(F.lit(f"{prefix}_"), F.lpad(F.row_number().over(Window.orderBy(*order)).cast("string"), 4, "0")))
+    """`id`: prefix_0001, ... by the order of all questions.
+
+    Rows are dealt to tasks by ranges of the order; a row's number is its place in its range and the sizes of the ranges
+    before, one number for each task. Equal rows, by the order columns, lie in one range.
+    """
+    ranged = materialize(questions.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    task = F.shiftright("_at", 33)
+    before = ranged.groupBy(task.alias("_task")).agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    placed = ranged.withColumn("_task", task).join(F.broadcast(before), "_task")
+    number = (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1) + 1).cast("string")
+    return placed.withColumn("id", F.concat(F.lit(f"{prefix}_"), F.lpad(number, F.greatest(F.lit(4), F.char_length(number)), F.lit("0")))).select(*questions.columns, "id")
+
+
+def named_scaffold(compounds: Column) -> Column:
+    return F.array_join(F.transform(compounds, lambda c: F.concat(F.coalesce(c["name"], F.lit("")), F.lit(" (scaffold: "), F.coalesce(F.nullif(c["scaffold"], F.lit("")), F.lit("unknown")), F.lit(")"))), "; ")
+
+
+def question_text(kind: Column, substrates: Column, products: Column, objective: str = m.COMBINED) -> Column:
+    """What a condition question asks, line by line; the line of the reaction's type is there if it has one."""
+    best = {m.COMBINED: "best combined ee and yield?", m.YIELD_ONLY: "best reported yield?"}[objective]
+    lines = [
+        F.when(F.coalesce(kind, F.lit("")) != "", F.concat(F.lit("Reaction type: "), kind, F.lit("."))),
+        F.concat(F.lit("Substrate combination: "), named_scaffold(substrates), F.lit(".")),
+        F.concat(F.lit("Product(s): "), named_scaffold(products), F.lit(".")),
+        F.lit("Question: Which complete reaction conditions, including catalyst if applicable, are expected to give the " + best),
+    ]
+    return F.array_join(F.array_compact(F.array(*lines)), "\n")
+
+
+def option_counts(questions: DataFrame, *by: str) -> DataFrame:
+    """How many options questions have: their number, least, most, and the distribution as an array of <n_options, n>."""
+    each = questions.groupBy(*by, "n_options").agg(F.count("*").alias("n"))
+    return each.groupBy(*by).agg(F.sum("n").alias("n_questions"), F.min("n_options").alias("least"), F.max("n_options").alias("most"), F.array_sort(F.collect_list(F.struct("n_options", "n"))).alias("distribution"))
 
 
 def public_condition(reaction: Column) -> Column:

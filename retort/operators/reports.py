@@ -95,3 +95,40 @@ def type_audit(rows: DataFrame, group: Sequence[str], kind: str) -> DataFrame:
 def status_counts(rows: DataFrame, status: str, statuses: Sequence[str], file: str) -> DataFrame:
     """Counts of each status by file, and in all (file null)."""
     return rows.rollup(file).agg(F.count("*").alias("n"), *[F.count_if(F.col(status) == s).alias(s) for s in statuses])
+
+
+def split_report(reactions: DataFrame, classes: DataFrame, key: str, paper: str, name: str) -> DataFrame:
+    """By paper and in all (paper null): reactions, those of each class (classes: key, name, class), of neither, and names."""
+    rows = reactions.join(classes, key, "left")
+    sums = [F.count("*").alias("n"), F.count_if(F.col("class") == "Q1").alias("q1"), F.count_if(F.col("class") == "Q2").alias("q2"), F.count_if(F.col("class").isNull()).alias("unclassified"), F.count_distinct(name).alias("names")]
+    return rows.rollup(paper).agg(*sums)
+
+
+def enrichment_stats(compounds: DataFrame) -> DataFrame:
+    """One row of counts of compounds (name, source, hit, parsed, error): how many had something to ask with, what answered
+    them, and what is left."""
+    asked = F.col("name") != ""
+    hit, parsed, failed = asked & F.col("hit"), asked & ~F.col("hit") & F.col("parsed"), asked & ~F.col("hit") & (F.col("error") != "")
+    return compounds.agg(
+        F.count("*").alias("compounds"),
+        F.count_if(~asked).alias("without_name"),
+        F.count_if(asked).alias("with_name"),
+        F.count_distinct(F.when(asked, F.col("name"))).alias("distinct_names"),
+        F.count_if(hit).alias("cache_hits"),
+        F.count_if(asked & ~F.col("hit")).alias("cache_misses"),
+        F.count_if(parsed).alias("parsed"),
+        F.count_if(failed).alias("failed"),
+        F.count_if(asked & ~F.col("hit") & ~F.col("parsed") & (F.col("error") == "")).alias("pending"),
+        F.count_if(hit | parsed).alias("enriched"),
+    )
+
+
+def run_summary(stages: DataFrame, paper: str = "paper", stage: str = "stage", status: str = "status", seconds: str = "seconds") -> DataFrame:
+    """By stage and in all (stage null): papers, those that ended well, failed and were skipped, and their seconds."""
+    one = lambda s: F.count_distinct(F.when(F.col(status) == s, F.col(paper))).alias(s)
+    return stages.rollup(stage).agg(F.count_distinct(paper).alias("papers"), one("ok"), one("failed"), one("skipped"), F.bround(F.sum(seconds), 3).alias("seconds"))
+
+
+def gp_summary(log: DataFrame, paper: str = "paper") -> DataFrame:
+    """By paper: procedures, and how many are valid, invalid and in error, from a procedure log (paper, gp_key, status)."""
+    return log.groupBy(paper).agg(F.count("*").alias("procedures"), *[F.count_if(F.col("status") == s).alias(s) for s in ("valid", "invalid", "error")])

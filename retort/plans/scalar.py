@@ -17,8 +17,9 @@ _SCORE = "(" + " + ".join([*(f"3 * {_count('t', w)}" for w in vocab.QUANTITATIVE
 
 @query("page_relevance", f"SELECT doc_id, {_SCORE} AS score, {_SCORE} >= {vocab.PAGE_THRESHOLD} AS relevant FROM (SELECT doc_id, lower(text) AS t FROM documents)")
 def page_relevance(spark, table):
-    score = t.page_score(F.col("text"))
-    return table("documents").select("doc_id", score.alias("score"), (score >= vocab.PAGE_THRESHOLD).alias("relevant"))
+    # Counted in a batch of its own, so that the comparison reads the number and doesn't count again.
+    scored = table("documents").select("doc_id", t.page_score(F.col("text")).alias("score"))
+    return scored.select("doc_id", "score", (F.col("score") >= vocab.PAGE_THRESHOLD).alias("relevant"))
 
 
 @query("page_relevance_html", f"SELECT page_id, {_SCORE} AS score FROM (SELECT page_id, lower(html) AS t FROM pages)")

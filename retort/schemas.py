@@ -10,7 +10,8 @@ STEP_VALUE = "struct<step:int,value:string>"
 COMPOUND = (
     "struct<name:string,symbol:string,label:string,amount:string,step:int,scaffold:string,substituents:array<string>,parseable:boolean,"
     "iupac_name:string,smiles:string,original_name:string,resolved_name:string,resolved_iupac_name:string,resolved_smiles:string,"
-    "resolution_source:string,resolution_method:string,resolution_confidence:string,resolution_status:string,registry_name:string,registry_match_status:string>"
+    "resolution_source:string,resolution_method:string,resolution_confidence:string,resolution_status:string,registry_name:string,registry_match_status:string,"
+    "resolved_name_normalized:string,text:string,resolution_evidence:struct<match_type:string,reported_name:string,reported_symbol:string,registry_symbol:string>>"
 )
 #: One value without a step, or one for each step: both are arrays, by key.
 CONDITIONS = f"map<string,array<{STEP_VALUE}>>"

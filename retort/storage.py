@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,11 +12,14 @@ from pyspark.sql import DataFrame
 def materialize(df: DataFrame) -> DataFrame:
     """df written below spark.checkpoint.dir, which all executors share, and read back: its plan begins anew.
 
-    Where the setting is unset, as in tests, a temporary folder serves.
+    Where the setting is unset a session with local executors only, as in tests, gets a temporary folder; on a cluster
+    that is an error.
     """
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="retort-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/stages/{uuid.uuid4().hex}"

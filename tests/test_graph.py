@@ -39,8 +39,8 @@ def test_single_step(spark):
 def test_steps_intermediates_and_spare_amounts(spark):
     row = folded(spark, TWO)["r2"]
     assert row.intermediate == "step1: I"
-    assert row.solvent == "step1: THF (2 mL)"
-    assert row.conditions == "step2: solvent_amount: 25 mL; time: 3 h"
+    assert row.solvent == "step1: THF (2 mL); step2: solvent_amount: 25 mL"
+    assert row.conditions == "step2: time: 3 h"
     assert row.substrate == "unknown; step1: A; step2: 2b"
     assert row.ee == "88%"
 
