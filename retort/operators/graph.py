@@ -100,7 +100,12 @@ def text_edges(reactions: DataFrame, policy: str = "resolved", image: bool = Fal
     no_step = lambda c: F.lit("")
     named = lambda c: t.first_text(image_display_name(c) if image else display_name(c), F.lit("unknown"))
     picture = F.col("source_image") if image else F.lit("")
-    role = lambda field, relation, name=named: _edges(r[field], relation, "Compound", name, lambda c: c["step"], lambda c: t.clean_text(c["amount"]))
+    # One array of all roles, so that the names' expression stands in the plan once and not for each role.
+    tagged = lambda rel, own: lambda c: F.struct(F.lit(rel).alias("relationship"), F.lit(own).alias("own"), c.alias("c"))
+    sides = {"substrates": "USES_SUBSTRATE", "products": "PRODUCES", "catalysts": "USES_CATALYST", "ligands": "USES_LIGAND", "other_components": "USES_OTHER_COMPONENT", "additives": "USES_OTHER_COMPONENT", "reagents": "USES_OTHER_COMPONENT"}
+    every = F.concat(*[F.transform(F.coalesce(r[f], F.array()), tagged(rel, f == "substrates")) for f, rel in sides.items()])
+    own_name = (lambda x: named(x["c"])) if image or policy == "resolved" else (lambda x: F.when(x["own"], t.first_text(substrate_display_name(x["c"], policy), F.lit("unknown"))).otherwise(named(x["c"])))
+    of_roles = F.transform(every, lambda x: F.struct(x["relationship"].alias("relationship"), own_name(x).alias("y_name"), F.lit("Compound").alias("y_type"), F.coalesce(x["c"]["step"].cast("string"), F.lit("")).alias("step"), t.clean_text(x["c"]["amount"]).alias("amount")))
     inter = F.filter(F.coalesce(r["intermediates"], F.array()), lambda i: t.first_text(i["name"], i["symbol"]) != "")
     inter_name = lambda i: t.first_text(i["name"], i["symbol"])
     produced = F.transform(F.filter(inter, lambda i: i["produced_in_step"].isNotNull()), inter_name)
@@ -113,11 +118,7 @@ def text_edges(reactions: DataFrame, policy: str = "resolved", image: bool = Fal
         one("OF_TYPE", of_type, "ReactionType"),
         _edges(solvents, "USES_SOLVENT", "Compound", lambda e: e["name"], lambda e: e["step"], lambda e: e["amount"]),
         F.transform(condition_summaries(r["conditions"]), lambda c: F.struct(F.lit("HAS_CONDITION").alias("relationship"), c["text"].alias("y_name"), F.lit("Condition").alias("y_type"), c["step"].alias("step"), F.lit("").alias("amount"))),
-        role("substrates", "USES_SUBSTRATE", named if image else lambda c: t.first_text(substrate_display_name(c, policy), F.lit("unknown"))),
-        role("products", "PRODUCES"),
-        role("catalysts", "USES_CATALYST"),
-        role("ligands", "USES_LIGAND"),
-        *[role(f, "USES_OTHER_COMPONENT") for f in ("other_components", "additives", "reagents")],
+        of_roles,
         _edges(F.filter(compounds, lambda c: t.clean_text(c["scaffold"]) != ""), "HAS_SCAFFOLD", "Scaffold", lambda c: t.clean_text(c["scaffold"]), no_step),
         F.flatten(F.transform(compounds, lambda c: _edges(F.transform(F.coalesce(c["substituents"], F.array()), lambda s: F.struct(s.alias("s"))), "HAS_SUBSTITUENT", "Substituent", lambda s: t.clean_text(s["s"]), no_step))),
         _edges(F.filter(inter, lambda i: i["produced_in_step"].isNotNull()), "PRODUCES_INTERMEDIATE", "Compound", inter_name, lambda i: i["produced_in_step"]),

@@ -9,6 +9,7 @@ from retort.functions import metrics as m
 from retort.functions import text as t
 from retort.operators import canon, dedupe, filters, graph, procedures, questions, reports, validation
 from retort.plans.base import query
+from retort.storage import materialize
 
 #: Line numbers of an order by the role that their parts play; solvent, its amount and temperature are conditions.
 ROLE_OF_LINE = {1: "substrates", 2: "products", 3: "catalysts", 4: "ligands", 6: "other_components"}
@@ -64,7 +65,8 @@ def reactions(table, modality: str = "text"):
     )
     paper = F.concat(F.lit("paper"), (F.col("o_custkey") % 50).cast("string"))
     out = made.join(table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return out.select(paper.alias("source_paper"), F.col("o_orderkey").alias("reaction_pos"), F.lit(modality).alias("source_modality"), F.concat(F.lit("img"), F.col("o_orderkey") % 9).alias("source_image"), whole.alias("reaction"))
+    out = out.select(paper.alias("source_paper"), F.col("o_orderkey").alias("reaction_pos"), F.lit(modality).alias("source_modality"), F.concat(F.lit("img"), F.col("o_orderkey") % 9).alias("source_image"), whole.alias("reaction"))
+    return materialize(out)  # as a payload scan gives them; operators read fields of a column, not of the expression that made it
 
 
 _ORDERS = """o AS (SELECT o_orderkey, 'paper' || (o_custkey % 50) AS paper, o_orderpriority AS kind, CASE WHEN o_orderkey % 7 <> 0 THEN round(100 * (SELECT max(l_discount) FROM lineitem WHERE l_orderkey = o_orderkey))::INTEGER || '%' ELSE '' END AS y,
