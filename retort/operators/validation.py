@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retort.functions import text as t
 from retort.functions import vocab
+from retort.functions.metrics import target_cue
 from retort.operators.filters import compound_name
 
 
@@ -35,6 +36,14 @@ def retry_messages(reactions: DataFrame) -> DataFrame:
     return found
 
 
+def missed_targets(text: Column, mode: Column, reactions: Column) -> Column:
+    """The ids of reactions with products but no outcome, in a chunk of a procedure whose text names outcomes; else null."""
+    named = lambda r: F.exists(F.coalesce(r["products"], F.array()), lambda c: F.coalesce(c["name"], F.lit("")) != "")
+    silent = lambda r: F.coalesce(*[F.nullif(r["targets"][k], F.lit("")) for k in ("yield", "ee", "er", "dr")]).isNull()
+    missed = F.transform(F.filter(reactions, lambda r: named(r) & silent(r)), lambda r: F.coalesce(r["id"], F.lit("<missing id>")))
+    return F.when(mode.isin("gp", "mixed") & target_cue(text) & (F.size(missed) > 0), missed)
+
+
 def resolution_violations(resolved: DataFrame, ambiguous: DataFrame, scope: Sequence[str], symbol: str = "symbol") -> DataFrame:
     """Rows resolved though they must not be, with the reason: an ambiguous symbol, a name of their own, doubt, a foreign role."""
     bad = ambiguous.select(*scope, symbol).distinct().withColumn("_amb", F.lit(True))

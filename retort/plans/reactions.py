@@ -364,6 +364,85 @@ def condition_checks(spark, table):
     return reactions(table).select("reaction_pos", F.coalesce(filters.has_valid_condition(r["conditions"]), F.lit(False)).alias("valid"), questions.has_visible_condition(r).alias("visible"), questions.substrate_key(r["substrates"]).alias("substrates"), questions.scaffold_key(r["substrates"]).alias("scaffolds"), validation.scaffold_class(r["products"]).alias("class"))
 
 
+@query(
+    "compound_marks",
+    """SELECT p_partkey, p_partkey % 2 = 0 AS uncertain, p_partkey % 3 = 0 AS symbol, CASE p_partkey % 3 WHEN 0 THEN [1] ELSE [0, 1] END AS specific, ['a=S' || p_partkey] AS hidden, p_partkey % 4 < 2 AS covered FROM part""",
+)
+def compound_marks(spark, table):
+    k, text = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    name = F.when(k % 3 == 0, "4ab").otherwise(F.col("p_name"))
+    of = lambda n, s=None: F.from_json(F.to_json(F.struct(n.alias("name"), (F.lit(None).cast("string") if s is None else s).alias("symbol"))), schemas.COMPOUND)
+    rows = table("part").select("p_partkey", "p_name", name.alias("name"), F.array(of(name), of(F.col("p_name")), of(F.lit("Product")), of(F.lit(None).cast("string"))).alias("products"), F.array(of(F.lit(" a "), F.concat(F.lit("S"), text)), of(F.lit("b"))).alias("others"))
+    reagent = F.when(k % 4 == 0, F.concat("p_name", F.lit("; more"))).when(k % 4 == 1, F.upper("p_name")).otherwise("absent")
+    return rows.select(
+        "p_partkey",
+        t.is_uncertain(F.when(k % 2 == 0, F.concat("p_name", F.lit(", Please Check"))).otherwise(F.col("p_name"))).alias("uncertain"),
+        t.looks_like_symbol(F.col("name")).alias("symbol"),
+        validation.specific_products(F.col("products")).alias("specific"),
+        validation.hidden_symbols(F.col("others")).alias("hidden"),
+        validation.covered_by_context(reagent, F.array(F.concat(F.lit("some "), F.col("p_name")))).alias("covered"),
+    )
+
+
+@query("section_words", "SELECT p_partkey, lower(p_name) AS title, p_partkey % 2 = 0 AS heading, 'a: ' || p_brand || chr(10) || 'b: ' || p_type AS template FROM part")
+def section_words(spark, table):
+    line = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("3. "), F.upper("p_name"))).otherwise(F.concat("p_name", F.lit(" is what this long sentence is about, and it goes on and on")))
+    return table("part").select(
+        "p_partkey",
+        procedures.section_title(F.concat(F.lit("IV.2) "), F.upper("p_name"), F.lit(" :. "))).alias("title"),
+        procedures.is_heading(line, F.split(F.lower("p_name"), " ")).alias("heading"),
+        procedures.render_template(F.create_map(F.lit("b"), F.col("p_type"), F.lit("a"), F.col("p_brand"))).alias("template"),
+    )
+
+
+@query(
+    "shaped_reactions",
+    """SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN '90%' WHEN 1 THEN c_nationkey || '%' END AS "yield", c_nationkey || ':1' AS er, CASE c_custkey % 2 WHEN 0 THEN c_nationkey || ' mL' ELSE '9 mL' END AS solvent_amount, c_mktsegment || '; DMF' AS solvent, 2 AS steps,
+       CASE c_custkey % 4 WHEN 0 THEN 'produced_not_before_consumed' WHEN 1 THEN 'consumed_after_last_step' WHEN 2 THEN 'repeated_intermediate' END AS step_error, CASE c_custkey % 2 WHEN 0 THEN 2 ELSE 1 END AS score FROM customer""",
+)
+def shaped_reactions(spark, table):
+    """Outcomes lifted and cleaned, conditions of one step, amounts under one key, steps and what is wrong with them."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    none = F.lit(None).cast("string")
+    inside = F.struct(F.when(k % 3 == 0, "((90%))").alias("yield"), none.alias("ee"), F.concat(F.lit("er = "), n, F.lit(":1")).alias("er"), F.lit("null").alias("dr"))
+    beside = F.struct(F.when(k % 3 == 1, F.concat(n, F.lit("%"))).otherwise("not reported").alias("yield"), none.alias("ee"), none.alias("er"), none.alias("dr"))
+    value = lambda *vs: F.array(*[F.struct(F.lit(i + 1).alias("step"), v.alias("value")) for i, v in enumerate(vs)])
+    conditions = F.map_concat(F.create_map(F.lit("volume"), value(F.concat(n, F.lit(" mL"))), F.lit("solvent"), value(F.col("c_mktsegment"), F.lit(" DMF"))), F.when(k % 2 != 0, F.create_map(F.lit("solvent_amount"), value(F.lit("9 mL")))).otherwise(F.create_map(F.lit("concentration"), value(F.lit(" ")))))
+    made = lambda name, a, b: F.struct(F.lit(name).alias("name"), none.alias("symbol"), F.lit(a).alias("produced_in_step"), F.lit(b).alias("consumed_in_step"))
+    inter = F.when(k % 4 == 0, F.array(made("I", 2, 2))).when(k % 4 == 1, F.array(made("I", 1, 7))).when(k % 4 == 2, F.array(made("I", 1, 2), made("i", 1, 2))).otherwise(F.array(made("I", 1, 2)))
+    rows = table("customer").select("c_custkey", inside.alias("inside"), beside.alias("beside"), conditions.alias("conditions"), inter.alias("intermediates"), F.lit(None).cast("int").alias("step_count"))
+    r = rows.select("c_custkey", canon.lift_targets(F.col("inside"), F.col("beside")).alias("t"), canon.condition_amounts(F.col("conditions")).alias("c"), F.struct("conditions", F.filter("intermediates", lambda i: i["consumed_in_step"] < 7).alias("intermediates"), "step_count").alias("r"), F.struct("intermediates").alias("s"), "conditions")
+    r = r.select("*", canon.clean_targets(F.col("t")).alias("cleaned"), canon.single_step(F.col("c")).alias("one"), canon.inheritance({"amount": F.map_contains_key(F.col("c"), "solvent_amount"), "air": F.map_contains_key(F.col("c"), "atmosphere"), "even": F.col("c_custkey") % 2 == 0}).alias("inherited"))
+    return r.select(
+        "c_custkey", "cleaned.yield", "cleaned.er", F.col("c")["solvent_amount"][0]["value"].alias("solvent_amount"), F.col("one")["solvent"][0]["value"].alias("solvent"),
+        canon.step_count(F.col("r"), ()).alias("steps"), canon.step_error(F.col("s"), F.lit(2)).alias("step_error"), F.col("inherited.score").alias("score"),
+    )
+
+
+@query("missed_targets", "SELECT c_custkey, CASE WHEN c_custkey % 4 IN (0, 1) AND c_custkey % 3 <> 0 THEN ['r1', '<missing id>'] END AS missed FROM customer")
+def missed_targets(spark, table):
+    k = F.col("c_custkey")
+    none = F.lit(None).cast("string")
+    targets = lambda y: F.struct(y.alias("yield"), none.alias("ee"), F.lit("").alias("er"), none.alias("dr"))
+    one = lambda i, product, y: F.struct(i.alias("id"), F.array(F.struct(product.alias("name"))).alias("products"), targets(y).alias("targets"))
+    some = F.array(one(F.lit("r1"), F.col("c_name"), none), one(F.lit("r2"), F.col("c_name"), F.lit("5%")), one(F.lit("r3"), F.lit(""), none), one(none, F.lit("x"), none))
+    mode = F.when(k % 4 == 0, "gp").when(k % 4 == 1, "mixed").otherwise("plain")
+    return table("customer").select("c_custkey", validation.missed_targets(F.when(k % 3 != 0, "gave 5% yield").otherwise("gave much"), mode, some).alias("missed"))
+
+
+@query("image_batch", "SELECT count(*) AS images, count(*) FILTER (c_custkey % 3 = 0) AS ok, count(*) FILTER (c_custkey % 3 <> 0) AS failed, max(c_nationkey)::DOUBLE AS longest, sum(c_nationkey)::DOUBLE AS seconds FROM customer")
+def image_batch(spark, table):
+    return reports.batch_summary(table("customer").select(F.when(F.col("c_custkey") % 3 == 0, "ok").otherwise("error").alias("status"), F.col("c_nationkey").cast("double").alias("image_elapsed_seconds")))
+
+
+@query("resolution_violations", "SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 'ambiguous_symbol' WHEN p_partkey % 2 = 0 THEN 'had_a_name' WHEN p_partkey % 3 = 0 THEN 'uncertain_text' WHEN p_partkey % 7 = 0 THEN 'not_a_compound' END AS violation FROM part WHERE p_size % 5 = 0 OR p_partkey % 2 = 0 OR p_partkey % 3 = 0 OR p_partkey % 7 = 0")
+def resolution_violations(spark, table):
+    k, symbol = F.col("p_partkey"), F.concat(F.lit("S"), F.col("p_size").cast("string"))
+    rows = table("part").select("p_partkey", F.lit("p").alias("scope"), symbol.alias("symbol"), F.when(k % 2 == 0, F.col("p_name")).otherwise(F.lower(symbol)).alias("name"), F.when(k % 3 == 0, "not sure of it").otherwise("sure").alias("text"), F.when(k % 7 == 0, "conditions").otherwise("products").alias("field"))
+    ambiguous = table("part").filter("p_size % 5 = 0").select(F.lit("p").alias("scope"), symbol.alias("symbol"))
+    return validation.resolution_violations(rows, ambiguous, ["scope"]).select("p_partkey", "violation")
+
+
 # --- reports --------------------------------------------------------------------------------------------------------
 @query("split_report", "SELECT CASE WHEN grouping(n_name) = 0 THEN n_name END AS paper, count(*) AS n, count(*) FILTER (c_custkey % 3 = 0) AS q1, count(*) FILTER (c_custkey % 3 = 1) AS q2, count(*) FILTER (c_custkey % 3 = 2) AS unclassified, count(DISTINCT c_mktsegment) AS names FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY ROLLUP (n_name)")
 def split_report(spark, table):

@@ -45,12 +45,16 @@ def unique_suffixes(spark, table):
     return dedupe.unique_suffixes(table("part"), ["p_brand"], ["p_partkey"], "p_name")
 
 
-@query("merged_amounts", "SELECT l_orderkey, l_partkey, l_suppkey, min(l_linenumber) AS l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL")
+@query(
+    "merged_amounts",
+    """WITH a AS (SELECT l_orderkey, l_partkey, l_suppkey, l_quantity::INTEGER::VARCHAR AS amount, min(l_linenumber) AS pos, count(*) AS k FROM lineitem GROUP BY ALL)
+       SELECT l_orderkey, l_partkey, l_suppkey, min(pos) AS l_linenumber, string_agg(amount, '; ' ORDER BY pos, amount) AS amount, sum(k)::BIGINT AS n FROM a GROUP BY l_orderkey, l_partkey, l_suppkey""",
+)
 def merged_amounts(spark, table):
     rows = table("lineitem")
     merged = canon.merge_same_compounds(rows.withColumn("amount", F.col("l_quantity").cast("int").cast("string")), ["l_orderkey"], "l_partkey", "l_suppkey", "amount", "l_linenumber")
     n = rows.groupBy("l_orderkey", "l_partkey", "l_suppkey").agg(F.count("*").alias("n"))
-    return merged.join(n, ["l_orderkey", "l_partkey", "l_suppkey"]).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "n")
+    return merged.join(n, ["l_orderkey", "l_partkey", "l_suppkey"]).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "amount", "n")
 
 
 # --- joins ----------------------------------------------------------------------------------------------------------
@@ -375,28 +379,33 @@ def usage_grouping_sets(spark, table):
     return reports.usage(rows)
 
 
+# Seconds are whole here, so that sums don't depend on the order in which an engine adds them.
 @query(
     "timing_rollup",
-    """SELECT CASE WHEN grouping(event_type) = 0 THEN 'event_type' WHEN grouping(user_id) = 0 THEN 'user_id' ELSE 'total' END AS by, coalesce(event_type, user_id::VARCHAR) AS value, count(*) AS calls, max(value) AS longest FROM events GROUP BY GROUPING SETS ((), (event_type), (user_id))""",
+    """SELECT CASE WHEN grouping(event_type) = 0 THEN 'event_type' WHEN grouping(user_id) = 0 THEN 'user_id' ELSE 'total' END AS by, coalesce(event_type, user_id::VARCHAR) AS value, count(*) AS calls, sum(floor(value)) AS seconds, max(floor(value)) AS longest FROM events GROUP BY GROUPING SETS ((), (event_type), (user_id))""",
 )
 def timing_rollup(spark, table):
-    return reports.timing(table("events"), ("event_type", "user_id"), "value").drop("seconds")
+    return reports.timing(table("events").withColumn("value", F.floor("value").cast("double")), ("event_type", "user_id"), "value")
 
 
 @query(
     "image_overhead",
-    """SELECT user_id, round(coalesce(sum(value) FILTER (event_type = 'purchase'), 0), 4) AS wall, round(coalesce(sum(value) FILTER (event_type <> 'purchase'), 0), 4) AS leaf FROM events GROUP BY user_id""",
+    """SELECT user_id, coalesce(sum(floor(value)) FILTER (event_type <> 'click'), 0) AS wall, coalesce(sum(floor(value)) FILTER (event_type = 'click'), 0) AS leaf, coalesce(sum(floor(value)) FILTER (event_type <> 'click'), 0) - coalesce(sum(floor(value)) FILTER (event_type = 'click'), 0) AS overhead FROM events GROUP BY user_id""",
 )
 def image_overhead(spark, table):
-    rows = table("events").withColumn("event_kind", reports.event_kind(F.lit(""), F.col("event_type"), ()))
-    rows = rows.withColumn("event_kind", F.when(F.col("event_type") == "purchase", "wall").otherwise("leaf"))
-    return reports.overhead(rows, ["user_id"], "event_kind", "value").select("user_id", F.round("wall", 4).alias("wall"), F.round("leaf", 4).alias("leaf"))
+    kind = reports.event_kind(F.lit(""), F.col("event_type"), ("click",))
+    rows = table("events").select("user_id", kind.alias("event_kind"), F.floor("value").cast("double").alias("value"))
+    return reports.overhead(rows, ["user_id"], "event_kind", "value")
 
 
-@query("gpu_summary", "SELECT s_nationkey AS gpu_index, count(*) AS samples, max(s_suppkey) AS max_memory_used, max(s_suppkey % 7) AS max_utilization, max(s_suppkey % 5) AS max_power FROM supplier GROUP BY ROLLUP (s_nationkey)")
+@query(
+    "gpu_summary",
+    """SELECT s_nationkey AS gpu_index, count(*) AS samples, max(m) AS max_memory_used, round_even(avg(m), 2) AS avg_memory_used, max(u) AS max_utilization, round_even(avg(u), 2) AS avg_utilization, max(p) AS max_power, round_even(avg(p), 2) AS avg_power
+       FROM (SELECT s_nationkey, s_suppkey AS m, s_suppkey % 7 AS u, s_suppkey % 5 AS p FROM supplier) GROUP BY ROLLUP (s_nationkey)""",
+)
 def gpu_summary(spark, table):
     s = table("supplier").select(F.col("s_nationkey").alias("gpu_index"), F.col("s_suppkey").alias("memory_used"), (F.col("s_suppkey") % 7).alias("utilization"), (F.col("s_suppkey") % 5).alias("power"))
-    return reports.gpu_summary(s).select("gpu_index", "samples", "max_memory_used", "max_utilization", "max_power")
+    return reports.gpu_summary(s)
 
 
 @query(
@@ -450,6 +459,9 @@ def registry_reasons(spark, table):
     return table("part").select("p_partkey", filters.registry_reason(n, name).alias("reason"))
 
 
-@query("clean_lists", "SELECT p_partkey, p_name || ', ' || p_brand AS joined FROM part")
+@query("clean_lists", "SELECT p_partkey, p_name || ' ' || p_brand AS symbol_text, p_name || '; ' || p_brand AS image_text, p_name || ', Unknown, ' || p_brand AS graph_text FROM part")
 def clean_lists(spark, table):
-    return table("part").select("p_partkey", t.clean_list(F.array("p_name", F.lit("None"), F.lit(" "), "p_brand")).alias("joined"))
+    """One list under the vocabularies and glues of its three users."""
+    items = F.array(F.col("p_name"), F.lit("None"), F.lit(" "), F.lit("Unknown"), F.col("p_brand"))
+    some = F.array(F.col("p_name"), F.lit("null"), F.col("p_brand"))
+    return table("part").select("p_partkey", t.clean_list(items, " ", vocab.SYMBOL_EMPTY).alias("symbol_text"), t.clean_list(some, "; ").alias("image_text"), t.clean_list(items).alias("graph_text"))
