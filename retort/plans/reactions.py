@@ -254,6 +254,65 @@ def other_names(spark, table):
     return rows.select("p_partkey", graph.display_name(c).alias("text_name"), graph.image_display_name(c).alias("image_name"), filters.compound_name(c).alias("filter_name"))
 
 
+# --- questions and alignments ---------------------------------------------------------------------------------------
+_Q1 = """r AS (SELECT p_brand AS source_paper, p_type AS kind, p_size AS cond, p_partkey::VARCHAR AS k, p_partkey % 7 <> 0 AS e, CASE WHEN p_partkey % 7 <> 0 THEN (p_partkey % 80)::DOUBLE END AS y FROM part),
+sizes AS (SELECT source_paper, kind, count(*) AS n, count(*) FILTER (e) AS n_eligible FROM r GROUP BY ALL),
+m AS (SELECT source_paper, kind, cond, count(DISTINCT y) AS outcomes, count(*) AS n, min(k) AS k, arg_min(y, k) AS y FROM r WHERE e GROUP BY ALL),
+g AS (SELECT source_paper, kind, count(*) AS n_options, max(y) AS best, list(k ORDER BY y DESC, k) AS ranked FROM m WHERE outcomes = 1 GROUP BY ALL),
+j AS (SELECT s.*, coalesce(n_options, 0) AS n_options, best, ranked, CASE WHEN n_eligible < 2 THEN 'insufficient_objective_options' WHEN coalesce(n_options, 0) < 2 THEN 'insufficient_distinct_conditions' END AS reason FROM sizes s LEFT JOIN g USING (source_paper, kind))"""
+
+
+def _screens(table):
+    """Reactions of parts: one paper a brand, one kind a type, the size as solvent, a yield for most."""
+    k = F.col("p_partkey")
+    of = lambda name: F.array(F.from_json(F.to_json(F.struct(name.alias("name"))), schemas.COMPOUND))
+    given = F.struct(
+        F.col("p_type").alias("reaction_type"),
+        of(F.lit("S")).alias("substrates"),
+        of(F.lit("P")).alias("products"),
+        *[F.array().cast(f"array<{schemas.COMPOUND}>").alias(r) for r in ("catalysts", "ligands", "other_components", "additives", "reagents")],
+        F.create_map(F.lit("solvent"), F.array(F.struct(F.lit(None).cast("int").alias("step"), F.col("p_size").cast("string").alias("value")))).alias("conditions"),
+        F.struct(F.when(k % 7 != 0, F.concat((k % 80).cast("string"), F.lit("%"))).alias("yield"), *[F.lit(None).cast("string").alias(x) for x in ("ee", "er", "dr")]).alias("targets"),
+    )
+    return table("part").select(F.col("p_brand").alias("source_paper"), k.alias("reaction_pos"), given.alias("reaction"))
+
+
+@query("screen_questions", f"WITH {_Q1} SELECT source_paper, kind AS reaction_type, n_options, best, [x.k FOR x IN (SELECT list({{'k': k, 'y': y}} ORDER BY k) FROM m WHERE m.source_paper = j.source_paper AND m.kind = j.kind AND outcomes = 1) IF x.y = best] AS gold, ranked, n_options >= 3 AS top3 FROM j WHERE reason IS NULL")
+def screen_questions(spark, table):
+    found, _ = questions.condition_questions(_screens(table), m.YIELD_ONLY)
+    return found.select("source_paper", "reaction_type", "n_options", "best", "gold", "ranked", "top3")
+
+
+@query("screen_review", f"WITH {_Q1} SELECT source_paper, kind AS reaction_type, reason, n FROM j WHERE reason IS NOT NULL UNION ALL SELECT source_paper, kind, 'duplicate_public_conditions_conflicting_results', n FROM m WHERE outcomes > 1")
+def screen_review(spark, table):
+    _, review = questions.condition_questions(_screens(table), m.YIELD_ONLY)
+    return review.select("source_paper", "reaction_type", "reason", "n")
+
+
+_ENTITIES = """t AS (SELECT 't' || p_partkey AS text_id, p_brand AS paper, p_name AS name, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE '' END AS iupac, 's' || p_size AS symbol, p_type AS token FROM part WHERE p_partkey % 2 = 0),
+i AS (SELECT 'i' || p_partkey AS image_id, p_brand AS paper, p_name AS name, CASE WHEN p_partkey % 5 = 0 THEN p_name ELSE '' END AS iupac, CASE WHEN p_partkey % 11 = 0 THEN 'C=O' ELSE '' END AS smiles, 's' || p_size AS symbol, p_type AS token FROM part WHERE p_partkey % 2 = 1),
+same AS (SELECT DISTINCT text_id, image_id FROM t JOIN i USING (paper, iupac) WHERE iupac <> ''),
+known AS (SELECT paper, symbol, min(text_id) AS text_id FROM t GROUP BY ALL HAVING count(DISTINCT lower(name)) = 1),
+resolved AS (SELECT known.text_id, image_id FROM i JOIN known USING (paper, symbol) WHERE iupac = '' AND smiles = ''),
+rest AS (SELECT * FROM i WHERE iupac = '' AND image_id NOT IN (SELECT image_id FROM same UNION SELECT image_id FROM resolved)),
+weak AS (SELECT text_id, image_id, min(CASE WHEN t.symbol = r.symbol THEN 0 WHEN t.token = r.token THEN 1 ELSE 2 END) AS rank FROM rest r JOIN t ON t.paper = r.paper AND (t.symbol = r.symbol OR t.token = r.token OR t.name = r.name) GROUP BY ALL)"""
+
+
+@query(
+    "entity_alignments",
+    f"""WITH {_ENTITIES} SELECT text_id, image_id, 'SAME_AS' AS relationship, 'iupac' AS method, 'high' AS confidence FROM same UNION ALL SELECT text_id, image_id, 'NAME_RESOLVED_BY', 'symbol', 'medium' FROM resolved
+    UNION ALL SELECT text_id, image_id, 'CANDIDATE_SAME_AS', CASE rank WHEN 0 THEN 'symbol' WHEN 1 THEN 'token' ELSE 'name' END, 'low' FROM weak""",
+)
+def entity_alignments(spark, table):
+    k = F.col("p_partkey")
+
+    def side(rest: int, letter: str, step: int, smiles):
+        iupac = F.when(k % step == 0, F.col("p_name")).otherwise("")
+        return table("part").filter(k % 2 == rest).select(F.concat(F.lit(letter), k.cast("string")).alias("entity_id"), F.col("p_brand").alias("source_paper"), F.lit("products").alias("field"), F.col("p_name").alias("name"), iupac.alias("iupac"), smiles.alias("smiles"), F.concat(F.lit("s"), F.col("p_size").cast("string")).alias("symbol"), F.col("p_type").alias("token"))
+
+    return graph.align(side(0, "t", 3, F.lit("")), side(1, "i", 5, F.when(k % 11 == 0, "C=O").otherwise("")))
+
+
 # --- texts ----------------------------------------------------------------------------------------------------------
 _FORMULAS = "CASE doc_id % 4 WHEN 0 THEN 'C6H12O6' WHEN 1 THEN 'C 2 H6 O' WHEN 2 THEN 'Na2CO3 and C7H8' ELSE 'X9Zz3 C99H2' END"
 
