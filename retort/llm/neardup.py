@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,16 +13,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retort.llm.common import ALNUM, LOWER, mix, read, salt, stored, text_slices, windows, word_hashes, words
+from retort.llm.common import ALNUM, LOWER, mix, read, released, salt, stored, text_slices, windows, word_hashes, words
 
 #: Words of a shingle and the least Jaccard similarity of two texts' shingles that links them.
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
-#: Bins of a text's shingle counts, by which texts that differ in too many shingles are told apart exactly.
-BINS = 256
-#: Members of a bucket in a chunk; every two chunks of a bucket meet in a block, so that a large one spreads over tasks.
-CHUNK = 128
+#: Counters of shingles, whatever the table's size, by which rare ones are told from common ones.
+COUNTERS = 1 << 20
+#: Pairs for each row of an index from which on stars are tried first, half the hubs of a token in a round of these, and the
+#: share of pairs linked that makes another round worth it. What they leave is joined exactly, so neither changes the result.
+CROWDED, HUBS, WORTH = 16, 8, 0.1
 #: Ids that may be broadcast as a filter; beyond, Spark shuffles.
 BROADCAST_IDS = 500_000
 
@@ -90,43 +94,48 @@ def band_keys(marks: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    return pa.array([r.tobytes() for r in rows], pa.binary())
-
-
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash (by which a row is found again), set_key (of the shingles, or of a text without words), bands
-    array<long>, n (distinct shingles) and counts (of shingles in each bin, a byte each, modulo 256) of every row."""
+    """doc_id, text_hash (by which a row is found again), set_key (of the shingles, or of a text without words) and bands
+    array<long> of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for i, j, data, offsets in text_slices(batch.column("text")):
                 found, _, n = shingles(data, offsets)
                 marks = dart_minhash(found, np.ones(len(found)), n)  # links are by distinct shingles, so each weighs the same
                 ends = np.cumsum(n)
-                bins = np.repeat(np.arange(len(n)), n) * BINS + (found >> np.uint64(56)).astype(np.int64)
-                counts = np.bincount(bins, minlength=len(n) * BINS).reshape(len(n), BINS).astype(np.uint8)
                 keys = [hashlib.md5(b"s" + found[e - k : e].tobytes() if k else b"t" + data[a:z].tobytes()).digest() for e, k, a, z in zip(ends, n, offsets, offsets[1:], strict=False)]
                 bands = [x.tolist() if k else [] for x, k in zip(band_keys(marks), n, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(i, j - i), batch.column("text_hash").slice(i, j - i), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(n, pa.int64()), _binary(counts)],
-                    names=["doc_id", "text_hash", "set_key", "bands", "n", "counts"],
+                    [batch.column("doc_id").slice(i, j - i), batch.column("text_hash").slice(i, j - i), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["doc_id", "text_hash", "set_key", "bands"],
                 )
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, "doc_id long, text_hash long, set_key binary, bands array<long>, n long, counts binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, "doc_id long, text_hash long, set_key binary, bands array<long>")
 
 
-def similarities(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b and the exact Jaccard similarity of the shingles of each pair of nodes; shingles are made again for these only."""
+def sets_of(wanted: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and the bytes of its ascending shingles for the wanted nodes (node); made again from the texts, and stored."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for i, j, data, offsets in text_slices(batch.column("text")):
                 found, _, n = shingles(data, offsets)
                 ends = np.cumsum(n)
                 parts = [found[e - k : e].tobytes() for e, k in zip(ends, n, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(i, j - i), pa.array(parts, pa.binary())], names=["node", "shingles"])
 
+    wanted = stored(wanted.join(nodes.select("node", "doc_id", "text_hash"), "node").select("node", F.col("doc_id").alias("_doc"), "text_hash"))
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
+    met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_doc"]) & (texts["_hash"] == wanted["text_hash"])).select("node", "text")
+    return stored(met.mapInArrow(sets, "node long, shingles binary")).dropDuplicates(["node"])
+
+
+def similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b and the exact Jaccard similarity of the shingles of each pair of nodes."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -136,87 +145,104 @@ def similarities(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFra
                 out.append(both / max(1, len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], names=["a", "b", "similarity"])
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "doc_id", "text_hash"), "node")
-    wanted = wanted.select("node", F.col("doc_id").alias("_doc"), "text_hash")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"))
-    met = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["_doc"]) & (texts["_hash"] == wanted["text_hash"])).select("node", "text")
-    held = stored(met.mapInArrow(sets, "node long, shingles binary")).dropDuplicates(["node"])
-    left, right = held.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), held.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    left, right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long, similarity double")
 
 
-def partners(rows: DataFrame, nearest: bool = False) -> DataFrame:
-    """a, b: all pairs of texts of different parts that share a bucket and may be linked; with `nearest`, of each
-    text the nearest in each block only. Left out, exactly, are pairs whose counts of shingles differ by more than a link
-    allows in sum, pairs whose distances (1 - similarity, a metric) from one hub do, pairs of a text and its hub, which
-    are known, and all but the first of the buckets that a pair shares."""
-    columns = ("bucket", "x", "y", "chunk", "node", "part", "hub", "far", "n")
-
-    def pairs_of(t: dict[str, np.ndarray], starts: np.ndarray) -> pa.RecordBatch:
-        counts, bands, n = t["counts"], t["bands"], t["n"]
-        group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        found = []
-        for step in range(1, int(np.diff(starts).max(initial=1))):
-            i = np.flatnonzero(group[:-step] == group[step:])
-            j = i + step
-            ok = (t["part"][i] != t["part"][j]) & ((t["chunk"][i] != t["chunk"][j]) | (t["x"][i] == t["y"][i])) & (t["hub"][i] != t["node"][j]) & (t["hub"][j] != t["node"][i])
-            ok &= ~((t["hub"][i] == t["hub"][j]) & (np.abs(t["far"][i] - t["far"][j]) > 1 - LEAST + 1e-9))
-            ok &= np.minimum(n[i], n[j]) >= LEAST * np.maximum(n[i], n[j]) - 1e-6
-            i, j = i[ok], j[ok]
-            # Shingles of one text only number at least as the counts differ, and at most (1 - LEAST) / (1 + LEAST) of both
-            # texts' if they're linked. Counts wrap around, and the shorter way around is never longer than the difference.
-            wide = counts[i] - counts[j]
-            apart = np.minimum(wide, -wide).sum(axis=1, dtype=np.int64) / (n[i] + n[j])
-            ok = apart <= (1 - LEAST) / (1 + LEAST) + 1e-9
-            i, j, apart = i[ok], j[ok], apart[ok]
-            same = bands[i] == bands[j]
-            ok = bands[i, same.argmax(axis=1)] == t["bucket"][i]
-            found.append((i[ok], j[ok], apart[ok]))
-        i, j, apart = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(3))
-        if nearest and len(i):
-            order = np.argsort(apart, kind="stable")
-            ends, which = np.concatenate([i[order], j[order]]), np.concatenate([order, order])
-            by = np.lexsort((np.tile(np.arange(len(order)), 2), ends))
-            new = np.ones(len(by), dtype=bool)
-            new[1:] = ends[by][1:] != ends[by][:-1]
-            kept = np.unique(which[by[new]])
-            i, j = i[kept], j[kept]
-        a, b = t["node"][i], t["node"][j]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
+def rarity(sets: DataFrame) -> np.ndarray:
+    """How often the shingles of the given sets occur, in COUNTERS counters by hash: an order in which all sets are sorted
+    alike. Its size doesn't depend on the table's; shingles that share a counter only change how many pairs are compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            t = {c: batch.column(c).to_numpy() for c in columns}
-            t["counts"] = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint8).reshape(batch.num_rows, BINS)
-            t["bands"] = batch.column("bands").flatten().to_numpy().reshape(batch.num_rows, BANDS)
-            if held is not None:
-                t = {c: np.concatenate([held[c], t[c]]) for c in t}
-            new = np.ones(len(t["node"]), dtype=bool)
-            new[1:] = (t["bucket"][1:] != t["bucket"][:-1]) | (t["x"][1:] != t["x"][:-1]) | (t["y"][1:] != t["y"][:-1])
-            starts = np.flatnonzero(new)
-            held = {c: v[starts[-1] :] for c, v in t.items()}
-            yield pairs_of({c: v[: starts[-1]] for c, v in t.items()}, starts)
-        if held is not None:
-            yield pairs_of(held, np.array([0, len(held["node"])]))
-
-    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    dealt = rows.join(sizes, "bucket").withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(17)), F.col("chunks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    dealt = dealt.withColumn("x", F.least("chunk", "other")).withColumn("y", F.greatest("chunk", "other"))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.select(*columns, "counts", "bands").repartition(parts, "bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+            if batch.num_rows:
+                total += np.bincount(_counter(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([total[at]], pa.list_(pa.int64()))], names=["at", "n"])
+
+    counted = sets.mapInArrow(run, "at array<int>, n array<long>").select(F.explode(F.arrays_zip("at", "n")).alias("c")).groupBy("c.at").agg(F.sum("c.n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, np.int64)
+    out[counted.column("at").to_numpy()] = counted.column("n").to_numpy()
+    return out
+
+
+def _counter(found: np.ndarray) -> np.ndarray:
+    return (found >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+
+
+def prefixes(sets: DataFrame) -> DataFrame:
+    """token, node, n, pos and indexed: of each set (node, shingles) the shingles of which a linked set must share one.
+
+    With shingles in one order, two sets of n >= m elements and a Jaccard similarity of t at least share one among the
+    first n - ceil(t n) + 1 of the one and m - ceil(2t / (1 + t) m) + 1 (the indexed) of the other, and the first that
+    they share leaves them enough elements to share the rest. Rare shingles come first, so that what a whole family of
+    texts has in common lies behind, and what meets is mostly linked.
+    """
+    counts = rarity(sets)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [[] for _ in range(5)]
+            for node, found in zip(batch.column("node").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+                found = np.frombuffer(found, np.uint64)
+                n = len(found)
+                probe, index = n - math.ceil(LEAST * n - 1e-9) + 1, n - math.ceil(2 * LEAST / (1 + LEAST) * n - 1e-9) + 1
+                first = found[np.lexsort((found, counts[_counter(found)]))[:probe]]
+                k = len(first)
+                for column, x in zip(columns, (first.view(np.int64), np.full(k, node), np.full(k, n), np.arange(k), np.arange(k) < index), strict=True):
+                    column.append(x)
+            if columns[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["token", "node", "n", "pos", "indexed"])
+
+    return sets.mapInArrow(run, "token long, node long, n long, pos long, indexed boolean")
+
+
+def may_link(x: str, y: str) -> F.Column:
+    """Whether the larger set x may be linked with the smaller y, for which the token stands in its indexed part."""
+    c = lambda side, name: F.col(f"{side}.{name}")
+    larger = (c(x, "n") > c(y, "n")) | ((c(x, "n") == c(y, "n")) & (c(x, "node") > c(y, "node")))
+    left = F.least(c(x, "n") - c(x, "pos"), c(y, "n") - c(y, "pos"))
+    enough = (c(y, "n") >= c(x, "n") * LEAST - 1e-6) & (left >= (c(x, "n") + c(y, "n")) * (LEAST / (1 + LEAST)) - 1e-6)
+    return c(y, "indexed") & (c(x, "part") != c(y, "part")) & larger & enough
+
+
+def several_parts(tokens: DataFrame, parts: DataFrame, key: str) -> DataFrame:
+    """The rows of tokens (node, key) with the node's part, as far as rows of one key have several parts."""
+    placed = tokens.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+    several = placed.groupBy(key).agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select(key)
+    return stored(placed.join(several, key, "left_semi"))
+
+
+def crowding(tokens: DataFrame) -> tuple[int, int]:
+    """(rows of tokens, pairs of rows of one token and different parts of which one is indexed): the most there is to join."""
+    own = tokens.groupBy("token", "part").agg(F.count("*").alias("n"), F.count_if("indexed").alias("k"))
+    pairs = own.groupBy("token").agg(F.sum("n").alias("rows"), (F.sum("n") * F.sum("k") - F.sum(F.col("n") * F.col("k"))).alias("pairs"))
+    return tuple(pairs.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0))).first())
+
+
+def prefix_pairs(tokens: DataFrame, turn: int | None = None) -> DataFrame:
+    """a, b: the pairs of sets of different parts that share a token where they may be linked; with a turn, of each token
+    only those with 2 * HUBS of its sets, others in each turn: a bounded number of pairs a row."""
+    row = F.struct("node", "part", "n", "pos", "indexed")
+    if turn is not None:
+        ranked = [F.struct(F.xxhash64("node", "token", F.lit(turn * HUBS + i)).alias("h"), row.alias("hub")) for i in range(HUBS)]  # others for each token
+        hubs = tokens.groupBy("token").agg(*[f(r).alias(f"{f.__name__}{i}") for i, r in enumerate(ranked) for f in (F.min, F.max)])
+        hubs = hubs.select("token", F.explode(F.array_distinct(F.array(*[f"{f}{i}.hub" for i in range(HUBS) for f in ("min", "max")]))).alias("y"))
+        met = tokens.select("token", row.alias("x")).join(hubs, "token").filter(may_link("x", "y") | may_link("y", "x"))
+    else:
+        met = tokens.select("token", row.alias("x")).join(tokens.filter("indexed").select("token", row.alias("y")), "token").filter(may_link("x", "y"))
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """node, part: of every node of the edges (a, b), the least node that it is connected with.
 
-    Each round every part takes the least neighbouring part as its parent, parents are followed twice, and the edges are
+    Each round every part takes the least neighbouring part as its parent, parents are followed once more, and the edges are
     drawn between the new parts, until none is left; tables are written after each round.
     """
     edges = stored(edges.filter("a <> b").distinct())
@@ -224,10 +250,8 @@ def connected(edges: DataFrame) -> DataFrame:
     while edges.limit(1).count():
         both = edges.union(edges.select("b", "a"))
         parents = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("parent")))
-        for _ in range(2):
-            up = parents.select(F.col("a").alias("parent"), F.col("parent").alias("grand"))
-            parents = parents.join(up, "parent", "left").select("a", F.coalesce("grand", "parent").alias("parent"))
-        parents = stored(parents)
+        up = parents.select(F.col("a").alias("parent"), F.col("parent").alias("grand"))
+        parents = stored(parents.join(up, "parent", "left").select("a", F.coalesce("grand", "parent").alias("parent")))
         labels = stored(labels.join(parents.withColumnRenamed("a", "part"), "part", "left").select("node", F.coalesce("parent", "part").alias("part")))
         low, high = parents.select("a", F.col("parent").alias("x")), parents.select(F.col("a").alias("b"), F.col("parent").alias("y"))
         edges = stored(edges.join(low, "a").join(high, "b").filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
@@ -240,38 +264,50 @@ def classes(docs: DataFrame) -> DataFrame:
     Texts are linked if at least 0.8 of their distinct shingles of five words (runs of letters and digits, A-Z lowered)
     are common; a text of fewer words is one shingle; one of no words, null and empty among them, is linked with equal
     texts only. Classes are what links connect. Candidates come from the bands: each bucket links its members with its
-    hub, the member of least hash; members of one bucket that are still apart are compared with the nearest in it, and
-    then all that are apart after that with each other, whatever the bucket's size. Equal shingle sets are one node
+    hub, the member of least hash. The texts of buckets that still hold several classes are then joined by the rare
+    shingles that a link must share, an exact way for whatever the hub leaves: first each with one text of each of its
+    shingles, as long as that links many, then all pairs of different classes. Equal shingle sets are one node
     throughout, so copies make no pairs. Rows that repeat a doc_id count as one document if their texts are equal. Of a
-    class without any id all rows are representatives, and its class_id is a hash above all ids.
+    class without any id all rows are representatives, and its class_id is a hash above all ids. Very long texts are one
+    set of shingles each; an empty table gives an empty result; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = stored(signatures(docs))
     own = F.coalesce("doc_id", F.lit(1 << 62) + F.pmod(F.xxhash64("set_key"), F.lit(1 << 61)))
-    nodes = stored(rows.groupBy("set_key").agg(F.min(own).alias("node"), F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("bands").alias("bands"), F.first("n").alias("n"), F.first("counts").alias("counts")))
-    nodes = nodes.select("set_key", "node", "at.doc_id", "at.text_hash", "bands", "n", "counts")
-    buckets = stored(nodes.select("node", F.explode("bands").alias("bucket")).select("bucket", "node"))
+    nodes = stored(rows.groupBy("set_key").agg(F.min(own).alias("node"), F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("bands").alias("bands")))
+    nodes = nodes.select("set_key", "node", "at.doc_id", "at.text_hash", "bands")
+    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     order = F.struct(F.xxhash64("node", F.lit(16)).alias("h"), F.col("node").alias("hub"))
-    hubs = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1")
-    spokes = stored(buckets.join(hubs, "bucket").filter("node <> first.hub").select("node", "first.h", "first.hub").distinct())
-    best = spokes.groupBy("node").agg(F.min(F.struct("h", "hub")).alias("best"))
-    first = stored(similarities(stored(best.select(F.col("best.hub").alias("a"), F.col("node").alias("b"))), docs, nodes))
-    sure = first.filter(F.col("similarity") >= LEAST).select("a", "b")
-    distance = stored(first.select(F.col("b").alias("node"), F.col("a").alias("hub"), (1 - F.col("similarity")).alias("far")))
-
-    def apart(parts: DataFrame) -> DataFrame:
-        """What partners() needs of the members of buckets that hold several parts."""
-        placed = buckets.join(hubs.select("bucket"), "bucket").join(parts, "node", "left").select("bucket", "node", F.coalesce("part", "node").alias("part"))
-        several = placed.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("bucket")
-        known = nodes.select("node", "bands", "n", "counts").join(distance, "node", "left")
-        known = known.select("node", "bands", "n", "counts", F.coalesce("hub", "node").alias("hub"), F.coalesce("far", F.lit(0.0)).alias("far"))
-        return stored(placed.join(several, "bucket")).join(known, "node")
-
-    met = stored(similarities(stored(partners(apart(connected(sure)), nearest=True)), docs, nodes))
-    sure = stored(sure.union(met.filter(F.col("similarity") >= LEAST).select("a", "b")))
-    rest = stored(partners(apart(connected(sure))).join(met.select("a", "b"), ["a", "b"], "left_anti"))
-    late = similarities(rest, docs, nodes).filter(F.col("similarity") >= LEAST).select("a", "b")
-    parts = connected(sure.union(late))
+    hubs = buckets.groupBy("bucket").agg(F.count("*").alias("size"), F.min(order).alias("first")).filter("size > 1")
+    buckets = stored(buckets.join(hubs, "bucket").select("bucket", "node", "first.h", "first.hub"))
+    best = buckets.filter("node <> hub").groupBy("node").agg(F.min(F.struct("h", "hub")).alias("best"))
+    pairs = stored(best.select(F.least("best.hub", "node").alias("a"), F.greatest("best.hub", "node").alias("b")))
+    met = [stored(similarities(pairs, sets_of(ends(pairs), docs, nodes)))]
+
+    def links() -> DataFrame:
+        return functools.reduce(DataFrame.union, met).filter(F.col("similarity") >= LEAST).select("a", "b")
+
+    def unmet(found: DataFrame) -> DataFrame:
+        return stored(found.join(functools.reduce(DataFrame.union, met).select("a", "b"), ["a", "b"], "left_anti"))
+
+    parts = connected(links())
+    still = several_parts(buckets.select("bucket", "node"), parts, "bucket").select("node").distinct()
+    sets = sets_of(still, docs, nodes)
+    tokens = several_parts(stored(prefixes(sets)), parts, "token")
+    for turn in itertools.count():
+        held, most = crowding(tokens)
+        stars = most > CROWDED * held
+        met.append(stored(similarities(unmet(prefix_pairs(tokens, turn if stars else None)), sets)))
+        tried, linked = met[-1].agg(F.count("*"), F.count_if(F.col("similarity") >= LEAST)).first()
+        if linked:
+            parts = connected(links())
+        if not stars:
+            break
+        tokens = several_parts(tokens.drop("part"), parts, "token")
+        if linked < WORTH * tried or not tried:
+            met.append(stored(similarities(unmet(prefix_pairs(tokens)), sets)))
+            parts = connected(links())
+            break
     of_key = stored(nodes.select("set_key", "node").join(parts, "node", "left").select("set_key", F.coalesce("part", "node").alias("class_id")))
     found = rows.select("doc_id", "text_hash", "set_key").join(of_key, "set_key")
     best = F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id") >= 1 << 62)
@@ -279,13 +315,25 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stand for their classes, with all their columns."""
-    kept = classes(docs).filter("is_representative").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
-    kept = stored(kept)
-    if kept.count() <= BROADCAST_IDS:
-        kept = F.broadcast(kept)
+    """One row of docs for each class, with all its columns: of the least doc_id, null last, then of the least text hash.
+
+    Rows alike in id and text are interchangeable, and one of them stays; null counts as empty text.
+    """
+    found = classes(docs).groupBy("class_id", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "n"))
+    kept = stored(found.groupBy("class_id").agg(first.alias("first")).select(F.col("first.doc_id").alias("_doc"), F.col("first.text_hash").alias("_hash"), F.col("first.n").alias("_n")))
+    small = kept.count() <= BROADCAST_IDS
     text_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_doc"]) & (text_hash == kept["_hash"]), "left_semi")
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        some = F.broadcast(some) if small else some
+        return docs.join(some, docs["doc_id"].eqNullSafe(some["_doc"]) & (text_hash == some["_hash"]), "left_semi")
+
+    out = rows_of(kept.filter("_n = 1"))
+    if kept.filter("_n > 1").limit(1).count():
+        again = rows_of(kept.filter("_n > 1")).withColumn("_hash", text_hash).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+        out = out.unionByName(again)
+    return out
 
 
 def op5_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
