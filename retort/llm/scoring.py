@@ -14,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retort.llm.common import LOWER, NOT_SPACE, crc_of_id, mix, parts_for, read, salt, shared_dir, text_slices, word_hashes, words
+from retort.llm.common import LOWER, NOT_SPACE, crc_of_id, give_back, mix, parts_for, read, salt, shared_dir, text_slices, word_hashes, words
 
 #: Good-Turing discounts counts of 1 to K. A context that makes up a large part of a partition's tokens is split over all.
 K = 5
 #: Bytes of text whose tokens are looked up together, and that a partition of the counts stands for.
-UNIT_BYTES, PART_BYTES = 12 << 20, 8 << 20
+UNIT_BYTES, PART_BYTES = 6 << 20, 6 << 20
 END = salt(21)
 ROW = "unit long, bucket long, kind int, body binary"
 # Kinds of rows: a unit's tokens, its words for one partition, the counts of these, its bigrams for one partition,
@@ -66,6 +66,12 @@ def rows_of(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
     return pa.table({"unit": pa.array(u, pa.int64()), "bucket": pa.array(b, pa.int64()), "kind": pa.array(k, pa.int32()), "body": pa.array(x, pa.binary())})
 
 
+def lean(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
+    """The rows of a group, after what earlier groups of this worker took is given back."""
+    give_back()
+    return rows_of(rows)
+
+
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     """The partition of each hash; ascending hashes have ascending partitions."""
     return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -152,6 +158,7 @@ def units_of(docs: DataFrame) -> DataFrame:
                     parts, size = [], 0
         if parts:
             yield unit(parts)
+        give_back()
 
     return docs.select("doc_id", "text", "held_out").mapInArrow(run, ROW)
 
@@ -188,7 +195,7 @@ def count_words(asked: DataFrame, parts: int) -> DataFrame:
         stats = np.bincount(np.minimum(total, K + 2), minlength=K + 3)[: K + 2]
         stats[0] = np.count_nonzero(total)
         rows.append((-1, bucket, STATS, pack(stats=np.concatenate([stats, [total.sum()]]))))
-        return rows_of(rows)
+        return lean(rows)
 
     return asked.groupBy("bucket").applyInArrow(run, ROW)
 
@@ -266,7 +273,7 @@ def ask_bigrams(units: DataFrame, counts: DataFrame, parts: int, unigrams: Unigr
                 size=np.array([len(n)]),
             )
             rows.append((unit, p, BIGRAMS, body))
-        return rows_of(rows)
+        return lean(rows)
 
     told = units.filter(F.col("kind") == TOKENS).unionByName(counts.filter(F.col("kind") == COUNTS))
     return told.groupBy("unit").applyInArrow(run, ROW)
@@ -306,7 +313,10 @@ def score_bigrams(asked: DataFrame, unigrams: Unigrams) -> DataFrame:
         mass = np.bincount(ctx_of, weights=np.where(count > 0, p1, 0.0), minlength=contexts)
         shared = total[start] > 0  # split over partitions: its total is known, the rest isn't yet
         # Of a context without a count that is discounted one more token is set aside, so that unseen words have a share.
-        own = np.where(shared, total[start] + 1, own + ((low.sum(axis=1) == 0) & (own > 0)))
+        # Of one that is split this shows only later: what was seen of it here, if no count is discounted here, waits too.
+        bare = (low.sum(axis=1) == 0) & (own > 0)
+        waits = shared & bare
+        own = np.where(shared, total[start], own + bare)
         rows = []
         names = ctx[start]
         if shared.any():
@@ -321,7 +331,7 @@ def score_bigrams(asked: DataFrame, unigrams: Unigrams) -> DataFrame:
             doc, times, size = x["doc"].astype(np.int64), x["times"].astype(np.int64), int(x["size"][0])
             cnt = count[entry]
             hits = np.stack([np.bincount(doc[cnt == r], weights=times[cnt == r], minlength=size) for r in range(1, K + 1)], axis=1).astype(np.int64)
-            late = np.flatnonzero(cnt == 0)
+            late = np.flatnonzero((cnt == 0) | waits[ctx_of[entry]])
             lc = ctx_of[entry[late]]
             rows.append(
                 (
@@ -337,7 +347,7 @@ def score_bigrams(asked: DataFrame, unigrams: Unigrams) -> DataFrame:
                         total=np.where(shared[lc], 0, own[lc]),
                         low=np.where(shared[lc][:, None], 0, low[lc]).ravel(),
                         mass=np.where(shared[lc], 0.0, mass[lc]),
-                        p=p1[entry[late]],
+                        p=np.where(cnt[late] > 0, 0.0, p1[entry[late]]),
                     ),
                 )
             )
@@ -346,16 +356,16 @@ def score_bigrams(asked: DataFrame, unigrams: Unigrams) -> DataFrame:
         stats = np.bincount(np.minimum(count, K + 2), minlength=K + 3)[: K + 2]
         stats[0] = len(kept)
         rows.append((-1, bucket, STATS, pack(stats=np.concatenate([stats, [count.sum()]]))))
-        return rows_of(rows)
+        return lean(rows)
 
     return asked.groupBy("bucket").applyInArrow(run, ROW)
 
 
-def finish(scored: DataFrame, d: np.ndarray, split: dict[int, float]) -> DataFrame:
+def finish(scored: DataFrame, d: np.ndarray, split: dict[int, tuple[float, float]]) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, base_score and score of each document, from its unit's rows."""
     log_d = np.log10(d[1:])
     names = np.array(sorted(split), dtype=np.int64)
-    weights = np.array([split[k] for k in names.tolist()])
+    weights = np.array([split[k] for k in names.tolist()]).reshape(-1, 2)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         base, score = None, 0.0
@@ -372,9 +382,11 @@ def finish(scored: DataFrame, d: np.ndarray, split: dict[int, float]) -> DataFra
             if len(names):
                 hot = x["split"].astype(np.int64)
                 at = np.minimum(np.searchsorted(names, hot - 1), len(names) - 1)
-                alpha = np.where(hot > 0, weights[at], alpha)
-            part += np.bincount(x["doc"].astype(np.int64), weights=x["times"] * (alpha + np.log10(x["p"])), minlength=len(part))
+                alpha = np.where(hot > 0, np.where(x["p"] > 0, weights[at, 0], weights[at, 1]), alpha)
+            seen = x["p"] == 0  # of split contexts: only the token set aside is still to be reckoned with
+            part += np.bincount(x["doc"].astype(np.int64), weights=x["times"] * (alpha + np.where(seen, 0.0, np.log10(np.where(seen, 1.0, x["p"])))), minlength=len(part))
             score = score + part
+        give_back()
         n = base["n"].astype(np.int64)
         return pa.table(
             {
@@ -395,8 +407,9 @@ def _aside(total: np.ndarray, low: np.ndarray) -> np.ndarray:
     return np.where(low.sum(axis=1) == 0, 1 / np.maximum(total, 1), 0.0)
 
 
-def split_weights(scored: DataFrame, d: np.ndarray) -> dict[int, float]:
-    """log10 of the backoff weight of each split context, of which there are at most two for each partition."""
+def split_weights(scored: DataFrame, d: np.ndarray) -> dict[int, tuple[float, float]]:
+    """Of each split context, of which there are at most two for each partition: log10 of its backoff weight, and of
+    the share that the token set aside leaves to seen words, 0 if there is none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -409,14 +422,18 @@ def split_weights(scored: DataFrame, d: np.ndarray) -> dict[int, float]:
     out = {}
     for r in rows:
         low = np.array([[r[f"low{i}"] for i in range(K)]], dtype=np.float64)
-        # total is one more than was counted: that token's share is set aside for unseen words
-        rest = 1 - float(seen_share(d, np.array([r["total"] - 1.0]), low)[0]) * (r["total"] - 1) / r["total"]
-        out[r["context"]] = math.log10(rest / (1 - r["mass"]))
+        total = r["total"] + float(low.sum() == 0)
+        seen = float(seen_share(d, np.array([r["total"]], dtype=np.float64), low)[0]) * r["total"] / total
+        out[r["context"]] = (math.log10((1 - seen) / (1 - r["mass"])), math.log10(r["total"] / total))
     return out
 
 
 class Store:
-    """Tables in the shared folder; what is done with is deleted, and the shuffle files behind it are let go."""
+    """Tables in the shared folder; what is done with is emptied, and the shuffle files behind it are let go.
+
+    Spark forgets shuffle files once the driver's JVM has collected what refers to them. Where the session has a JVM at
+    hand it is asked to; elsewhere the files stay until it happens to. Results don't depend on it, only disk does.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, shared_dir(spark)
@@ -425,12 +442,13 @@ class Store:
         df.write.option("compression", "none").partitionBy(*by).parquet(f"{self.root}/{name}")
         del df
         gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        jvm = getattr(getattr(self.spark, "sparkContext", None), "_jvm", None)
+        if jvm is not None:
+            jvm.System.gc()
         return self.spark.read.schema(ROW).parquet(f"{self.root}/{name}")
 
     def drop(self, name: str) -> None:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.spark.createDataFrame([], ROW).write.mode("overwrite").parquet(f"{self.root}/{name}")
 
 
 def katz_scores(docs: DataFrame) -> DataFrame:
