@@ -1,6 +1,7 @@
 """Near duplicates, scoring, decontamination, sharding, packing and the pipeline against brute force."""
 
 import collections
+import hashlib
 import math
 import random
 import re
@@ -101,6 +102,13 @@ def test_links_inside_large_buckets(spark):
     assert {i: c for i, c in got.items() if c != i // 2 * 2} == {}
 
 
+def test_one_row_stays_of_each_class(spark):
+    near = " ".join(f"w{i}" for i in range(80))
+    rows = [(1, near, "a"), (1, near, "b"), (5, near + " more", "c"), (None, "a text of no id at all here", "d"), (None, "a text of no id at all here", "e"), (7, None, "f"), (8, "", "g"), (9, "alone in the world", "h")]
+    kept = neardup.representatives(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in kept) == [("1", near), ("7", ""), ("9", "alone in the world"), ("None", rows[3][1])]
+
+
 def test_connected(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60) if i % 20 != 19] + [(100 + r.randrange(50), 100 + r.randrange(50)) for _ in range(40)]
@@ -112,8 +120,8 @@ def test_connected(spark):
     assert got == {x: part[x] for e in edges if e[0] != e[1] for x in e}
 
 
-def katz(rows, parts_bytes):
-    """(score, base, known, tokens) of each document, from dictionaries."""
+def katz(rows):
+    """(score, base, known, tokens) of each document, from dictionaries that know nothing of partitions."""
     word = re.compile(rb"[^\x20\x09-\x0D]+")
     texts = {i: [*word.findall(t.encode().lower() if t.isascii() else bytes(b + 32 if 65 <= b <= 90 else b for b in t.encode())), None] for i, t in rows}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
@@ -132,10 +140,9 @@ def katz(rows, parts_bytes):
     after = collections.defaultdict(dict)
     for (h, w), c in two.items():
         after[h][w] = c
-    split = max(1000, n // (2 * max(1, -(-sum(len(t.encode()) for _, t in rows) // parts_bytes))))
     total, alpha = {}, {}
     for h, ws in after.items():
-        total[h] = one[h] + (one[h] >= split or all(c > k for c in ws.values()))
+        total[h] = one[h] + all(c > k for c in ws.values())
         alpha[h] = (1 - sum(d(d2, c) * c for c in ws.values()) / total[h]) / (1 - sum(p1[w] for w in ws))
     out = {}
     for i, t in texts.items():
@@ -148,18 +155,30 @@ def katz(rows, parts_bytes):
     return out
 
 
-@pytest.mark.parametrize("parts", [1 << 30, 100_000])
+@pytest.mark.parametrize("parts", [1 << 30, 100_000, 20_000])
 def test_katz_scores_against_dictionaries(spark, monkeypatch, parts):
     monkeypatch.setattr(scoring, "PART_BYTES", parts)
     docs = read(spark, SMALL, "documents", "doc_id", "text")
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
-    expected = katz(rows, parts)
+    expected = katz(rows)
     for r in scoring.op6_scoring(spark, SMALL).collect():
         score, base, known, tokens = expected[r.doc_id]
         assert (r.n_known, r.n_tokens) == (known, tokens)
         assert r.score == pytest.approx(score, rel=1e-9) and r.base_score == pytest.approx(base, rel=1e-9)
 
 
+@pytest.mark.parametrize("parts", [1 << 30, 2_000])
+def test_split_contexts_without_discounted_counts(spark, monkeypatch, parts):
+    """A context of which every successor is frequent, split or not: one token is set aside for the others."""
+    monkeypatch.setattr(scoring, "PART_BYTES", parts)
+    rows = [(i, "hot " + ("hot cold " * 5 if i % 2 else "hot warm ") * 20 + ("hot new" if i == 3 else "")) for i in range(60)]
+    rows = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 7 == 2 or i != 3]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("held_out", F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 2)
+    expected = katz(rows)
+    for r in scoring.katz_scores(docs).collect():
+        assert r.score == pytest.approx(expected[r.doc_id][0], rel=1e-9)
+
+
 @given(st.lists(st.lists(st.integers(0, 2**40), max_size=20), min_size=1, max_size=3))
 @settings(max_examples=30, deadline=None)
 def test_pack_round_trip(arrays):
@@ -206,9 +225,32 @@ def test_weights_and_growth(spark):
     assert all(r.b in (r.a, 4) for r in four) and sum(r.b == 4 for r in four) / 20_000 == pytest.approx(0.2, abs=0.02)
 
 
+def test_shards_are_hashlibs(spark, edge_dir):
+    """The shard of every key by a straight statement: the highest weight / -ln(u), u from 52 bits of MD5."""
+
+    def best(key, n):
+        u = [(int(hashlib.md5(f"{key}#{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52 for i in range(n)]
+        return max(range(n), key=lambda i: (1 / -math.log(u[i]), i))
+
+    for sf in (SMALL, edge_dir):
+        for r in sharding.op9_sharding(spark, sf).collect():
+            key = "null" if r.doc_id is None else r.doc_id
+            assert (r.shard, r.grown_shard) == (best(key, 16), best(key, 17))
+
+
+def test_rows_alike_in_everything(spark):
+    """A table of nothing but null ids and empty texts spreads over runs and blocks."""
+    docs = spark.range(200_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text"))
+    slots = sharding.shard(docs).agg(F.count_distinct("slot"), F.min("slot"), F.max("slot"), F.count_distinct("shard")).first()
+    assert tuple(slots) == (200_000, 0, 199_999, 1)
+    windows = packing.pack(docs).groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count_distinct("offset").alias("k"), F.count("*").alias("m"))
+    assert windows.agg(F.sum("n"), F.max("n"), F.sum(F.col("k") - F.col("m"))).first()[:] in [(200_000, n, 0) for n in range(4097)]
+    assert windows.count() <= 60  # 49 would hold them
+
+
 def test_small_runs_number_gaplessly(spark):
-    df = spark.range(500).selectExpr("id % 3 as shard", "id as doc_id", "1 as size")
-    rows = sharding.number_within(df, "shard", "slot", "doc_id", "size", run_rows=16).collect()
+    df = spark.range(500).selectExpr("id % 3 as shard", "id as row")
+    rows = sharding.number_within(df, "shard", "slot", "row", run_rows=16).collect()
     for s in range(3):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
 
