@@ -19,7 +19,7 @@ from retort.llm.common import LOWER, NOT_SPACE, crc_of_id, give_back, mix, parts
 #: Good-Turing discounts counts of 1 to K. A context that makes up a large part of a partition's tokens is split over all.
 K = 5
 #: Bytes of text whose tokens are looked up together, and that a partition of the counts stands for.
-UNIT_BYTES, PART_BYTES = 6 << 20, 6 << 20
+UNIT_BYTES, PART_BYTES = 10 << 20, 8 << 20
 END = salt(21)
 ROW = "unit long, bucket long, kind int, body binary"
 # Kinds of rows: a unit's tokens, its words for one partition, the counts of these, its bigrams for one partition,
