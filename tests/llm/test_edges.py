@@ -23,6 +23,8 @@ def test_odd_rows(spark, edge_dir, name):
         assert len(rows) == 5
     elif name == "pipeline":
         assert {r.doc_id for r in rows} <= {1, 2, 3, 4, 5, 6, 7, 8, 9, 11, None}
+    elif name == "op13_collocations":
+        assert not rows  # nothing occurs ten times there
     elif name == "op10_packing":
         assert len({(r.doc_id, r.start, r.ids_crc32) for r in rows}) >= 11
     else:
@@ -52,6 +54,6 @@ def test_sql(spark, edge_dir, name, where):
     known = sorted({tuple(str(r[i]) for i in order) for r in expected.fetchall()})
     got = {tuple(str(r[n]) for n in names) for r in df.collect()}
     assert names == sorted(df.columns)
-    if where == "odd" and name != "op8_chat":
+    if where == "odd" and name in ("op5_neardup", "op7_decontamination"):
         got = {g for g in got if g[names.index("doc_id")] not in (("None", "9") if name == "op7_decontamination" else ("None",))}
     assert sorted(got) == known
