@@ -66,7 +66,11 @@ def in_order(found: pa.Array) -> np.ndarray:
 
 
 def suffix_counts(docs: DataFrame, max_n: int = MAX_N) -> DataFrame:
-    """lang, suffix and n: the truncated suffixes of docs (lang, text), counted within runs of a task's texts."""
+    """suffix and n: the truncated suffixes of docs (lang, text), counted within runs of a task's texts.
+
+    A suffix begins with its lang and a tab, and each of its words ends with a space; neither stands in words, nor in
+    langs as they are written here, so one comparison of bytes orders by language, first word and what follows.
+    """
 
     def count(lang: list, texts: list) -> Iterator[pa.RecordBatch]:
         column = pa.chunked_array(texts, pa.large_string()).combine_chunks()
@@ -82,7 +86,9 @@ def suffix_counts(docs: DataFrame, max_n: int = MAX_N) -> DataFrame:
                 continue
             order = pa.array(in_order(counted.field(0)))
             found, n = counted.field(0).take(order), counted.field(1).take(order)
-            yield pa.RecordBatch.from_arrays([pa.array([name.as_py()] * len(n), pa.string()), found.cast(pa.binary()), n.cast(pa.int64())], names=["lang", "suffix", "n"])
+            begin = name.as_py().replace("%", "%25").replace(" ", "%20").replace("\t", "%09") + "\t"
+            found = pc.binary_join_element_wise(pa.scalar(begin.encode(), pa.large_binary()), found, pa.scalar(b"", pa.large_binary()))
+            yield pa.RecordBatch.from_arrays([found.cast(pa.binary()), n.cast(pa.int64())], names=["suffix", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang, texts, held = [], [], 0
@@ -99,39 +105,38 @@ def suffix_counts(docs: DataFrame, max_n: int = MAX_N) -> DataFrame:
             yield from count(lang, texts)
 
     rows = docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "lang string, suffix binary, n long")
+    return rows.mapInArrow(run, "suffix binary, n long")
 
 
 class PrefixStack:
-    """Counts of all prefixes of suffixes that come in order, with one entry for each word of the suffix at hand.
+    """Counts of all prefixes of suffixes that come in order, with one entry for the lang and each word of the one at hand.
 
-    A suffix that shares its first d words with the one before it ends the prefixes of more words, which are given out if
-    they are frequent; the shared ones stay open. Those open at the first and the last suffix of a range may go on in
-    another range and are given out whatever their count, marked as parts. Rows are handled by the batch.
+    A suffix that shares its first d entries with the one before it ends the prefixes of more, which are given out if they
+    are frequent; the shared ones stay open. Those open at the first and the last suffix of a range may go on in another
+    range and are given out whatever their count, marked as parts. Rows are handled by the batch.
     """
 
     def __init__(self, max_n: int, least: int) -> None:
-        self.max_n, self.least = max_n, least
-        self.lang: pa.Array | None = None
-        self.suffix: pa.Array | None = None  # of the last row
-        self.open = [0] * max_n
-        self.first = [True] * max_n  # whether the open prefix began with the range
-
-    def add(self, lang: pa.Array, suffix: pa.Array, n: np.ndarray, end: bool = False) -> Iterator[pa.RecordBatch]:
-        fresh = self.suffix is None
+        self.depth, self.least = max_n + 1, least
+        self.last: pa.Array | None = None  # the last row's suffix
+        self.open = [0] * self.depth
+        self.first = [True] * self.depth  # whether the open prefix began with the range
+
+    def add(self, suffix: pa.Array, n: np.ndarray, end: bool = False) -> Iterator[pa.RecordBatch]:
+        fresh = self.last is None
         if not fresh:  # the last row once more, with nothing of its own, carries what is open
-            lang, suffix = pa.concat_arrays([self.lang, lang]), pa.concat_arrays([self.suffix, suffix])
-            n = np.concatenate([[0], n])
+            suffix, n = pa.concat_arrays([self.last, suffix]), np.concatenate([[0], n])
         if not len(suffix):
             return
         offsets = np.frombuffer(suffix.buffers()[1], np.int64, len(suffix) + 1, 8 * suffix.offset)
         data = np.frombuffer(suffix.buffers()[2], np.uint8)
-        spaces = offsets[0] + np.flatnonzero(data[offsets[0] : offsets[-1]] == 0x20)
-        word = np.searchsorted(spaces, offsets)
-        size, word = np.diff(word), word[:-1]
-        depth = self.shared(lang, data, offsets, spaces, word)
-        for k in range(1, self.max_n + 1):
-            at = np.flatnonzero(depth < k)
+        here = data[offsets[0] : offsets[-1]]
+        marks = offsets[0] + np.flatnonzero((here == 0x20) | (here == 0x09))  # the ends of the lang and of the words
+        mark = np.searchsorted(marks, offsets)
+        size, mark = np.diff(mark), mark[:-1]
+        shared = self.shared(data, offsets, marks, mark)
+        for k in range(1, self.depth + 1):
+            at = np.flatnonzero(shared < k)
             total = np.add.reduceat(n, at)
             has = size[at] >= k
             if not fresh:
@@ -144,44 +149,43 @@ class PrefixStack:
             give[-1] &= end
             rows = at[give]
             if len(rows):
-                phrase = binaries(*gathered(data, offsets[rows], spaces[word[rows] + k - 1]))
+                prefix = binaries(*gathered(data, offsets[rows], marks[mark[rows] + k - 1]))
                 yield pa.RecordBatch.from_arrays(
-                    [lang.take(pa.array(rows)), phrase.cast(pa.large_string()).cast(pa.string()), pa.array(np.full(len(rows), k, np.int32)), pa.array(total[give]), pa.array(part[give])],
-                    names=["lang", "phrase", "words", "n", "part"],
+                    [prefix.cast(pa.large_string()).cast(pa.string()), pa.array(np.full(len(rows), k - 1, np.int32)), pa.array(total[give]), pa.array(part[give])],
+                    names=["prefix", "words", "n", "part"],
                 )
-        self.lang, self.suffix = lang.slice(len(lang) - 1), suffix.slice(len(suffix) - 1)
+        self.last = suffix.slice(len(suffix) - 1)
 
     @staticmethod
-    def shared(lang: pa.Array, data: np.ndarray, offsets: np.ndarray, spaces: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Of each row how many whole first words it shares with the row before; none for the first."""
+    def shared(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """Of each row how many of its first entries it shares with the row before; none for the first."""
         starts, lens = offsets[:-1], np.diff(offsets)
         both = np.minimum(lens[1:], lens[:-1])
         flat = np.concatenate([[0], np.cumsum(both)]).astype(np.int64)
-        depth = np.zeros(len(lens), np.int64)
+        shared = np.zeros(len(lens), np.int64)
         if len(lens) > 1:
             inside = np.arange(flat[-1], dtype=np.int64) - np.repeat(flat[:-1], both)
             differ = data[np.repeat(starts[1:], both) + inside] != data[np.repeat(starts[:-1], both) + inside]
             common = np.minimum(np.minimum.reduceat(np.where(differ, inside, len(data)), flat[:-1]), both)  # no suffix is empty
-            depth[1:] = np.searchsorted(spaces, starts[1:] + common) - word[1:]
-            depth[1:][np.asarray(pc.not_equal(lang.slice(1), lang.slice(0, len(lang) - 1)))] = 0
-        return depth
+            shared[1:] = np.searchsorted(marks, starts[1:] + common) - mark[1:]
+        return shared
 
 
 def phrase_counts(counted: DataFrame, max_n: int = MAX_N, least: int = LEAST) -> DataFrame:
-    """lang, phrase, words and n of every phrase of at most max_n words that occurs `least` times or more.
+    """lang, phrase, words and n of every phrase of at most max_n words that occurs `least` times or more; and of the
+    phrase of no words the number of all words of the lang.
 
-    The suffixes (lang, suffix, n) go to ranges by language and first word; a word that begins many is split by the
-    words behind it. Each range is sorted in reverse and passed over once; of what crosses the ranges' ends, a few
-    prefixes a range, the parts are summed.
+    The suffixes (suffix, n) go to ranges by language and first word; a word that begins many is split by the words
+    behind it. Each range is sorted in reverse and passed over once; of what crosses the ranges' ends, a few prefixes
+    a range, the parts are summed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stack, held, rows = PrefixStack(max_n, least), [], 0
 
-        def taken() -> tuple[pa.Array, pa.Array, np.ndarray]:
-            table = pa.Table.from_batches(held).combine_chunks()
-            one = lambda name, kind: pa.concat_arrays([c.cast(kind) for c in table.column(name).chunks])
-            return one("lang", pa.string()), one("suffix", pa.large_binary()), np.concatenate([c.to_numpy(zero_copy_only=False) for c in table.column("n").chunks])
+        def taken() -> tuple[pa.Array, np.ndarray]:
+            suffix = pa.concat_arrays([b.column("suffix") for b in held]) if held else pa.array([], pa.binary())
+            return suffix.cast(pa.large_binary()), np.concatenate([np.zeros(0, np.int64), *[b.column("n").to_numpy(zero_copy_only=False) for b in held]])
 
         for batch in released(batches):
             if batch.num_rows:
@@ -190,15 +194,17 @@ def phrase_counts(counted: DataFrame, max_n: int = MAX_N, least: int = LEAST) ->
             if rows >= STACK_ROWS:
                 yield from stack.add(*taken())
                 held, rows = [], 0
-        if held:
-            yield from stack.add(*taken(), end=True)
-        else:
-            yield from stack.add(pa.array([], pa.string()), pa.array([], pa.large_binary()), np.zeros(0, np.int64), end=True)
+        yield from stack.add(*taken(), end=True)
 
-    ranged = counted.repartitionByRange(parts_for(counted.count(), RANGE_ROWS), "lang", "suffix")
-    found = stored(ranged.sortWithinPartitions(F.desc("lang"), F.desc("suffix")).mapInArrow(run, "lang string, phrase string, words int, n long, part boolean"))
-    parts = found.filter("part").groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return found.filter("NOT part").drop("part").unionByName(parts)
+    ranged = counted.repartitionByRange(parts_for(counted.count(), RANGE_ROWS), "suffix")
+    found = stored(ranged.sortWithinPartitions(F.desc("suffix")).mapInArrow(run, "prefix string, words int, n long, part boolean"))
+    parts = found.filter("part").groupBy("prefix", "words").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    whole = found.filter("NOT part").drop("part").unionByName(parts)
+    lang = F.substring_index("prefix", "\t", 1)
+    for written, meant in (("%20", " "), ("%09", "\t"), ("%25", "%")):
+        lang = F.replace(lang, F.lit(written), F.lit(meant))
+    phrase = F.when(F.col("words") == 0, F.lit("")).otherwise(F.substring_index("prefix", "\t", -1))
+    return whole.select(lang.alias("lang"), phrase.alias("phrase"), "words", "n")
 
 
 def subphrase(first: int | Column, size: int | Column) -> Column:
@@ -239,7 +245,7 @@ def collocations(docs: DataFrame, max_n: int = MAX_N, least: int = LEAST, top: i
     """
     counted = stored(suffix_counts(docs.select("lang", "text"), max_n))
     phrases = stored(phrase_counts(counted, max_n, least))
-    total = counted.groupBy("lang").agg(F.sum("n").alias("n"))  # every word begins one suffix
+    total = phrases.filter("words = 0").select("lang", "n")
     kept = unabsorbed(stored(scored(phrases, max_n)))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     salted = kept.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS)))
