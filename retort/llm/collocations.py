@@ -17,7 +17,9 @@ MAX_N, LEAST, TOP = 3, 10, 2000
 ABSORBED = 50
 NO_LANG = "und"
 #: Bytes of text whose suffixes are counted together before they are shuffled, rows of a range, rows of one stack pass.
-COUNTED_BYTES, RANGE_ROWS, STACK_ROWS = 4 << 20, 1 << 20, 1 << 16
+COUNTED_BYTES, RANGE_ROWS, STACK_ROWS = 16 << 20, 1 << 20, 1 << 16
+#: Words whose suffixes are cut out at once.
+CUT_WORDS = 1 << 18
 #: Parts in which the phrases of a lang are ranked before the best of all parts are.
 RANK_PARTS = 64
 # Bytes that end a piece, and bytes between words.
@@ -38,21 +40,27 @@ def binaries(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def suffixes(data: np.ndarray, offsets: np.ndarray, max_n: int) -> pa.Array:
+def suffixes(data: np.ndarray, offsets: np.ndarray, max_n: int, cut_words: int = CUT_WORDS) -> pa.ChunkedArray:
     """Of every word the words from it on in its piece, max_n at most, each with a space behind it; texts at offsets."""
     data = LOWER[data]
     starts, ends, counts = words(data, offsets, INSIDE)
     if not len(starts):
-        return pa.array([], pa.large_binary())
-    piece = np.cumsum(ENDS[data])[starts]
+        return pa.chunked_array([], pa.large_binary())
+    piece = np.cumsum(ENDS[data], dtype=np.int32)[starts]
     row = np.repeat(np.arange(len(counts)), counts)
     last = np.flatnonzero(np.append((piece[1:] != piece[:-1]) | (row[1:] != row[:-1]), True))  # last word of each piece
     until = np.repeat(last, np.diff(np.concatenate([[-1], last]))) + 1
-    at = np.arange(len(starts))
-    # Each word with one space behind it, so that a suffix is one slice.
-    clean, begin = gathered(np.append(data, np.uint8(0x20)), starts, ends + 1)
-    clean[begin[1:] - 1] = 0x20
-    return binaries(*gathered(clean, begin[:-1], begin[np.minimum(at + max_n, until)]))
+    until = np.minimum(np.arange(len(starts)) + max_n, until)
+    data = np.append(data, np.uint8(0x20))
+    chunks = []
+    for i in range(0, len(starts), cut_words):
+        j = min(i + cut_words, len(starts))
+        z = int(until[i:j].max())
+        # Each word with one space behind it, so that a suffix is one slice.
+        clean, begin = gathered(data, starts[i:z], ends[i:z] + 1)
+        clean[begin[1:] - 1] = 0x20
+        chunks.append(binaries(*gathered(clean, begin[: j - i], begin[until[i:j] - i])))
+    return pa.chunked_array(chunks)
 
 
 def in_order(found: pa.Array) -> np.ndarray:

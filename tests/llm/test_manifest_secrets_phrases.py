@@ -252,7 +252,9 @@ def test_suffixes_of_a_text():
     rows = phrase_table(1, 80)
     texts = [(t or "").encode() for _, t in rows]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    found = collections.Counter(collocations.suffixes(np.frombuffer(b"".join(texts), np.uint8), offsets, 3).to_pylist())
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    found = collections.Counter(collocations.suffixes(data, offsets, 3).to_pylist())
+    assert found == collections.Counter(collocations.suffixes(data, offsets, 3, cut_words=7).to_pylist())
     known = collections.Counter()
     for s, n in suffix_lists(rows).items():
         known[s.split(b"\t")[1]] += n
