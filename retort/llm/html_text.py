@@ -21,7 +21,7 @@ BLOCKS = frozenset(
 )
 #: Elements whose text isn't the article's, whatever it says.
 DROPPED = frozenset(
-    "audio button canvas datalist dialog embed footer frameset head iframe input label legend map math menu nav noembed noframes"
+    "annotation annotation-xml audio button canvas datalist dialog embed footer frameset head iframe input label legend map menu nav noembed noframes"
     " noscript object optgroup option progress script search select style svg template textarea title video".split()
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar tooltip".split())
@@ -35,6 +35,12 @@ MARKS = frozenset(
 )
 #: The same for reader comments.
 COMMENTS = frozenset("comment comments commentlist disqus reader-comments remarks replies reply respond responses".split())
+#: Words that name a part of an article as well, at least together with others.
+DOUBTFUL = frozenset("disclaimer feedback foot header login notice notices overlay register remarks replies reply respond responses share skip social widget widgets".split())
+#: A title stands in these, inside of an article.
+TITLES = frozenset("header masthead".split())
+#: Ids of these are slugs of their words.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 #: Words that tell of other pages only together with one of the second kind, or alone.
 OTHERS, WITH_OTHERS = frozenset(["related", "discussion"]), frozenset("articles box content forum items links list news pages posts reading stories thread topics".split())
 #: With these, a class says what a container has or lacks beside its text.
@@ -65,20 +71,33 @@ def hidden(attrs: dict[str, str | None]) -> bool:
     return (attrs.get("role") or "").strip().lower() in ROLES
 
 
-def hint(attrs: dict[str, str | None]) -> int:
-    """What an element's class and id hint at: 2 reader comments, 1 something else beside an article, 0 nothing."""
-    found = 0
-    for name in ("class", "id"):
+def hint(tag: str, attrs: dict[str, str | None], inside: bool = False) -> tuple[int, bool]:
+    """(what an element's class and id hint at: 2 reader comments, 1 something else beside an article, 0 nothing; whether
+    the hint is weak). inside: whether the element lies in an article or main element.
+
+    A class that is or begins with a plain word for such a part is a strong hint; an id of a section, a word that has
+    other meanings or one at the end of a compound is a weak one. Headings have no hints, and paragraphs and inline
+    elements only by a class of one word.
+    """
+    found, weak = 0, True
+    if tag in HEADINGS:
+        return 0, False
+    block = tag in BLOCKS and tag != "p"
+    for name in ("class", "id") if block else ("class",):
         for token in (attrs.get(name) or "").lower().split():
             parts = [p for p in _PART.split(re.sub(r"(?<=[a-z])\d+$", "", token)) if p]
-            if QUALIFIERS.intersection(parts) and token not in MARKS:
+            if QUALIFIERS.intersection(parts) and token not in MARKS or not parts:
+                continue
+            if inside and TITLES.intersection(parts) or not block and len(parts) > 1:
+                continue
+            others = name == "class" and parts[0] in OTHERS and WITH_OTHERS.issuperset(parts[1:])
+            kind = 2 if COMMENTS.intersection((token, *parts)) else 1 if others or MARKS.intersection((token, *parts)) else 0
+            if not kind:
                 continue
-            if token in COMMENTS or any(p in COMMENTS for p in parts):
-                return 2
-            others = name == "class" and parts and parts[0] in OTHERS and WITH_OTHERS.issuperset(parts[1:])
-            if token in MARKS or others or any(p in MARKS for p in parts):
-                found = 1
-    return found
+            plain = others or token in MARKS | COMMENTS or parts[0] in MARKS | COMMENTS
+            doubtful = len(parts) > 1 and parts[0] in DOUBTFUL or name == "id" and (tag == "section" or parts[0] in DOUBTFUL)
+            found, weak = max(found, kind), weak and not (plain and not doubtful)
+    return found, weak and found > 0
 
 
 class Lines(HTMLParser):
@@ -97,7 +116,7 @@ class Lines(HTMLParser):
         self.open: Counter = Counter()
         self.parents: list[int] = [-1]
         self.kinds: list[str] = [""]
-        self.hints: list[tuple[int, int, int]] = [(-1, 0, 0)]  # the hint around it, its kind, the container it begins at
+        self.hints: list[tuple[int, int, int, bool]] = [(-1, 0, 0, False)]  # the hint around it, its kind, the container it begins at, weak inside an article
         self.lines: list[tuple[str, int, int, int, int]] = []
         self.text: list[str] = []
         self.tags = self.linked = self.links = 0
@@ -147,10 +166,13 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         known = dict(attrs)
-        kind = 0 if tag in ("html", "body") else hint(known) or (1 if tag in HINTED else 0)
+        inside = self.open["article"] + self.open["main"] > 0
+        kind, weak = (0, False) if tag in ("html", "body") else hint(tag, known, inside)
+        if not kind and tag in HINTED:
+            kind = 1
         root = tag in ROOTS and not self.dropped
         out = self.dropped or tag in DROPPED or tag not in ("html", "body") and not root and hidden(known)
-        if tag == "header" and kind == 1 and self.open["article"]:
+        if tag == "header" and kind == 1 and inside:
             kind = 0  # the article's own: its title
         if root and kind == 1:
             kind = 0
@@ -162,7 +184,7 @@ class Lines(HTMLParser):
             self.kinds.append("main" if (known.get("role") or "").lower() == "main" else tag)
             place = len(self.parents) - 1
         if kind and block and not out:
-            self.hints.append((self.hint, kind, place))
+            self.hints.append((self.hint, kind, place, weak and inside))
             mark = len(self.hints) - 1
         self.stack.append((tag, out, place, mark))
         self.open[tag] += 1
@@ -214,11 +236,19 @@ def sums_inside(parents: list[int], values: list[float]) -> list[float]:
     return out
 
 
-def in_force(parser: Lines) -> list[bool]:
+def in_force(parser: Lines, sigma: float = 1.0) -> list[bool]:
     """Of each hint, whether what it marks is left out: not where it, or one around it that isn't in force either,
-    wraps the article, that is an article or main element, or without any such on the page half of its text."""
+    wraps the article, that is an article or main element, or without any such on the page half of its text; and not
+    where it is a weak one inside of an article with a line whose smoothed text-to-tag ratio, or length, is that of content."""
     around = [h[0] for h in parser.hints]
-    mass, roots = [0.0] * len(around), [0.0] * len(around)
+    mass, roots, content = [0.0] * len(around), [0.0] * len(around), [0.0] * len(around)
+    if parser.lines and any(h[3] for h in parser.hints):
+        chars, plain = np.array([len(x[0]) for x in parser.lines]), np.array([max(0.0, len(x[0]) - x[3]) for x in parser.lines])
+        ratios = smoothed(plain / np.array([max(1, x[1]) for x in parser.lines]), sigma)
+        wanted = ((ratios >= content_threshold(ratios)) | (plain >= content_threshold(plain))) & (plain > 0.3 * chars)
+        for x, core in zip(parser.lines, wanted, strict=True):
+            content[x[4]] += core
+        content = sums_inside(around, content)
     has_root = [0.0] * len(parser.parents)
     for x in parser.lines:
         mass[x[4]] += max(0, len(x[0]) - x[3])
@@ -226,14 +256,14 @@ def in_force(parser: Lines) -> list[bool]:
         has_root[at] = float(kind in ROOTS)
     has_root = sums_inside(parser.parents, has_root)
     mass = sums_inside(around, mass)
-    for at, (_, kind, place) in enumerate(parser.hints):
+    for at, (_, kind, place, _) in enumerate(parser.hints):
         roots[at] = has_root[place] if kind else 0.0
     out = [False] * len(around)
     anywhere = any(k in ROOTS for k in parser.kinds)
     for at in range(1, len(around)):
-        _, kind, place = parser.hints[at]
+        _, kind, place, weak = parser.hints[at]
         wraps = roots[at] > 0 and parser.kinds[place] not in ROOTS and kind == 1 if anywhere else kind == 1 and mass[at] >= 0.5 * max(1.0, mass[0])
-        out[at] = out[around[at]] or not wraps
+        out[at] = out[around[at]] or not (wraps or weak and content[at] > 0)
     return out
 
 
@@ -275,7 +305,7 @@ def main_text(page: str | None, sigma: float = 1.0) -> str:
     parser = Lines()
     parser.feed(page)
     parser.close()
-    left_out = in_force(parser)
+    left_out = in_force(parser, sigma)
     lines = [x for x in parser.lines if not left_out[x[4]]]
     if not lines:
         return ""
@@ -311,7 +341,8 @@ def main_text(page: str | None, sigma: float = 1.0) -> str:
 
 
 def extract(pages: DataFrame, html_column: str = "html", *keep: str) -> DataFrame:
-    """The kept columns and `text` of every page; repeated rows give repeated results, an empty table an empty one."""
+    """The kept columns and `text` of every page, as `main_text` gives it: "" for null and empty pages, very long ones
+    whole. Repeated rows give repeated results, an empty table an empty one; other columns are ignored."""
     rows, name, kept, schema = carried(pages, keep, html_column, "text string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -47,6 +47,44 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG_PARTS = [f"Paragraph number {i} tells at some length what the article has to say about its subject, clearly." for i in range(6)]
+TOLD = "".join(f"<p>{x}</p>" for x in LONG_PARTS)
+LEAD = "The lead of this article says in one long sentence what all of the rest is going to be about."
+
+
+@pytest.mark.parametrize(
+    "part, kept",
+    [
+        (f'<div class="article-header"><h1>A Title</h1><p>{LEAD}</p></div>', ["A Title", LEAD]),
+        ('<div class="entry-header"><h1>A Title</h1></div>', ["A Title"]),
+        ("<header><h1>A Title</h1></header>", ["A Title"]),
+        ('<h2 id="navigation">Navigation</h2>', ["Navigation"]),
+        ('<h2 id="social">Social</h2>', ["Social"]),
+        ('<h2 id="cookies">Cookies</h2>', ["Cookies"]),
+        ('<h3 id="comments-on-law">Comments on Law</h3>', ["Comments on Law"]),
+        ('<h2><span id="Register">Register</span></h2>', ["Register"]),
+        (f'<section id="replies"><h2>Replies</h2><p>{LEAD}</p></section>', ["Replies", LEAD]),
+        (f'<div class="recipe-widget"><p>{LEAD}</p></div>', [LEAD]),
+        (f'<p class="social-history">{LEAD}</p>', [LEAD]),
+        ("<p>The place where <math><mi>x</mi></math> holds is known to all who read it in this article.</p>", ["The place where x holds is known to all who read it in this article."]),
+        (f'<div class="comments"><p>{LEAD}</p></div>', []),
+        (f'<section class="comment-list"><p>{LEAD}</p></section>', []),
+        (f'<div id="comments"><p>{LEAD}</p></div>', []),
+        (f'<div class="sidebar"><p>{LEAD}</p></div>', []),
+        ('<div class="ad">Buy now and save a lot of money</div>', []),
+        ('<div class="ad-slot"><p>Buy now and save a lot of money</p></div>', []),
+        ('<div class="share-buttons"><a href="/x">Share this</a> <a href="/y">Post it</a></div>', []),
+        ('<div class="main-menu"><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></div>', []),
+        (f'<div class="cookie-banner"><p>{LEAD}</p></div>', []),
+        ('<form><p>Subscribe to our letters</p></form>', []),
+    ],
+)
+@pytest.mark.parametrize("root", ["article", "main"])
+def test_hints_never_drop_what_an_article_says(root, part, kept):
+    page = f"<html><body><nav><a href='/'>Home</a></nav><{root}>{part}{TOLD}</{root}><footer>foot</footer></body></html>"
+    assert html_text.main_text(page) == "\n\n".join(kept + LONG_PARTS)
+
+
 @pytest.mark.parametrize("tag", ["div", "section"])
 def test_articles_over_sibling_containers(tag):
     paragraphs = [f"Paragraph {i} " + "has words to be read by people. " * 25 for i in range(6)]
