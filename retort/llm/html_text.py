@@ -239,13 +239,14 @@ def sums_inside(parents: list[int], values: list[float]) -> list[float]:
 def in_force(parser: Lines, sigma: float = 1.0) -> list[bool]:
     """Of each hint, whether what it marks is left out: not where it, or one around it that isn't in force either,
     wraps the article, that is an article or main element, or without any such on the page half of its text; and not
-    where it is a weak one inside of an article with a line whose smoothed text-to-tag ratio, or length, is that of content."""
+    where it is a weak one inside of an article with a line whose smoothed text-to-tag ratio, or length, is at least half of what content has."""
     around = [h[0] for h in parser.hints]
     mass, roots, content = [0.0] * len(around), [0.0] * len(around), [0.0] * len(around)
     if parser.lines and any(h[3] for h in parser.hints):
         chars, plain = np.array([len(x[0]) for x in parser.lines]), np.array([max(0.0, len(x[0]) - x[3]) for x in parser.lines])
         ratios = smoothed(plain / np.array([max(1, x[1]) for x in parser.lines]), sigma)
-        wanted = ((ratios >= content_threshold(ratios)) | (plain >= content_threshold(plain))) & (plain > 0.3 * chars)
+        # Where all is content the clusters part like from like, so half of a threshold is enough.
+        wanted = ((2 * ratios >= content_threshold(ratios)) | (2 * plain >= content_threshold(plain))) & (plain > 0.3 * chars)
         for x, core in zip(parser.lines, wanted, strict=True):
             content[x[4]] += core
         content = sums_inside(around, content)
