@@ -267,14 +267,18 @@ def classes(docs: DataFrame) -> DataFrame:
     hub, the member of least hash. The texts of buckets that still hold several classes are then joined by the rare
     shingles that a link must share, an exact way for whatever the hub leaves: first each with one text of each of its
     shingles, as long as that links many, then all pairs of different classes. Equal shingle sets are one node
-    throughout, so copies make no pairs. Rows that repeat a doc_id count as one document if their texts are equal. Of a
-    class without any id all rows are representatives, and its class_id is a hash above all ids. Very long texts are one
+    throughout, so copies make no pairs. Rows that repeat a doc_id are one document only if their texts are equal; others
+    are linked by their texts alone. An id of several texts names the class of one of these; a class that no id is left
+    to name, as one without any id, has a hash above all ids as its class_id, and all its rows are representatives. Very long texts are one
     set of shingles each; an empty table gives an empty result; other columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = stored(signatures(docs))
-    own = F.coalesce("doc_id", F.lit(1 << 62) + F.pmod(F.xxhash64("set_key"), F.lit(1 << 61)))
-    nodes = stored(rows.groupBy("set_key").agg(F.min(own).alias("node"), F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("bands").alias("bands")))
+    other = F.lit(1 << 62) + F.pmod(F.xxhash64("set_key"), F.lit(1 << 61))
+    nodes = stored(rows.groupBy("set_key").agg(F.min(F.coalesce("doc_id", other)).alias("node"), F.min(F.struct("doc_id", "text_hash")).alias("at"), F.first("bands").alias("bands")))
+    shared = stored(nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("set_key").alias("first")).filter("n > 1"))
+    if shared.limit(1).count():  # ids of several texts: one of these is the id's node, the others have nodes of their own
+        nodes = stored(nodes.join(shared, "node", "left").withColumn("node", F.when(F.col("set_key") != F.col("first"), other).otherwise(F.col("node"))).drop("n", "first"))
     nodes = nodes.select("set_key", "node", "at.doc_id", "at.text_hash", "bands")
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
     order = F.struct(F.xxhash64("node", F.lit(16)).alias("h"), F.col("node").alias("hub"))
@@ -310,7 +314,7 @@ def classes(docs: DataFrame) -> DataFrame:
             break
     of_key = stored(nodes.select("set_key", "node").join(parts, "node", "left").select("set_key", F.coalesce("part", "node").alias("class_id")))
     found = rows.select("doc_id", "text_hash", "set_key").join(of_key, "set_key")
-    best = F.coalesce(F.col("doc_id") == F.col("class_id"), F.col("class_id") >= 1 << 62)
+    best = (F.col("class_id") >= 1 << 62) | F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False))
     return found.select("doc_id", "text_hash", "class_id", best.alias("is_representative"))
 
 

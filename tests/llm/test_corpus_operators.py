@@ -109,6 +109,27 @@ def test_one_row_stays_of_each_class(spark):
     assert sorted((str(r.doc_id), r.text or "") for r in kept) == [("1", near), ("7", ""), ("9", "alone in the world"), ("None", rows[3][1])]
 
 
+def test_an_id_of_two_texts_keeps_the_links_of_both(spark):
+    text = lambda k, side: " ".join(f"{side}{k}w{i}" for i in range(60))
+    rows = []
+    for k in range(40):
+        rows += [(k, text(k, "a")), (k, text(k, "b")), (1000 + k, text(k, "a") + " more"), (2000 + k, text(k, "b") + " more")]
+    found = neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).withColumnRenamed("text_hash", "h")
+    hashes = spark.createDataFrame(rows, "doc_id long, text string").select("text", F.xxhash64("text").alias("h")).distinct()
+    part = {r.text: r.class_id for r in found.join(hashes, "h").collect()}
+    assert len(part) == 160 and len(set(part.values())) == 80
+    assert all(part[text(k, s)] == part[text(k, s) + " more"] for k in range(40) for s in "ab")
+
+
+def test_unlinked_texts_of_one_id_all_stay(spark):
+    texts = [" ".join(f"{s}{i}" for i in range(30)) for s in "xyz"]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (1, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in neardup.representatives(docs).collect()) == sorted(rows[:3])
+    found = neardup.classes(docs).collect()
+    assert len({r.class_id for r in found}) == 3 and all(r.is_representative for r in found)
+
+
 def test_connected(spark):
     r = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60) if i % 20 != 19] + [(100 + r.randrange(50), 100 + r.randrange(50)) for _ in range(40)]
