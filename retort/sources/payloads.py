@@ -154,12 +154,3 @@ def split_pages(texts: DataFrame, column: str = "text") -> DataFrame:
     """page_num and text of each "--- Page N ---" part of a text; blank pages are left out, so numbers have gaps."""
     parts = F.filter(F.transform(F.split(column, r"(?=--- Page\s+\d+\s+---)"), lambda p: F.struct(F.regexp_extract(p, r"\A--- Page\s+(\d+)\s+---", 1).try_cast("int").alias("page_num"), t.strip(F.regexp_replace(p, r"\A--- Page\s+\d+\s+---", "")).alias("text"))), lambda p: p["page_num"].isNotNull() & (p["text"] != ""))
     return texts.select(*[c for c in texts.columns if c != column], F.inline(parts))
-
-
-def two_column_pages(words: DataFrame) -> DataFrame:
-    """page_num and two_column of pages of words (page_num, x0, x1, page_width): at least 120 words, at least 30 and 18 %
-    on either side of the middle, the smaller side at least 0.45 of the larger."""
-    middle = F.col("page_width") / 2
-    sides = words.groupBy("page_num").agg(F.count("*").alias("n"), F.count_if(F.col("x1") <= middle).alias("l"), F.count_if(F.col("x0") >= middle).alias("r"))
-    least, most = F.least("l", "r"), F.greatest("l", "r")
-    return sides.select("page_num", ((F.col("n") >= 120) & (least >= 30) & (least >= 0.18 * F.col("n")) & (least >= 0.45 * most)).alias("two_column"))

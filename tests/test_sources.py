@@ -62,8 +62,6 @@ def test_logs_and_tables(spark, tmp_path):
 def test_pages(spark):
     rows = spark.createDataFrame([("k", "--- Page 1 ---\nA\n--- Page 3 ---\n \n--- Page 4 ---\nB")], "paper string, text string")
     assert [tuple(r) for r in payloads.split_pages(rows).orderBy("page_num").collect()] == [("k", 1, "A"), ("k", 4, "B")]
-    words = spark.createDataFrame([(1, 10.0 + 300 * (i % 2), 60.0 + 300 * (i % 2), 600.0) for i in range(130)] + [(2, 10.0, 60.0, 600.0)] * 130, "page_num int, x0 double, x1 double, page_width double")
-    assert [tuple(r) for r in payloads.two_column_pages(words).orderBy("page_num").collect()] == [(1, True), (2, False)]
 
 
 def test_bundle_manifest_does_not_depend_on_order(spark, tmp_path):
