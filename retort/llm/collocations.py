@@ -17,7 +17,7 @@ MAX_N, LEAST, TOP = 3, 10, 2000
 ABSORBED = 50
 NO_LANG = "und"
 #: Bytes of text whose suffixes are counted together before they are shuffled, rows of a range, rows of one stack pass.
-COUNTED_BYTES, RANGE_ROWS, STACK_ROWS = 16 << 20, 1 << 20, 1 << 16
+COUNTED_BYTES, RANGE_ROWS, STACK_ROWS = 4 << 20, 1 << 19, 1 << 16
 #: Words whose suffixes are cut out at once.
 CUT_WORDS = 1 << 18
 #: Parts in which the phrases of a lang are ranked before the best of all parts are.
