@@ -23,7 +23,7 @@ def test_odd_rows(spark, edge_dir, name):
         assert len(rows) == 5
     elif name == "pipeline":
         ids = {r.doc_id for r in rows}
-        assert ids <= {1, 2, 3, 4, 5, 6, 7, 8, 9, 11, None} and ids & {1, 6}
+        assert ids <= {1, 2, 3, 4, 5, 6, 7, 8, 9, 11, None} and ids and not ids & {1, 5, 9}  # those hold a benchmark passage
     elif name == "op13_collocations":
         assert not rows  # nothing occurs ten times there
     elif name == "op10_packing":
