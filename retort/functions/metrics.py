@@ -78,11 +78,14 @@ def clean_ratio(value: Column, metric: str) -> Column:
     return F.when(~one_of(value, vocab.METRIC_EMPTY), F.nullif(strip(text), F.lit("")))
 
 
-def peel_parentheses(value: Column, depth: int = 8) -> Column:
-    """Without the brackets around the whole text, up to `depth` pairs."""
-    for _ in range(depth):
-        value = F.regexp_replace(strip(value), r"\A\((.*)\)\z", "$1")
-    return value
+def peel_parentheses(value: Column) -> Column:
+    """Without the brackets around the whole text, however many pairs, and without white space between them."""
+    text = strip(value)
+    count = lambda run, sign: F.char_length(F.regexp_replace(F.regexp_extract(text, run, 0), rf"[^{sign}]", ""))
+    pairs = F.least(count(r"\A[\s(]*", r"("), count(r"[\s)]*\z", r")"))
+    cut = lambda sign, n: F.char_length(F.call_function("substring_index", text, F.lit(sign), n)) + 1
+    head, tail = cut("(", pairs), cut(")", -pairs)
+    return strip(F.when(pairs > 0, F.substring(text, head + 1, F.char_length(text) - head - tail)).otherwise(text))
 
 
 def number_or_ratio(value: Column) -> Column:

@@ -215,7 +215,7 @@ def safe_stem(text: Column) -> Column:
 def formula_candidates(text: Column) -> Column:
     """Distinct runs of elements and counts, white space between them aside, that their parts rebuild: every part an element,
     no count above 32 and at least one given."""
-    spaced = F.regexp_extract_all(text, F.lit(r"\b((?:[A-Z][a-z]?\s*\d*\s*){2,})\b"), 1)
+    spaced = F.regexp_extract_all(text, F.lit(r"(?<![A-Za-z])((?:[A-Z][a-z]?(?:\s*\d+)?\s*){2,})(?![a-z])"), 1)
     joined = F.transform(spaced, lambda f: F.regexp_replace(f, r"\s+", ""))
     found = F.filter(joined, lambda f: F.array_join(F.regexp_extract_all(f, F.lit(r"([A-Z][a-z]?\d*)"), 1), "") == f)
     known = F.array(*[F.lit(e) for e in vocab.ELEMENTS])

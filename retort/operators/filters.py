@@ -25,7 +25,7 @@ def basic_reason(left: Column, right: Column) -> Column:
     size = lambda a: F.coalesce(F.size(a), F.lit(0))
     names = lambda a: F.filter(a, lambda n: F.coalesce(n, F.lit("")) != "")
     lower = lambda a: F.array_sort(F.array_distinct(F.transform(names(a), F.lower)))
-    invalid = lambda a: F.exists(names(a), lambda n: F.lower(t.strip(n)).isin(*vocab.INVALID_NAMES))
+    invalid = lambda a: F.exists(names(a), lambda n: F.lower(t.squeeze(n)).isin(*vocab.INVALID_NAMES))
     return (
         F.when((size(left) <= 0) | (size(right) <= 0), "empty_side")
         .when((size(names(left)) == 0) | (size(names(right)) == 0), "no_names")

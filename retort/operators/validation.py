@@ -24,7 +24,7 @@ def retry_messages(reactions: DataFrame) -> DataFrame:
     r, named = F.col("reaction"), reactions.withColumn("_id", F.col("reaction.id"))
     names = lambda side: F.transform(F.coalesce(r[side], F.array()), compound_name)
     detectors = {
-        "placeholder_product": F.exists(names("products"), lambda n: F.lower(n).isin(*vocab.INVALID_NAMES)),
+        "placeholder_product": F.exists(names("products"), lambda n: F.lower(t.squeeze(n)).isin(*vocab.INVALID_NAMES)),
         "unnamed_substrate": F.forall(names("substrates"), lambda n: n == ""),
         "unnamed_product": F.forall(names("products"), lambda n: n == ""),
         "no_target": F.coalesce(*[F.nullif(t.clean_text(r["targets"][k]), F.lit("")) for k in ("yield", "ee", "er", "dr")]).isNull(),
@@ -44,6 +44,62 @@ def missed_targets(text: Column, mode: Column, reactions: Column) -> Column:
     return F.when(mode.isin("gp", "mixed") & target_cue(text) & (F.size(missed) > 0), missed)
 
 
+def preview(items: Column, n: int) -> Column:
+    """The first n of an array joined by "; ", and how many more there are; "" for null and for an empty one."""
+    more = F.size(items) - n
+    return F.coalesce(F.concat(F.array_join(F.slice(items, 1, n), "; "), F.when(more > 0, F.concat(F.lit("; ... (+"), more.cast("string"), F.lit(" more)"))).otherwise("")), F.lit(""))
+
+
+def _filled(compounds: Column) -> Column:
+    """Whether some compound says anything."""
+    said = lambda c: F.concat_ws("", *[t.clean_text(c[k]) for k in ("name", "symbol", "label", "smiles", "amount")]) != ""
+    return F.exists(F.coalesce(compounds, F.array()), said)
+
+
+def _named(reaction: Column) -> Column:
+    return F.coalesce(F.nullif(t.strip(reaction["id"]), F.lit("")), F.lit("<missing id>"))
+
+
+def empty_substrates(reactions: Column, mode: Column, keys: Column) -> Column:
+    """The ids of reactions with products and outcomes but no substrate, where a mixed job was given procedures; else null."""
+    outcome = lambda r: F.concat_ws("", *[t.clean_text(r["targets"][k]) for k in ("yield", "ee", "er", "dr")]) != ""
+    bare = F.filter(reactions, lambda r: ~_filled(r["substrates"]) & _filled(r["products"]) & outcome(r))
+    return F.when((mode == "mixed") & (F.size(keys) > 0) & (F.size(bare) > 0), F.transform(bare, _named))
+
+
+def foreign_templates(reactions: Column, mode: Column, keys: Column) -> Column:
+    """"id: source" of reactions that name a procedure which their job wasn't given; else null."""
+    source = lambda r: F.coalesce(t.strip(r["gp_source"]), F.lit(""))
+    found = F.filter(reactions, lambda r: (source(r) != "") & ~F.array_contains(keys, source(r)))
+    return F.when(mode.isin("gp", "mixed") & (F.size(keys) > 0) & (F.size(found) > 0), F.transform(found, lambda r: F.concat(_named(r), F.lit(": "), source(r))))
+
+
+def missing_template_fields(reactions: Column, mode: Column, keys: Column, templates: Column) -> Column:
+    """"id: fields" of reactions that lack what their template has, or its name; null where nothing lacks.
+
+    templates: map of gp_key to struct<status, template>. In a mixed job only reactions that name a procedure count; one
+    without a name takes the only template of its job. A template that isn't valid asks for nothing but the name.
+    """
+    some = lambda v: F.coalesce(t.clean_text(v), F.lit("")) != ""
+
+    def lacks(r: Column) -> Column:
+        source = t.strip(r["gp_source"])
+        key = F.when(some(source) & F.map_contains_key(templates, source), source).when(F.size(keys) == 1, keys[0])
+        entry = F.try_element_at(templates, key)
+        g, valid = entry["template"], F.coalesce(entry["status"] == "valid", F.lit(False))
+        roles = [F.when(valid & _filled(g[k]) & ~_filled(r[k]), F.lit(k)) for k in ("substrates", "catalysts", "ligands", "other_components")]
+        between = lambda x: F.exists(F.coalesce(x["intermediates"], F.array()), lambda i: F.concat_ws("", t.clean_text(i["name"]), t.clean_text(i["symbol"])) != "")
+        told = lambda c: F.map_keys(F.map_filter(F.coalesce(c["conditions"], F.expr("cast(map() as map<string,array<struct<step:int,value:string>>>)")), lambda _, v: F.exists(v, lambda x: some(x["value"]))))
+        conditions = F.transform(F.array_sort(F.array_except(F.when(valid, told(g)).otherwise(F.expr("cast(array() as array<string>)")), told(r))), lambda k: F.concat(F.lit("conditions."), k))
+        head = F.array(F.when(~some(source), "_gp_source"), *roles, F.when(valid & between(g) & ~between(r), "intermediates"))
+        tail = F.array(F.when(valid & some(g["reaction_type"]) & ~some(r["reaction_type"]), "reaction_type"), F.when(valid & g["step_count"].isNotNull() & ~g["step_count"].eqNullSafe(r["step_count"]), "step_count"))
+        return F.array_compact(F.concat(head, conditions, tail))
+
+    counted = F.filter(reactions, lambda r: (mode != "mixed") | some(r["gp_source"]))
+    told = F.filter(F.transform(counted, lambda r: F.struct(_named(r).alias("id"), lacks(r).alias("fields"))), lambda x: F.size(x["fields"]) > 0)
+    return F.when(mode.isin("gp", "mixed") & (F.size(templates) > 0) & (F.size(told) > 0), F.transform(told, lambda x: F.concat(x["id"], F.lit(": "), F.array_join(x["fields"], ", "))))
+
+
 def resolution_violations(resolved: DataFrame, ambiguous: DataFrame, scope: Sequence[str], symbol: str = "symbol") -> DataFrame:
     """Rows resolved though they must not be, with the reason: an ambiguous symbol, a name of their own, doubt, a foreign role."""
     bad = ambiguous.select(*scope, symbol).distinct().withColumn("_amb", F.lit(True))

@@ -39,7 +39,7 @@ def test_percentages(spark):
 def test_ratios(spark):
     assert one(spark, ["  >20:1 dr  ", "dr = 95:5", "N/A", "dr"], m.clean_ratio(F.col("c0"), "dr")) == [">20:1", "95:5", None, None]
     assert one(spark, ["91:9", "high dr", "91:9 dr x", ">20:1", "trace", None], m.whole_ratio(F.col("c0"))) == [True, False, False, True, False, False]
-    assert one(spark, ["((92%))", "(a)(b)", " (x) "], m.peel_parentheses(F.col("c0"))) == ["92%", "a)(b", "x"]
+    assert one(spark, ["((92%))", "(a)(b)", " (x) ", "(" * 12 + "7" + ") " * 12, "((a)", "()", "(", "", None], m.peel_parentheses(F.col("c0"))) == ["92%", "a)(b", "x", "7", "(a", "", "(", "", None]
 
 
 def test_target_filter(spark):
@@ -99,5 +99,5 @@ def test_pages(spark):
 
 
 def test_formulas(spark):
-    assert one(spark, ["K2CO3 and Xx9 in CH2Cl2, NaOH", "He said"], t.formula_candidates(F.col("c0"))) == [["CH2Cl2", "K2CO3"], []]
+    assert one(spark, ["K2CO3 and Xx9 in CH2Cl2, NaOH", "He said", "2NaHCO3 aq"], t.formula_candidates(F.col("c0"))) == [["CH2Cl2", "K2CO3"], [], ["NaHCO3"]]
     assert one(spark, ['```json\n{"a": 1}\n```'], t.strip_fence(F.col("c0"))) == ['{"a": 1}']
