@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from retort.functions import text as t
 from retort.functions import vocab
 
+#: What parts words: everything but letters and digits.
+_BETWEEN = r"[^\p{L}\p{N}]+"
+
 
 def two_key_lookup(rows: DataFrame, registry: DataFrame, scope: Sequence[str], key: str, name: str) -> DataFrame:
     """rows with `found` and `match`: the registry's name under the key as it is, else under the key with case aside.
@@ -125,18 +128,29 @@ def contains_join(rows: DataFrame, aliases: DataFrame, text: str, alias: str, bl
     """rows x aliases where the text holds the alias.
 
     The aliases are a stated set that meets all rows in blocks of about block_chars characters, each of them broadcast;
-    one block is usual.
+    one block is usual. An alias with a word between two others can only stand in a text that has this word as a whole
+    one: such aliases are joined by the longest of their inner words, and only then compared. The others (single words,
+    their parts, pairs of words) are looked for in every row. Null texts and aliases meet nothing.
     """
-    size = aliases.agg(F.sum(F.char_length(alias) + 64)).first()[0] or 0
-    blocks = 1 + size // block_chars
-    hit = F.contains(F.col(text), F.col(alias))
-    if blocks == 1:
-        return rows.join(F.broadcast(aliases), hit)
+    words = lambda c: F.split(c, _BETWEEN)
+    inner = F.filter(F.slice(words(F.col(alias)), 2, F.greatest(F.size(words(F.col(alias))) - 2, F.lit(0))), lambda w: w != "")
+    longest = F.try_element_at(F.array_sort(F.transform(inner, lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w")))), F.lit(1))["w"]
+    keyed = aliases.withColumn("_word", longest)
     found = None
-    for b in range(blocks):
-        part = rows.join(F.broadcast(aliases.filter(F.pmod(F.xxhash64(alias), F.lit(blocks)) == b)), hit)
-        found = part if found is None else found.unionByName(part)
-    return found
+    for by_word in (True, False):
+        some = keyed.filter(F.col("_word").isNotNull() if by_word else F.col("_word").isNull())
+        n, size = some.agg(F.count("*"), F.coalesce(F.sum(F.char_length(alias) + 64), F.lit(0))).first()
+        blocks = 1 + size // block_chars if n else 0
+        hit = F.contains(F.col(text), F.col(alias))
+        for b in range(blocks):
+            part = some if blocks == 1 else some.filter(F.pmod(F.xxhash64(alias), F.lit(blocks)) == b)
+            if by_word:
+                has = rows.withColumn("_has", F.explode(F.array_distinct(words(F.col(text)))))
+                met = has.join(F.broadcast(part), F.col("_has") == F.col("_word")).filter(hit).drop("_has", "_word")
+            else:
+                met = rows.join(F.broadcast(part.drop("_word")), hit)
+            found = met if found is None else found.unionByName(met)
+    return rows.join(F.broadcast(aliases.limit(0)), F.lit(True)) if found is None else found
 
 
 def range_join(points: DataFrame, spans: DataFrame, point: str, low: str, high: str, width: int) -> DataFrame:

@@ -11,6 +11,7 @@ from retort.functions import text as t
 from retort.functions import vocab
 from retort.functions.metrics import target_cue
 from retort.operators.filters import compound_name
+from retort.storage import materialize
 
 
 def first_examples(rows: DataFrame, condition: Column, message: str, order: str, show: str, n: int = 5) -> DataFrame:
@@ -50,10 +51,13 @@ def preview(items: Column, n: int) -> Column:
     return F.coalesce(F.concat(F.array_join(F.slice(items, 1, n), "; "), F.when(more > 0, F.concat(F.lit("; ... (+"), more.cast("string"), F.lit(" more)"))).otherwise("")), F.lit(""))
 
 
-def _filled(compounds: Column) -> Column:
-    """Whether some compound says anything."""
-    said = lambda c: F.concat_ws("", *[t.clean_text(c[k]) for k in ("name", "symbol", "label", "smiles", "amount")]) != ""
-    return F.exists(F.coalesce(compounds, F.array()), said)
+#: In JSON without nulls: a text that isn't blank, a number, or a truth value, at any depth.
+_SAID = r'(?::|\[(?:"(?:\s|\\[nrtf])*+",)*)(?:"(?:\s|\\[nrtf])*+[^"\s]|[-0-9tf])'
+
+
+def _filled(value: Column) -> Column:
+    """Whether a nested value says anything at any depth."""
+    return F.coalesce(F.to_json(value).rlike(_SAID), F.lit(False))
 
 
 def _named(reaction: Column) -> Column:
@@ -62,8 +66,7 @@ def _named(reaction: Column) -> Column:
 
 def empty_substrates(reactions: Column, mode: Column, keys: Column) -> Column:
     """The ids of reactions with products and outcomes but no substrate, where a mixed job was given procedures; else null."""
-    outcome = lambda r: F.concat_ws("", *[t.clean_text(r["targets"][k]) for k in ("yield", "ee", "er", "dr")]) != ""
-    bare = F.filter(reactions, lambda r: ~_filled(r["substrates"]) & _filled(r["products"]) & outcome(r))
+    bare = F.filter(reactions, lambda r: ~_filled(r["substrates"]) & _filled(r["products"]) & _filled(r["targets"]))
     return F.when((mode == "mixed") & (F.size(keys) > 0) & (F.size(bare) > 0), F.transform(bare, _named))
 
 
@@ -80,7 +83,7 @@ def missing_template_fields(reactions: Column, mode: Column, keys: Column, templ
     templates: map of gp_key to struct<status, template>. In a mixed job only reactions that name a procedure count; one
     without a name takes the only template of its job. A template that isn't valid asks for nothing but the name.
     """
-    some = lambda v: F.coalesce(t.clean_text(v), F.lit("")) != ""
+    some = lambda v: F.coalesce(t.strip(v), F.lit("")) != ""
 
     def lacks(r: Column) -> Column:
         source = t.strip(r["gp_source"])
@@ -88,10 +91,9 @@ def missing_template_fields(reactions: Column, mode: Column, keys: Column, templ
         entry = F.try_element_at(templates, key)
         g, valid = entry["template"], F.coalesce(entry["status"] == "valid", F.lit(False))
         roles = [F.when(valid & _filled(g[k]) & ~_filled(r[k]), F.lit(k)) for k in ("substrates", "catalysts", "ligands", "other_components")]
-        between = lambda x: F.exists(F.coalesce(x["intermediates"], F.array()), lambda i: F.concat_ws("", t.clean_text(i["name"]), t.clean_text(i["symbol"])) != "")
-        told = lambda c: F.map_keys(F.map_filter(F.coalesce(c["conditions"], F.expr("cast(map() as map<string,array<struct<step:int,value:string>>>)")), lambda _, v: F.exists(v, lambda x: some(x["value"]))))
+        told = lambda c: F.map_keys(F.map_filter(F.coalesce(c["conditions"], F.expr("cast(map() as map<string,array<struct<step:int,value:string>>>)")), lambda _, v: _filled(v)))
         conditions = F.transform(F.array_sort(F.array_except(F.when(valid, told(g)).otherwise(F.expr("cast(array() as array<string>)")), told(r))), lambda k: F.concat(F.lit("conditions."), k))
-        head = F.array(F.when(~some(source), "_gp_source"), *roles, F.when(valid & between(g) & ~between(r), "intermediates"))
+        head = F.array(F.when(~some(source), "_gp_source"), *roles, F.when(valid & _filled(g["intermediates"]) & ~_filled(r["intermediates"]), "intermediates"))
         tail = F.array(F.when(valid & some(g["reaction_type"]) & ~some(r["reaction_type"]), "reaction_type"), F.when(valid & g["step_count"].isNotNull() & ~g["step_count"].eqNullSafe(r["step_count"]), "step_count"))
         return F.array_compact(F.concat(head, conditions, tail))
 
@@ -196,3 +198,32 @@ def router_jobs(routes: DataFrame, known: Sequence[str] = ("text", "image", "bot
     """Jobs with a known route, lower-cased; the others are dropped."""
     route = F.lower(t.strip(F.col("route")))
     return routes.withColumn("route", route).filter(F.col("route").isin(*known) & (t.clean_text(F.col("paper_key")) != ""))
+
+
+def contained_sets(sets: DataFrame, key: str, item: str) -> tuple[DataFrame, DataFrame]:
+    """(pairs of set_id, within: each different set and each different, larger one that holds it; members: key, set_id).
+
+    sets: rows of a key and an item; repeated and null items don't count, and a key without items is in no set. Keys with
+    equal items share a set, so that copies never meet. A set looks for others only among those that have its rarest item
+    (the least of several) and are larger, and only those are compared item by item. A set must fit in a row.
+    """
+    whole = sets.filter(F.col(item).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(item)).alias("_items"))
+    keyed = materialize(whole.withColumn("set_id", F.sha2(F.to_json(F.struct("_items")), 256)))
+    distinct = materialize(keyed.groupBy("set_id").agg(F.any_value("_items").alias("items")))
+    posted = distinct.select("set_id", F.size("items").alias("n"), F.explode("items").alias("item"))
+    counts = posted.groupBy("item").agg(F.count("*").alias("c"))
+    rarest = posted.join(counts, "item").groupBy("set_id", "n").agg(F.min(F.struct("c", "item"))["item"].alias("item"))
+    met = rarest.alias("a").join(posted.alias("b"), (F.col("a.item") == F.col("b.item")) & (F.col("b.n") > F.col("a.n"))).select(F.col("a.set_id").alias("set_id"), F.col("b.set_id").alias("within"))
+    small, large = distinct.select("set_id", F.col("items").alias("_small")), distinct.select(F.col("set_id").alias("within"), F.col("items").alias("_large"))
+    pairs = met.join(small, "set_id").join(large, "within").filter(F.size(F.array_except("_small", "_large")) == 0).select("set_id", "within")
+    return pairs, keyed.select(key, "set_id")
+
+
+def leaked_questions(questions: DataFrame, answers: DataFrame, key: str = "question_id", text: str = "question_text") -> DataFrame:
+    """key and answer of the questions whose shown text holds one of their own gold answers as whole words, case aside.
+
+    answers: key, answer. Each question meets only its own answers; empty answers leak nothing.
+    """
+    fold = lambda c: F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
+    own = answers.select(key, "answer").distinct().filter(F.btrim(fold(F.col("answer"))) != "")
+    return questions.join(own, key).filter(F.contains(fold(F.coalesce(text, F.lit(""))), fold(F.col("answer")))).select(key, "answer")
