@@ -88,6 +88,11 @@ CHEMISTRY_WORDS = (
     "pericyclic",
 )
 PAGE_THRESHOLD = 3
+# names of products that don't tell what they are
+VAGUE_PRODUCTS = ("unknown product", "heterodimer")
+NUMBERED_PRODUCT = r"\A(product|compound|adduct)\s*\w+\z"
+SHORT_LABEL = r"\A\w{1,3}\z"
+LOOKS_OF_PRODUCT = r"\b(solid|oil|liquid|foam|powder|crystal|residue)\b"
 MODALITIES = {"text": "text", "textual": "text", "image": "image", "chemeagle": "image", "vision": "image"}
 DIRECT_ROLES = {"light source": "light", "precatalyst": "catalyst", "catalysts": "catalyst", "additives": "additive"}
 CONDITION_LABELS = {"temperature": "temp", "time": "time", "concentration": "conc", "atmosphere": "atm", "light source": "light", "light_source": "light", "wavelength": "wl"}

@@ -25,6 +25,7 @@ class Policies:
     substrate_name: str = "resolved"  # resolved, original_if_available, registry_if_resolved_else_original
     reaction_type: str = "required"  # required, ignored
     objectives: tuple[str, ...] = (m.COMBINED, m.YIELD_ONLY)
+    product_names: str = "described"  # or any: whether a product's name has to tell what it is
     q1_condition: str = "any_visible_structured_condition_v1"  # or legacy_conditions_only
 
 
@@ -109,6 +110,7 @@ def question_packages(reactions: DataFrame, policies: Policies = Policies()) ->
         for objective in policies.objectives:
             label = "COMBINED" if objective == m.COMBINED else "YIELD"
             for task, make, group in (("Q1", questions.condition_questions, ("source_paper", "reaction_type", "substrates", "products")), ("Q2", questions.substrate_questions, ("source_paper", "reaction_type", "scaffolds", "condition", "variable"))):
-                found, review = make(mine.filter(F.col(f"in_{task.lower()}")), objective, policies.reaction_type)
+                names = {"product_names": policies.product_names} if task == "Q1" else {}
+                found, review = make(mine.filter(F.col(f"in_{task.lower()}")), objective, policies.reaction_type, **names)
                 out[task, modality, objective] = questions.numbered(found, group, f"{task}_{label}_{modality.upper()}"), review
     return out

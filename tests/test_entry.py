@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from retort import registry
-from retort.plans import reactions
+from retort.plans import reactions, screens
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -22,7 +22,7 @@ def test_flagship(spark):
 
 
 OLDER = ["edges_to_summary", "qa_gold_ties", "reason_labelled_filter", "er_to_ee", "two_key_lookup", "asof_page", "greedy_chunk", "usage_grouping_sets", "page_relevance", "unique_suffixes"]
-NEWER = [n for n, f in registry.QUERIES.items() if n in vars(reactions)]
+NEWER = [n for n, f in registry.QUERIES.items() if n in vars(reactions) or n in vars(screens)]
 
 
 def plain(value):
@@ -50,3 +50,11 @@ def test_query_gives_the_values_of_its_sql(spark, tables, name):
     df = registry.QUERIES[name](spark, SF)
     assert sorted(df.columns) == sorted(names)
     assert sorted(tuple(plain(row[c]) for c in sorted(names)) for row in df.collect()) == expected and expected
+
+
+def test_screens_have_every_reason(spark):
+    early, late = ["unknown_reaction_type", "insufficient_objective_options"], ["insufficient_scored_options", "no_rankable_yield_or_ee"]
+    conditions = ["missing_product", "duplicate_public_conditions_conflicting_results", "insufficient_distinct_conditions"]
+    substrates = ["variable_scaffold_not_unique", "fixed_substrate_mismatch", "duplicate_variable_substrate_conflicting_results", "insufficient_distinct_variable_substrates"]
+    for name, own in (("condition_choices_review", conditions), ("substrate_choices_review", substrates)):
+        assert {r.reason for r in registry.QUERIES[name](spark, SF).select("reason").distinct().collect()} == {*early, *late, *own}
