@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retort.llm.common import ALNUM, LOWER, NOT_SPACE, carried, mix, read, released, salt, text_slices, word_hashes, words
+from retort.llm.common import ALNUM, LOWER, NOT_SPACE, carried, mix, read, released, salt, stored, text_slices, word_hashes, words
 
 #: Hashed weights; labelled documents of each grade in the training sample, at most about so many whatever the table's size.
 BITS, SAMPLE_PER_GRADE = 20, 4000
-#: Features of a text of the training sample at most, so that the sample has a bound in bytes: 8 times this for each text.
-SAMPLE_FEATURES = 4096
+#: Bytes of features of the training sample, about; beyond them fewer of its texts are taken, each of them whole.
+SAMPLE_BYTES = 256 << 20
 EPOCHS, BATCH, RATE, DECAY, LEAST_DOCS, LEAST_SHARE = 30, 256, 0.3, 1e-3, 5, 0.005
 #: Ids of labelled documents that may be broadcast.
 BROADCAST_IDS = 500_000
@@ -82,17 +82,6 @@ def features(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> tuple[n
     return slot[order], value[order], np.bincount(row, minlength=n)
 
 
-def fewest(slots: np.ndarray, values: np.ndarray, counts: np.ndarray, most: int = SAMPLE_FEATURES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows of more than `most` features those of least hash, by which all rows choose alike."""
-    rows = np.repeat(np.arange(len(counts)), counts)
-    if not (counts > most).any():
-        return slots, values, counts
-    order = np.lexsort((mix(slots.astype(np.uint64) + salt(5)), rows))
-    rank = np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts)
-    keep = np.sort(order[rank < most])
-    return slots[keep], values[keep], np.minimum(counts, most)
-
-
 def scores(model: Model, slots: np.ndarray, values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     rows = np.repeat(np.arange(len(counts)), counts)
     return np.bincount(rows, weights=model.weights[slots] * values, minlength=len(counts))
@@ -146,11 +135,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int, bits: int =
     return Model(weights, cuts)
 
 
-def sample(docs: DataFrame, grades: DataFrame, per_grade: int = SAMPLE_PER_GRADE) -> list[tuple[np.ndarray, np.ndarray, int]]:
+def sample(docs: DataFrame, grades: DataFrame, per_grade: int = SAMPLE_PER_GRADE, most_bytes: int = SAMPLE_BYTES) -> list[tuple[np.ndarray, np.ndarray, int]]:
     """The features of about per_grade documents of each grade, chosen by a hash of the id; computed where the texts are.
 
-    The choice is made among the labels, so that only its ids, a bounded number, go to the texts. Only this sample has
-    bounds, SAMPLE_PER_GRADE and SAMPLE_FEATURES; grade() reads whole texts.
+    The choice is made among the labels, so that only its ids, a bounded number, go to the texts, which are read whole.
+    If their features take more than about most_bytes, a share of the texts that fits is taken, by a hash of the features.
     """
     counts = {r["grade"]: r["count"] for r in grades.groupBy("grade").count().collect()}
     if not counts:
@@ -165,12 +154,16 @@ def sample(docs: DataFrame, grades: DataFrame, per_grade: int = SAMPLE_PER_GRADE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, data, offsets in text_slices(batch.column("text")):
-                slots, values, n = fewest(*features(data, offsets))
+                slots, values, n = features(data, offsets)
                 ends = np.cumsum(n)
                 cut = lambda a, kind: pa.array([a[e - k : e].astype(kind).tobytes() for e, k in zip(ends, n, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column("grade").slice(i, j - i), cut(slots, "<u4"), cut(values, "<f4")], names=["grade", "slots", "vals"])
 
-    rows = chosen.select("grade", "text").mapInArrow(run, "grade int, slots binary, vals binary").collect()
+    found = stored(chosen.select("grade", "text").mapInArrow(run, "grade int, slots binary, vals binary"))
+    size = found.agg(F.sum(F.octet_length("slots") + F.octet_length("vals"))).first()[0] or 0
+    if size > most_bytes:
+        found = found.filter(F.pmod(F.xxhash64("slots", F.lit(5)), F.lit(1 << 30)) < int(most_bytes / size * (1 << 30)))
+    rows = found.collect()
     rows = sorted((r["grade"], bytes(r["slots"]), bytes(r["vals"])) for r in rows)
     return [(np.frombuffer(s, "<u4").astype(np.int64), np.frombuffer(v, "<f4"), g) for g, s, v in rows]
 

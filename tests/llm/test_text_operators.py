@@ -302,9 +302,15 @@ def test_quality_by_straight_statements():
             assert likelihood(float(fitted.weights[3]), fitted.thresholds + step * (np.arange(2) == j)) < best + 0.01
 
 
-def test_the_samples_features_are_bounded():
-    slots, values, counts = quality.fewest(np.arange(30), np.ones(30), np.array([20, 0, 10]), most=12)
-    assert counts.tolist() == [12, 0, 10] and slots[12:].tolist() == list(range(20, 30)) and set(slots[:12]) < set(range(20))
+def test_the_sample_takes_whole_texts_and_fewer_of_them_beyond_its_bytes(spark):
+    texts = [(i, " ".join(f"w{i}x{k}" for k in range(9000 if i == 0 else 50))) for i in range(200)]
+    docs, grades = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(i, i % 3) for i in range(200)], "doc_id long, grade int")
+    whole = quality.sample(docs, grades)
+    assert len(whole) == 200 and max(len(s) for s, _, _ in whole) > 8900
+    fewer = quality.sample(docs, grades, most_bytes=sum(8 * len(s) for s, _, _ in whole) // 2)
+    known = {(g, s.tobytes(), v.tobytes()) for s, v, g in whole}
+    assert 50 < len(fewer) < 150 and all((g, s.tobytes(), v.tobytes()) in known for s, v, g in fewer)
+    assert quality.sample(docs.filter("false"), grades) == [] == quality.sample(docs, grades.filter("false"))
 
 
 def test_many_turns_and_a_conversation_of_the_probes_number(spark, tmp_path):
