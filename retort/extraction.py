@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from retort import schemas
 from retort.functions import text as t
+from retort.functions import vocab
 from retort.operators.validation import empty_substrates, foreign_templates, missed_targets, missing_template_fields, preview
 from retort.providers import Provider, ask, repair_json
 from retort.sources.payloads import reactions_of
@@ -120,3 +121,70 @@ def audit(outcomes: DataFrame, jobs: DataFrame, provider: Provider, batch: int =
     fresh = F.filter(F.col("_more"), lambda r, i: ~F.array_contains(known, sign(r)) & (F.array_position(F.transform("_more", sign), sign(r)) == i + 1))
     out = outcomes.join(more, "job_id", "left").withColumn("_more", F.coalesce(fresh, F.expr(f"cast(array() as array<{schemas.REACTION}>)")))
     return out.select(*[F.concat("reactions", "_more").alias(c) if c == "reactions" else c for c in outcomes.columns], F.size("_more").alias("audit_recovered"))
+
+
+_ROLES_ANSWER = "struct<reactions:array<struct<reaction_index:int,conditions:array<struct<condition_index:int,refined_role:string,reason:string>>>>>"
+_AT = ["record_id", "reaction_pos", "condition_pos"]
+
+
+def _roles_answered(pending: DataFrame, request: list[str], provider: Provider, batch: int) -> DataFrame:
+    """pending with `answered` (role, reason; null if there is no valid one), by one request for each value of `request`.
+
+    Of answers for a reaction the last counts, of those for a condition the first with a known role.
+    """
+    condition = F.struct(F.col("condition_pos").alias("condition_index"), "role", "text")
+    reactions = pending.groupBy(*dict.fromkeys([*request, "record_id", "reaction_pos"])).agg(F.array_sort(F.collect_list(condition)).alias("conditions"))
+    body = F.array_sort(F.collect_list(F.struct(F.col("reaction_pos").alias("reaction_index"), "conditions")))
+    asked = materialize(reactions.groupBy(*request).agg(F.to_json(F.struct(F.first("record_id").alias("record"), body.alias("reactions"))).alias("_request")))
+    answers = ask(asked.select("_request"), provider, "_request", batch, tries=1).withColumnRenamed("key", "_request")
+    read = asked.join(answers, "_request").select(*request, F.from_json(repair_json(t.strip_fence(F.col("answer"))), _ROLES_ANSWER)["reactions"].alias("r"))
+    each = read.select(*request, F.posexplode("r").alias("at", "r")).select(*request, "at", F.col("r.reaction_index").alias("_of"), F.col("r.conditions").alias("c"))
+    last = each.groupBy(*request, "_of").agg(F.max(F.struct("at", "c"))["c"].alias("c"))
+    rows = last.select(*request, "_of", F.posexplode("c").alias("at", "c"))
+    role = F.replace(F.lower(t.clean_text(F.col("c.refined_role"))), F.lit("_"), F.lit(" "))
+    known = rows.select(*request, "_of", F.col("c.condition_index").alias("_condition"), "at", role.alias("role"), F.coalesce(F.nullif(t.clean_text(F.col("c.reason")), F.lit("")), F.lit("answer without a reason")).alias("reason")).filter(F.col("role").isin(*vocab.REFINED_ROLES))
+    first = known.groupBy(*request, "_of", "_condition").agg(F.min(F.struct("at", "role", "reason")).alias("_f"))
+    first = first.select(*[F.col(c).alias(f"_{c}") for c in request], "_of", "_condition", F.struct("_f.role", "_f.reason").alias("answered"))
+    met = (pending["reaction_pos"] == first["_of"]) & (pending["condition_pos"] == first["_condition"])
+    for c in request:
+        met = met & (pending[c] == first[f"_{c}"])
+    return pending.join(first, met, "left").select(*pending.columns, "answered")
+
+
+def refine_roles(conditions: DataFrame, provider: Provider, reactions_a_batch: int = 16, batch: int = 8) -> DataFrame:
+    """conditions (record_id, reaction_pos, condition_pos, role, text) with refined_role, role_source and role_reason.
+
+    Specific roles stay. The others of a record are asked about in batches of neighbouring reactions, by their positions; a
+    batch that fails, and every reaction of it that lacks a valid role for some condition, is asked about again reaction by
+    reaction, and what is left gets its own role, if it is a known one, or else that of a reagent. Each level is a stored
+    table, so that a lost executor repeats no request of the one before. Ids and positions aren't null and name a condition;
+    null roles and texts are empty ones; an empty table gives an empty one. Answers:
+    {"reactions": [{"reaction_index", "conditions": [{"condition_index", "refined_role", "reason"}]}]}.
+    """
+    plain = F.replace(F.lower(t.clean_text(F.col("role"))), F.lit("_"), F.lit(" "))
+    given = conditions.select(*_AT, plain.alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    direct = given.filter(F.col("role").isin(*vocab.KEPT_ROLES))
+    direct = direct.select(*_AT, "role", t.direct_role(F.col("role")).alias("refined_role"), F.lit("original").alias("role_source"), F.lit("already specific").alias("role_reason"))
+    pending = given.filter(~F.col("role").isin(*vocab.KEPT_ROLES)).withColumn("_batch", F.floor(F.col("reaction_pos") / reactions_a_batch))
+    first = materialize(_roles_answered(pending, ["record_id", "_batch"], provider, batch))
+    open_ = first.groupBy("record_id", "reaction_pos").agg(F.bool_or(F.col("answered").isNull()).alias("open")).filter("open").drop("open")
+    again = first.join(open_, ["record_id", "reaction_pos"], "left_semi").drop("answered")
+    second = materialize(_roles_answered(again.select(*pending.columns), ["record_id", "reaction_pos"], provider, batch))
+    settled = first.join(open_, ["record_id", "reaction_pos"], "left_anti").unionByName(second)
+    own = F.when(F.col("role").isin(*vocab.REFINED_ROLES), F.col("role")).otherwise(F.lit(vocab.TERMINAL_ROLE))
+    refined = settled.select(
+        *_AT,
+        "role",
+        F.coalesce("answered.role", own).alias("refined_role"),
+        F.when(F.col("answered").isNull(), "fallback").otherwise("refined").alias("role_source"),
+        F.coalesce("answered.reason", F.lit("no valid answer")).alias("role_reason"),
+    )
+    made = direct.unionByName(refined).withColumnRenamed("role", "original_role")
+    rest = [c for c in conditions.columns if c not in ("original_role", "refined_role", "role_source", "role_reason")]
+    return conditions.select(*rest).join(made, _AT)
+
+
+def role_counts(refined: DataFrame) -> DataFrame:
+    """How many conditions, and how many of them by each source, a record and in all (record_id null)."""
+    by = {s: F.count_if(F.col("role_source") == s).alias(s) for s in ("original", "refined", "fallback")}
+    return refined.rollup("record_id").agg(F.count("*").alias("conditions"), *by.values())

@@ -95,6 +95,29 @@ SHORT_LABEL = r"\A\w{1,3}\z"
 LOOKS_OF_PRODUCT = r"\b(solid|oil|liquid|foam|powder|crystal|residue)\b"
 MODALITIES = {"text": "text", "textual": "text", "image": "image", "chemeagle": "image", "vision": "image"}
 DIRECT_ROLES = {"light source": "light", "precatalyst": "catalyst", "catalysts": "catalyst", "additives": "additive"}
+REFINED_ROLES = ("catalyst", "ligand", "additive", "base", "reagent", "solvent", "temperature", "time", "concentration", "volume", "atmosphere", "yield", "ee", "er", "dr", "unknown")
+KEPT_ROLES = (
+    "solvent",
+    "temperature",
+    "time",
+    "concentration",
+    "volume",
+    "atmosphere",
+    "light",
+    "light source",
+    "wavelength",
+    "catalyst",
+    "catalysts",
+    "ligand",
+    "precatalyst",
+    "base",
+    "additive",
+    "additives",
+    "yield",
+    "ee",
+    "er",
+    "dr",
+)
 CONDITION_LABELS = {"temperature": "temp", "time": "time", "concentration": "conc", "atmosphere": "atm", "light source": "light", "light_source": "light", "wavelength": "wl"}
 AMOUNT_COLUMNS = {
     "USES_SUBSTRATE": "substrate_amount",
@@ -180,3 +203,24 @@ ELEMENTS = tuple(
     " Sg Bh Hs Mt Ds Rg Cn Nh Fl Mc Lv Ts Og".split()
 )
 USD_PER_MILLION_TOKENS = {"gpt-4o": (2.50, 10.00), "gpt-5-mini": (0.25, 2.00)}
+# Words by which a text defines a general procedure, and by which it refers to one.
+PROCEDURE_DEFINITIONS = (
+    "charged with",
+    "was added",
+    "flask",
+    "dissolved",
+    "stirred",
+    "irradiated",
+    "heated",
+    "cooled",
+    "degassed",
+    "sealed",
+    "mixture",
+    "solution",
+    "suspension",
+    "reaction mixture",
+    "inert atmosphere",
+    "under n2",
+    "round-bottom",
+)
+PROCEDURE_REFERENCES = ("according to", "prepared according", "using ", "following the", "following procedure", "following procedures", "as described", "following general")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retort.functions import text as t
+from retort.functions import vocab
 from retort.operators.dedupe import first_per_key
 from retort.operators.resolve import contains_join, range_join
 
+_DASHES = r"\-\u2010-\u2015"
 _TITLE = r"(?i)\bgeneral\s+(?:experimental\s+)?procedure\s+(?:for\s+)?([A-Z0-9]{1,3})\b"
 
 
@@ -49,13 +51,75 @@ def gp_aliases(key: Column) -> Column:
 
 def refers_to_gp(text: Column) -> Column:
     """Whether a text says that a general procedure was followed."""
-    return text.rlike(r"(?i)\b(?:following|according\s+to|by|using|via|as\s+described\s+in)\s+(?:the\s+)?(?:general\s+)?(?:procedure|method|gp)\b") | text.rlike(r"(?i)\bGP[- ]?[A-Z0-9]\b")
-
-
-def defines_gp(text: Column, at: Column) -> Column:
-    """Whether the 300 characters from a title on tell what is done, and the 100 before don't refer to it."""
-    after, before = F.substring(text, at + 1, 300), F.substring(text, F.greatest(at - 99, F.lit(1)), F.least(at, F.lit(100)))
-    return after.rlike(r"(?i)\b(?:was|were)\s+(?:added|stirred|charged|heated|cooled|dissolved|concentrated|placed)\b|\bto\s+a\s+\w+") & ~refers_to_gp(before)
+    said = text.rlike(r"(?i)\b(?:according\s+to|following)\s+(?:the\s+)?(?:general\s+)?procedures?\b")
+    return said | text.rlike(rf"\bGP[\s{_DASHES}]*[A-Z0-9]+\b") | text.rlike(r"\bGeneralProcedure[A-Z0-9]+\b")
+
+
+def refers_to_some_gp(text: Column) -> Column:
+    """Whether a text says so without a letter or number that tells which."""
+    general = r"\b(?:according\s+to|following)\s+(?:the\s+)?general procedure\b(?!\s+[A-Z0-9]\b)"
+    return text.rlike(rf"(?i){general}|\bfollowing\s+(?:the\s+)?procedures?\b(?!\s+[A-Z0-9]\b)")
+
+
+def told_after(after: Column) -> Column:
+    """Whether what follows a title tells what is done: a word of work in 300 characters, none of reference in the first 100."""
+    near, far = F.lower(F.substring(after, 1, 100)), F.lower(F.substring(after, 1, 300))
+    any_of = lambda c, words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(c, w))
+    return any_of(far, vocab.PROCEDURE_DEFINITIONS) & ~any_of(near, vocab.PROCEDURE_REFERENCES)
+
+
+def named_before(before: Column) -> Column:
+    """Whether what precedes a title refers to it: the last 160 characters, page marks aside, end in such words."""
+    last = t.squeeze(F.regexp_replace(F.substring(before, F.greatest(F.char_length(before) - 159, F.lit(1)), F.lit(160)), r"(?i)---\s*Page\s+\d+\s*---", " "))
+    return last.rlike(r"(?i)(?:according(?:\s+to|\s+the)?|following(?:\s+the|\s+procedures?)?)\s*$")
+
+
+def defines_gp(text: Column, start: Column, end: Column) -> Column:
+    """Whether the title from start to end (counted from 0, end exclusive) heads a procedure, and doesn't refer to one."""
+    return told_after(F.substring(text, end + 1, F.lit(300))) & ~named_before(F.substring(text, F.lit(1), start))
+
+
+def title_key(title: Column, after: Column | None = None) -> Column:
+    """The public key of a procedure's title, or null if it has neither label, products nor words of its own.
+
+    "GP-1:" keeps its label; "Typical procedure B:" is GeneralProcedureB; "... for 1a-3b and 5" is GeneralProcedure_1a-3b-5;
+    a label anywhere after "procedure" counts next; else at most twelve words of the title, or of the text after a bare
+    "General procedure", make the key.
+    """
+    head = t.strip(title)
+    kinds = r"general\s+procedure|representative\s+procedure|typical\s+procedure|standard\s+procedure|standard\s+conditions|experimental\s+procedure|procedure"
+    found = lambda pattern, n: F.nullif(F.regexp_extract(head, pattern, n), F.lit(""))
+    short = rf"(?i)\A(?:\d+[).]\s*)?(GP)[\s{_DASHES}]*([A-Z0-9]+)\s*(?::|\uff1a|\.)"
+    explicit = rf"(?i)\A(?:\d+[).]\s*)?(?:{kinds})\s+([A-Z0-9]+)\b\s*(?:\([^)\n]{{0,60}}\))?\s*(?::|\uff1a)"
+    scope = r"(\d+\w*)\s*[-\u2013]\s*(\d+\w*)(?:\s+and\s+(\d+\w*))?"
+    letter = r"(?i)procedure\s+([A-Z0-9]+)\b\s*(?::|\uff1a|\.|-|\u2013|\u2014|$)"
+    named = lambda label: F.concat(F.lit("GeneralProcedure"), F.upper(label))
+    products = F.concat(F.lit("GeneralProcedure_"), F.concat_ws("-", found(scope, 1), found(scope, 2), found(scope, 3)))
+    bare = head.rlike(r"(?i)\A\s*general\s+procedures?\s*\z")
+    source = head if after is None else F.when(bare & (F.coalesce(after, F.lit("")) != ""), F.substring(after, 1, 320)).otherwise(head)
+    source = F.regexp_replace(F.regexp_replace(source, r"(?i)---\s*Page\s+\d+\s*---", " "), r"\bS\d+\b", " ")
+    source = F.regexp_extract(source, r"\A[^:\uff1a]*", 0)
+    source = F.get(F.split(source, r"(?i)\b(?:under|to\s+a|a\s+flask|in\s+a|the\s+reaction|a\s+mixture)\b", 2), F.lit(0))
+    source = F.regexp_replace(source, r"(?i)\A\s*(?:(?:general|representative|typical|standard|experimental)\s+)?procedures?\b\s*(?:for|of|to|on)?\s*", "")
+    source = F.lower(t.strip(F.regexp_replace(F.regexp_replace(source, r"(?i)\A\s*(?:the|a|an)\s+", ""), r"[^A-Za-z0-9]+", " ")))
+    words = F.filter(F.split(source, " "), lambda w: w != "")
+    slug = F.regexp_replace(F.substring(F.array_join(F.slice(words, 1, 12), "_"), 1, 96), r"\A_+|_+\z", "")
+    return F.coalesce(
+        F.when(head.rlike(short), F.concat(found(short, 1), F.lit("-"), found(short, 2))),
+        F.when(head.rlike(explicit), named(found(explicit, 1))),
+        F.when(head.rlike(scope), products),
+        F.when(head.rlike(letter), named(found(letter, 1))),
+        F.when((F.size(words) >= 2) & (F.char_length(slug) >= 8), F.concat(F.lit("GeneralProcedure_"), slug)),
+    )
+
+
+def keyed_titles(titles: DataFrame, scope: Sequence[str], order: str, after: str | None = None) -> DataFrame:
+    """titles with gp_key: title_key(), and for those without one GeneralProcedureUnlabeled1, 2, ... in the scope's order.
+    Only the titles without a key are numbered by a window."""
+    keyed = titles.withColumn("gp_key", title_key(F.col("title"), None if after is None else F.col(after)))
+    n = F.row_number().over(Window.partitionBy(*scope).orderBy(order))
+    rest = keyed.filter("gp_key is null").withColumn("gp_key", F.concat(F.lit("GeneralProcedureUnlabeled"), n.cast("string")))
+    return keyed.filter("gp_key is not null").unionByName(rest)
 
 
 def match_aliases(texts: DataFrame, procedures: DataFrame, text: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from retort import registry
-from retort.plans import reactions, screens
+from retort.plans import answers, reactions, screens
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -22,7 +22,7 @@ def test_flagship(spark):
 
 
 OLDER = ["edges_to_summary", "qa_gold_ties", "reason_labelled_filter", "er_to_ee", "two_key_lookup", "asof_page", "greedy_chunk", "usage_grouping_sets", "page_relevance", "unique_suffixes"]
-NEWER = [n for n, f in registry.QUERIES.items() if n in vars(reactions) or n in vars(screens)]
+NEWER = [n for n, f in registry.QUERIES.items() if n in vars(reactions) or n in vars(screens) or n in vars(answers)]
 
 
 def plain(value):

@@ -106,3 +106,53 @@ def test_a_screen_that_errs_keeps_the_chunk(spark):
 def test_preview(spark):
     rows = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],), (None,)], "x array<string>")
     assert [r[0] for r in rows.select(validation.preview(F.col("x"), 2)).collect()] == ["a; b; ... (+1 more)", "a", "", ""]
+
+
+ROLES = "record_id string, reaction_pos int, condition_pos int, role string, text string"
+
+
+class Refiner:
+    """Answers by the number of reactions in a request."""
+
+    def __init__(self, batch, single):
+        self.batch, self.single = batch, single
+
+    def answer(self, keys):
+        out = []
+        for key in keys:
+            several = len(json.loads(key)["reactions"]) > 1
+            found = (self.batch if several else self.single)(json.loads(key))
+            if isinstance(found, Exception):
+                raise found
+            out.append(found)
+        return out
+
+
+def roles(request, role="base"):
+    return {"reactions": [{"reaction_index": r["reaction_index"], "conditions": [{"condition_index": c["condition_index"], "refined_role": role} for c in r["conditions"]]} for r in request["reactions"]]}
+
+
+def refined(spark, rows, batch, single):
+    out = extraction.refine_roles(spark.createDataFrame(rows, ROLES), Refiner(batch, single))
+    return {(r.reaction_pos, r.condition_pos): (r.refined_role, r.role_source) for r in out.collect()}
+
+
+def test_roles_fall_back_from_batches_to_reactions_to_their_own(spark):
+    rows = [("a", 0, 0, "Solvent", "THF"), ("a", 0, 1, "agent", "K2CO3"), ("a", 1, 0, "unknown", "NaH"), ("a", 1, 1, None, None)]
+    whole = lambda q: "```json\n" + json.dumps(roles(q)) + "\n```"
+    refused = lambda q: ValueError("down")
+    base = {(0, 0): ("solvent", "original"), (0, 1): ("base", "refined"), (1, 0): ("base", "refined"), (1, 1): ("base", "refined")}
+    assert refined(spark, rows, whole, refused) == base, "no reaction is asked about again"
+    assert refined(spark, rows, refused, whole) == base, "a batch that fails is parted"
+    assert refined(spark, rows, refused, refused) == {**base, (0, 1): ("reagent", "fallback"), (1, 0): ("unknown", "fallback"), (1, 1): ("reagent", "fallback")}
+    assert refined(spark, rows, lambda q: "no json", whole) == base == refined(spark, rows, lambda q: "[1]", whole)
+
+    def half(q):  # the second reaction lacks a condition; the first has one twice, and one that wasn't asked about
+        told = roles(q, "Ligand")
+        told["reactions"][0]["conditions"] += [{"condition_index": 1, "refined_role": "time"}, {"condition_index": 0, "refined_role": "dr"}]
+        del told["reactions"][1]["conditions"][1]
+        return json.dumps(told)
+
+    assert refined(spark, rows, half, whole) == {**base, (0, 1): ("ligand", "refined")}
+    assert refined(spark, rows, half, lambda q: json.dumps(roles(q, "colour"))) == {**base, (0, 1): ("ligand", "refined"), (1, 0): ("unknown", "fallback"), (1, 1): ("reagent", "fallback")}
+    assert refined(spark, [], whole, whole) == {}
