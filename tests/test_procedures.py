@@ -21,7 +21,7 @@ def test_references(spark):
 
 
 def test_definitions_and_references(spark):
-    text = "According to the\n--- Page 4 ---\nGeneral procedure A: was heated. General procedure B: a flask was charged with salt and kept at that for as long as it took, three days or more, which nobody had foreseen. General procedure C: using 3 g, stirred"
+    text = "According to\n--- Page 4 ---\nGeneral procedure A: was heated. General procedure B: a flask was charged with salt and kept at that for as long as it took, three days or more, which nobody had foreseen. General procedure C: using 3 g, stirred"
     rows = spark.createDataFrame([(c, text.index(f"General procedure {c}")) for c in "ABC"], "c string, at int").withColumn("text", F.lit(text))
     got = rows.select("c", procedures.defines_gp(F.col("text"), F.col("at"), F.col("at") + 20).alias("d")).collect()
     assert {r.c: r.d for r in got} == {"A": False, "B": True, "C": False}
