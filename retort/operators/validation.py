@@ -200,23 +200,76 @@ def router_jobs(routes: DataFrame, known: Sequence[str] = ("text", "image", "bot
     return routes.withColumn("route", route).filter(F.col("route").isin(*known) & (t.clean_text(F.col("paper_key")) != ""))
 
 
+#: Items of sets whose subsets are always listed, and of those that may be.
+LISTED, LISTED_AT_MOST = 10, 20
+#: Subsets that a task lists.
+SUBSETS = 1 << 21
+
+
+def _set_id(items: Column, *names: str) -> list[Column]:
+    """Two hashes of sorted items, 128 bits together."""
+    return [F.xxhash64(items).alias(names[0]), F.xxhash64(F.lit(1), items).alias(names[1])]
+
+
+def _different_sets(sets: DataFrame, key: str, item: str) -> tuple[DataFrame, DataFrame]:
+    """(key, a, b of every key with items; a, b, items and n of each different set), both stored."""
+    whole = sets.filter(F.col(item).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(item)).alias("items"))
+    keyed = materialize(whole.select(key, *_set_id(F.col("items"), "a", "b"), "items"))
+    return keyed.drop("items"), materialize(keyed.groupBy("a", "b").agg(F.any_value("items").alias("items")).withColumn("n", F.size("items")))
+
+
+def _met_sets(distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, c, d: the proper subsets a, b of sets c, d, whether there are such sets or not; a, b, c, d of the sets c, d whose
+    subsets aren't listed, and the sets that they hold).
+
+    A set of n items has 2^n subsets. One of more than LISTED lists them only if that is less than the sets that it would be
+    compared with: those whose rarest item (the least of several) it has.
+    """
+    listed, rest = distinct.filter(F.col("n").between(2, LISTED)), None
+    wide = distinct.filter(F.col("n") > LISTED)
+    if wide.limit(1).count():
+        posted = distinct.select("a", "b", F.explode("items").alias("item"))
+        counts = posted.groupBy("item").agg(F.count("*").alias("c"))
+        rarest = posted.join(counts, "item").groupBy("a", "b").agg(F.min(F.struct("c", "item"))["item"].alias("item"))
+        firsts = materialize(rarest.join(distinct, ["a", "b"]))
+        reach = firsts.groupBy("item").agg(F.count("*").alias("reach"))
+        met = wide.select("a", "b", F.explode("items").alias("item")).join(reach, "item", "left").groupBy("a", "b").agg(F.sum("reach").alias("reach"))
+        wide = materialize(wide.join(met, ["a", "b"]).withColumn("few", (F.col("n") <= LISTED_AT_MOST) & (F.pow(F.lit(2.0), F.col("n")) <= F.col("reach"))))
+        listed = listed.unionByName(wide.filter("few").select(*listed.columns))
+        large = wide.filter("not few").select(F.col("a").alias("c"), F.col("b").alias("d"), F.col("items").alias("_large"), F.col("n").alias("_n"), F.explode("items").alias("item"))
+        rest = firsts.join(large, "item").filter((F.col("n") < F.col("_n")) & (F.size(F.array_except("items", "_large")) == 0)).select("a", "b", "c", "d")
+    else:
+        rest = distinct.limit(0).select("a", "b", F.col("a").alias("c"), F.col("b").alias("d"))
+    some = listed.agg(F.coalesce(F.sum(F.pow(F.lit(2.0), F.col("n"))), F.lit(0.0))).first()[0]
+    masks = F.sequence(F.lit(1).cast("long"), F.pow(F.lit(2.0), F.col("n")).cast("long") - 2)
+    each = listed.repartition(1 + int(some) // SUBSETS).select(F.col("a").alias("c"), F.col("b").alias("d"), "items", F.explode(masks).alias("mask"))
+    part = F.filter("items", lambda x, i: F.getbit(F.col("mask"), i) == 1)
+    return each.select("c", "d", part.alias("part")).select(*_set_id(F.col("part"), "a", "b"), "c", "d"), rest
+
+
 def contained_sets(sets: DataFrame, key: str, item: str) -> tuple[DataFrame, DataFrame]:
     """(pairs of set_id, within: each different set and each different, larger one that holds it; members: key, set_id).
 
     sets: rows of a key and an item; repeated and null items don't count, and a key without items is in no set. Keys with
-    equal items share a set, so that copies never meet. A set looks for others only among those that have its rarest item
-    (the least of several) and are larger, and only those are compared item by item. A set must fit in a row.
+    equal items share a set, so that copies never meet. Sets are found by the subsets of larger ones: most have few items,
+    and so the work grows with their number. A set with too many subsets is compared item by item with those whose rarest
+    item it has. A set must fit in a row.
     """
-    whole = sets.filter(F.col(item).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_set(item)).alias("_items"))
-    keyed = materialize(whole.withColumn("set_id", F.sha2(F.to_json(F.struct("_items")), 256)))
-    distinct = materialize(keyed.groupBy("set_id").agg(F.any_value("_items").alias("items")))
-    posted = distinct.select("set_id", F.size("items").alias("n"), F.explode("items").alias("item"))
-    counts = posted.groupBy("item").agg(F.count("*").alias("c"))
-    rarest = posted.join(counts, "item").groupBy("set_id", "n").agg(F.min(F.struct("c", "item"))["item"].alias("item"))
-    met = rarest.alias("a").join(posted.alias("b"), (F.col("a.item") == F.col("b.item")) & (F.col("b.n") > F.col("a.n"))).select(F.col("a.set_id").alias("set_id"), F.col("b.set_id").alias("within"))
-    small, large = distinct.select("set_id", F.col("items").alias("_small")), distinct.select(F.col("set_id").alias("within"), F.col("items").alias("_large"))
-    pairs = met.join(small, "set_id").join(large, "within").filter(F.size(F.array_except("_small", "_large")) == 0).select("set_id", "within")
-    return pairs, keyed.select(key, "set_id")
+    keyed, distinct = _different_sets(sets, key, item)
+    subsets, rest = _met_sets(distinct)
+    pairs = subsets.join(distinct.select("a", "b"), ["a", "b"]).unionByName(rest)
+    return pairs.select(F.struct("a", "b").alias("set_id"), F.struct(F.col("c").alias("a"), F.col("d").alias("b")).alias("within")), keyed.select(key, F.struct("a", "b").alias("set_id"))
+
+
+def held_by(sets: DataFrame, key: str, item: str) -> DataFrame:
+    """key and held_by of every key with items: in how many different, larger sets its own lies, of the pairs that
+    contained_sets() gives; they are counted where they are found, and so aren't laid out."""
+    keyed, distinct = _different_sets(sets, key, item)
+    subsets, rest = _met_sets(distinct)
+    counts = subsets.groupBy("a", "b").agg(F.count("*").alias("held_by"))
+    counts = counts.unionByName(rest.groupBy("a", "b").agg(F.count("*").alias("held_by")))
+    counts = counts.join(distinct.select("a", "b"), ["a", "b"], "left_semi").groupBy("a", "b").agg(F.sum("held_by").alias("held_by"))
+    return keyed.join(counts, ["a", "b"], "left").select(key, F.coalesce("held_by", F.lit(0)).cast("long").alias("held_by"))
 
 
 def leaked_questions(questions: DataFrame, answers: DataFrame, key: str = "question_id", text: str = "question_text") -> DataFrame:

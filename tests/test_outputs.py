@@ -1,6 +1,7 @@
 """Outputs that stop and go on, rewritten samples, matrices, sets inside sets, aliases and what gives an answer away."""
 
 import datetime
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,23 @@ def test_sets_inside_sets(spark):
     assert [df.count() for df in validation.contained_sets(empty, "k", "x")] == [0, 0]
 
 
+@pytest.mark.parametrize("listed, most", [(10, 20), (3, 20), (2, 3)])
+def test_sets_held_are_found_by_their_subsets(spark, monkeypatch, listed, most):
+    monkeypatch.setattr(validation, "LISTED", listed)
+    monkeypatch.setattr(validation, "LISTED_AT_MOST", most)
+    random = Random(1)
+    sets = {k: frozenset(random.sample(range(14), random.choice([1, 2, 3, 4, 5, 12]))) for k in range(300)}
+    rows = spark.createDataFrame([(k, x) for k, xs in sets.items() for x in xs], "k int, x int")
+    expected = {k: sum(xs < ys for ys in set(sets.values())) for k, xs in sets.items()}
+    assert {r.k: r.held_by for r in validation.held_by(rows, "k", "x").collect()} == expected
+    pairs, members = validation.contained_sets(rows, "k", "x")
+    of = {r.set_id: sets[r.k] for r in members.collect()}
+    assert sorted((sorted(of[r.set_id]), sorted(of[r.within])) for r in pairs.collect()) == sorted((sorted(a), sorted(b)) for a in of.values() for b in of.values() if a < b)
+    if listed == 10:  # subsets are looked up, and no set is laid beside all that share an item with it
+        plan = validation.contained_sets(rows.filter("k < 200 AND x < 10"), "k", "x")[0]._jdf.queryExecution().optimizedPlan().toString()
+        assert "array_except" not in plan
+
+
 def test_aliases_with_and_without_inner_words(spark):
     texts = ["see general procedure A for it", "general  procedure A for", "ageneral procedure Afor x", "x", None, ""]
     names = ["general procedure A", "procedure", "A for", " procedure ", "e", None, "general procedure A for", "(general) procedure - A"]
