@@ -94,6 +94,19 @@ def test_range_join_has_each_pair_once(spark):
     assert got == [(0, p) for p in range(3, 12)] + [(1, 5)]
 
 
+def test_range_join_deals_points_of_full_bins_into_blocks(spark, monkeypatch):
+    points = spark.createDataFrame([(i, i % 7) for i in range(300)], "i int, p int")
+    spans = spark.createDataFrame([(0, 0, 3), (1, 2, 2), (2, 6, 9), (3, 8, 9)], "s int, lo int, hi int")
+    expected = sorted((i, s) for i in range(300) for s, lo, hi in ((0, 0, 3), (1, 2, 2), (2, 6, 9), (3, 8, 9)) if lo <= i % 7 <= hi)
+    for pairs in (1, 100, 10**6):
+        monkeypatch.setattr(resolve, "BLOCK_PAIRS", pairs)
+        met = resolve.range_join(points, spans, "p", "lo", "hi", 5)
+        assert sorted((r.i, r.s) for r in met.collect()) == expected and met.columns == ["i", "p", "s", "lo", "hi"]
+        if pairs == 1:  # two bins, and yet rows in more tasks than bins
+            assert met.select(F.spark_partition_id().alias("t")).distinct().count() > 2
+    assert resolve.range_join(points.limit(0), spans, "p", "lo", "hi", 5).count() == 0
+
+
 def option(condition, ee, yield_, **extra):
     return {"substrates": [{"name": "S"}], "products": [{"name": "T"}], "reaction_type": "coupling", "conditions": {"solvent": [{"value": condition}]}, "targets": {"ee": ee, "yield": yield_}, **extra}
 
