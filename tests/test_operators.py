@@ -107,6 +107,30 @@ def test_range_join_deals_points_of_full_bins_into_blocks(spark, monkeypatch):
     assert resolve.range_join(points.limit(0), spans, "p", "lo", "hi", 5).count() == 0
 
 
+def test_candidates_go_out_where_they_meet(spark):
+    rows = [(1, "p", "a", "x"), (2, "p", "b", "x"), (3, "p", "", "y"), (4, "p", None, "x"), (5, "q", "a", "x"), (6, "p", "a", "x")]
+    others = [(10, "p", "a", "x"), (11, "p", "a", "y"), (12, "p", "b", "x"), (13, "p", None, ""), (14, "q", "c", "x")]
+    schema = "i int, s string, k string, l string"
+
+    def found(rows, others):
+        df = resolve.candidates(spark.createDataFrame(rows, schema), spark.createDataFrame([(6,)], "i int"), spark.createDataFrame(others, schema).withColumnRenamed("i", "o"), ["s"], ["k", "l"], "i", "o")
+        return df, sorted((r.i, r.o, r.method) for r in df.collect())
+
+    def expected(rows, others):
+        best = {}
+        for i, s, k, x in rows:
+            for o, t_, m_, y in others:
+                rank = 0 if k and k == m_ else 1 if x and x == y else None
+                if i != 6 and s == t_ and rank is not None:
+                    best[i, o] = min(rank, best.get((i, o), 1))
+        return sorted((i, o, "kl"[r]) for (i, o), r in best.items())
+
+    df, got = found(rows, others)
+    assert got == expected(rows, others) and "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString()
+    rows, others = [*rows, (2, "p", "a", "z"), (2, "p", "b", "x")], [*others, (11, "p", "b", "x")]
+    assert found(rows, others)[1] == expected(rows, others)
+
+
 def option(condition, ee, yield_, **extra):
     return {"substrates": [{"name": "S"}], "products": [{"name": "T"}], "reaction_type": "coupling", "conditions": {"solvent": [{"value": condition}]}, "targets": {"ee": ee, "yield": yield_}, **extra}
 
