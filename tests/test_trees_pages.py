@@ -132,3 +132,12 @@ def test_pages_of_one_and_two_columns(spark):
 
 def test_no_pages(spark):
     assert pagetext.page_texts(spark.createDataFrame([], BOX), ["page_num"]).count() == 0
+
+
+def test_nodes_are_never_broadcast(spark):
+    """Files of nodes are small beside the rows in memory, so that a table of a driver's memory looks as if it fitted."""
+    levels = trees.unfold(variants(spark, [{"a": [{"smiles": "C"}]}, {"smiles": None}]), "id", "v")
+    edits = spark.createDataFrame([(0, '$["a"][0]', 3, "smiles", '"O"'), (1, "$", 1, "n", "1")], "key long, parent string, depth int, field string, text string")
+    made = trees.write_back(levels, edits)
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+    assert {r.key: r.text for r in made.collect()} == {0: '{"a":[{"smiles":"O"}]}', 1: '{"n":1,"smiles":null}'}
