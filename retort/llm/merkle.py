@@ -215,7 +215,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
 
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", *FIELDS)
-    found = manifest(docs, F.when(F.pmod(crc_of_id("doc_id"), F.lit(3)) == 0, lowered(F.col("text"))))
+    found = manifest(docs, F.when(F.pmod(F.coalesce(crc_of_id("doc_id"), F.lit(0)), F.lit(3)) == 0, lowered(F.col("text"))))
     folded = fold(F.coalesce("tampered_leaf", "leaf"), F.col("places"), F.col("others"))
     out = found.select("doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("others", "").cast("binary"), 256).alias("proof_sha256"), folded.alias("folded_root"))
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
