@@ -141,3 +141,22 @@ def test_nodes_are_never_broadcast(spark):
     made = trees.write_back(levels, edits)
     assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
     assert {r.key: r.text for r in made.collect()} == {0: '{"a":[{"smiles":"O"}]}', 1: '{"n":1,"smiles":null}'}
+
+
+def test_canonical_values_in_their_rows_unless_deep(spark, monkeypatch):
+    deep = {"name": " A "}
+    for i in range(trees.NESTED - 1):
+        deep = [deep, None] if i % 2 else {"x": deep, "b": ""}
+    levels, unfolded = [], trees.unfold
+
+    def unfold(rows, key, variant):
+        levels.append(rows.count())
+        return unfolded(rows, key, variant)
+
+    monkeypatch.setattr(trees, "unfold", unfold)
+    flat = [{"a": [[1, 2], ["B  c "]]}, None, [], {"name": "x (y)"}]
+    for items, wanted in ((flat, []), ([*flat, deep, [deep], {"k": [deep]}], [2])):
+        levels.clear()
+        got = {x.id: x.canonical for x in trees.canonical_values(variants(spark, items), "id", "v").collect()}
+        assert got == {i: dumped(canonical(v)) if canonical(v) is not None else "{}" for i, v in enumerate(items)}
+        assert levels == wanted
