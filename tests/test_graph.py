@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from retort import schemas
 from retort.functions.vocab import EDGE_COLUMNS
-from retort.operators import graph
+from retort.operators import graph, questions
 
 
 def reactions(spark, *bodies):
@@ -76,3 +76,9 @@ def test_legacy_edges_shuffle_triples_and_no_reactions(spark):
     made = graph.legacy_edges(rows)
     assert [tuple(x) for x in made.collect()] == [("p:r1", "USES_SUBSTRATE", "a", 1, "1 g")]
     assert "min_by(reaction" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_questions_aggregate_stored_rows(spark):
+    rows = reactions(spark, {"id": "r1", "reaction_type": "x", "substrates": [{"name": "a", "scaffold": "s"}], "products": [{"name": "b"}]})
+    for ask in (questions.condition_questions, questions.substrate_questions):
+        assert "from_json" not in ask(rows, None)[1]._jdf.queryExecution().optimizedPlan().toString()
