@@ -5,12 +5,11 @@ from __future__ import annotations
 import functools
 import hashlib
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retort.llm.common import ALNUM, LOWER, mix, read, released, salt, stored, text_slices, windows, word_hashes, words
@@ -19,8 +18,6 @@ from retort.llm.common import ALNUM, LOWER, mix, read, released, salt, stored, t
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
-#: Counters of shingles, whatever the table's size, by which rare ones are told from common ones.
-COUNTERS = 1 << 20
 #: Pairs for each row of an index from which on stars are tried first, half the hubs of a token in a round of these, and the
 #: share of pairs linked that makes another round worth it. What they leave is joined exactly, so neither changes the result.
 CROWDED, HUBS, WORTH = 16, 8, 0.1
@@ -153,53 +150,32 @@ def ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
 
 
-def rarity(sets: DataFrame) -> np.ndarray:
-    """How often the shingles of the given sets occur, in COUNTERS counters by hash: an order in which all sets are sorted
-    alike. Its size doesn't depend on the table's; shingles that share a counter only change how many pairs are compared."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            if batch.num_rows:
-                total += np.bincount(_counter(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)), minlength=COUNTERS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array([at.astype(np.int32)], pa.list_(pa.int32())), pa.array([total[at]], pa.list_(pa.int64()))], names=["at", "n"])
-
-    counted = sets.mapInArrow(run, "at array<int>, n array<long>").select(F.explode(F.arrays_zip("at", "n")).alias("c")).groupBy("c.at").agg(F.sum("c.n").alias("n")).toArrow()
-    out = np.zeros(COUNTERS, np.int64)
-    out[counted.column("at").to_numpy()] = counted.column("n").to_numpy()
-    return out
-
-
-def _counter(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
-
-
 def prefixes(sets: DataFrame) -> DataFrame:
     """token, node, n, pos and indexed: of each set (node, shingles) the shingles of which a linked set must share one.
 
     With shingles in one order, two sets of n >= m elements and a Jaccard similarity of t at least share one among the
     first n - ceil(t n) + 1 of the one and m - ceil(2t / (1 + t) m) + 1 (the indexed) of the other, and the first that
     they share leaves them enough elements to share the rest. Rare shingles come first, so that what a whole family of
-    texts has in common lies behind, and what meets is mostly linked.
+    texts has in common lies behind, and what meets is mostly linked. Shingles are counted exactly: counters of a fixed
+    number fill up as the table grows, until rare shingles can't be told from common ones. Those of one set alone meet
+    nothing; they take the first positions and aren't given.
     """
-    counts = rarity(sets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [[] for _ in range(5)]
             for node, found in zip(batch.column("node").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
-                found = np.frombuffer(found, np.uint64)
+                found = np.frombuffer(found, np.int64)
                 n = len(found)
-                probe, index = n - math.ceil(LEAST * n - 1e-9) + 1, n - math.ceil(2 * LEAST / (1 + LEAST) * n - 1e-9) + 1
-                first = found[np.lexsort((found, counts[_counter(found)]))[:probe]]
-                k = len(first)
-                for column, x in zip(columns, (first.view(np.int64), np.full(k, node), np.full(k, n), np.arange(k), np.arange(k) < index), strict=True):
-                    column.append(x)
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["token", "node", "n", "pos", "indexed"])
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(n, node)), pa.array(np.full(n, n))], names=["token", "node", "n"])
 
-    return sets.mapInArrow(run, "token long, node long, n long, pos long, indexed boolean")
+    every = sets.mapInArrow(run, "token long, node long, n long")
+    counts = every.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
+    of_node = Window.partitionBy("node")
+    alone = F.col("n") - F.count("*").over(of_node)
+    placed = every.join(counts, "token").withColumn("pos", alone + F.row_number().over(of_node.orderBy("c", "token")) - 1)
+    probe = F.col("n") - F.ceil(LEAST * F.col("n") - 1e-9) + 1
+    index = F.col("n") - F.ceil(2 * LEAST / (1 + LEAST) * F.col("n") - 1e-9) + 1
+    return placed.filter(F.col("pos") < probe).select("token", "node", "n", "pos", (F.col("pos") < index).alias("indexed"))
 
 
 def may_link(x: str, y: str) -> F.Column:
@@ -292,6 +268,7 @@ def classes(docs: DataFrame) -> DataFrame:
         return functools.reduce(DataFrame.union, met).filter(F.col("similarity") >= LEAST).select("a", "b")
 
     def unmet(found: DataFrame) -> DataFrame:
+        found = stored(found)  # distinct pairs are looked up, not each pair once for every shingle that it shares
         return stored(found.join(functools.reduce(DataFrame.union, met).select("a", "b"), ["a", "b"], "left_anti"))
 
     parts = connected(links())

@@ -89,6 +89,15 @@ def test_copies_whose_repeat_counts_differ(spark):
     assert got == expected
 
 
+def test_prefixes_count_shingles_exactly(spark):
+    """Shingles of equal upper bits, of which counters would make one, and those that only one set holds."""
+    common, pair, alone = np.array([7], np.uint64), np.array([3, 4], np.uint64), np.arange(100, 117, dtype=np.uint64)
+    sets = {1: np.concatenate([pair, common, alone]), 2: np.concatenate([pair, common, alone + 100]), 3: np.concatenate([common, alone + 200]), 4: np.concatenate([pair, common])}
+    rows = neardup.prefixes(spark.createDataFrame([(k, bytearray(np.sort(v).tobytes())) for k, v in sets.items()], "node long, shingles binary")).collect()
+    assert not {r.node for r in rows} & {1, 2, 3}  # their first 5 of 20 are their own: nothing is linked with them
+    assert sorted((r.token, r.node, r.n, r.pos, r.indexed) for r in rows) == [(3, 4, 3, 0, True)]
+
+
 def test_links_inside_large_buckets(spark):
     """Variants of one template, 0.794 alike, each with a copy that is 0.802 like it alone."""
     r, base = random.Random(5), [f"t{i}" for i in range(181)]
