@@ -31,6 +31,16 @@ def folded(spark, *bodies):
     return {r.location: r for r in graph.fold_edges(edges.withColumn("pos", F.xxhash64(*EDGE_COLUMNS))).collect()}
 
 
+def test_reactions_are_shuffled_once_and_not_their_edges(spark):
+    """Repeats of a node are merged, also where outcomes differ, and folding needs no shuffle of its own."""
+    other = {**ONE, "targets": {"yield": "5%"}, "ligands": [{"name": "L"}]}
+    edges = graph.text_edges(reactions(spark, ONE, ONE, other))
+    rows = [tuple(r) for r in edges.collect()]
+    assert len(rows) == len(set(rows)) and {r[EDGE_COLUMNS.index("yield")] for r in rows} == {"90%", "5%"}
+    plan = graph.fold_edges(edges.withColumn("pos", F.struct("relationship", "step", "y_name")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_single_step(spark):
     row = folded(spark, ONE)["r1; PDF pages: 2, 5"]
     assert (row.substrate, row["product"], row.solvent, row.conditions, row["yield"], row.ee) == ("A (1 mmol)", "B", "THF (2 mL)", "temp: 25 °C; time: 1 h", "90%", "")
