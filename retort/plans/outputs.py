@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from retort import schemas
 from retort.operators import molecules, validation
-from retort.plans.base import query
+from retort.plans.base import dealt, query
 from retort.storage import fresh_path
 from retort.streaming import partial
 
@@ -37,7 +37,7 @@ def retry_reasons(spark, table):
     nameless = F.struct(F.lit(" ").alias("id"), F.lit(None).cast("string").alias("gp_source"), compound(F.when(k % 4 != 0, name)).alias("substrates"), compound(name).alias("products"), outcome.alias("targets"), solvent.alias("conditions"))
     template = F.struct(compound(F.lit("s")).alias("substrates"), compound(F.lit("Pd")).alias("catalysts"), compound(F.lit(" \t")).alias("ligands"), F.lit("coupling").alias("reaction_type"), F.lit(2).alias("step_count"), F.create_map(F.lit("time"), F.array(F.struct(F.lit("1 h").alias("value"))), F.lit("solvent"), F.array(F.struct(F.lit("DMF").alias("value")))).alias("conditions"))
     entry = F.struct(F.lit("valid").alias("status"), F.from_json(F.to_json(template), schemas.REACTION).alias("template"))
-    rows = table("customer").select("c_custkey", _reactions(F.to_json(F.array(one, nameless))).alias("r"), F.create_map(F.lit("G"), entry).alias("t"))
+    rows = dealt(table("customer")).select("c_custkey", _reactions(F.to_json(F.array(one, nameless))).alias("r"), F.create_map(F.lit("G"), entry).alias("t"))
     r, mode, keys = F.col("r"), F.lit("mixed"), F.array(F.lit("G"))
     shown = lambda c: F.nullif(validation.preview(c, 5), F.lit(""))
     return rows.select("c_custkey", shown(validation.foreign_templates(r, mode, keys)).alias("foreign_source"), shown(validation.empty_substrates(r, mode, keys)).alias("no_substrate"), shown(validation.missing_template_fields(r, mode, keys, F.col("t"))).alias("lacking"))

@@ -118,3 +118,9 @@ def test_aliases_with_and_without_inner_words(spark):
     assert resolve.contains_join(rows, aliases.limit(0), "t", "a").count() == 0
     plan = resolve.contains_join(rows, aliases.filter("j in (0, 6, 7)"), "t", "a")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+
+
+def test_customers_are_dealt_for_retry_reasons(spark):
+    """A small file of rows with much to do for each would be one task."""
+    made = registry.QUERIES["retry_reasons"](spark, "/root/testdata/sf0.001")
+    assert "RoundRobinPartitioning" in made._jdf.queryExecution().executedPlan().toString()
