@@ -18,9 +18,9 @@ from retort.llm.common import ALNUM, LOWER, mix, read, released, salt, stored, t
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 25, 5
 COORDINATES = BANDS * ROWS
-#: Pairs for each row of an index from which on stars are tried first, half the hubs of a token in a round of these, and the
+#: Pairs for each row of an index from which on stars are tried once more, half the hubs of a token in a round of these, and the
 #: share of pairs linked that makes another round worth it. What they leave is joined exactly, so neither changes the result.
-CROWDED, HUBS, WORTH = 16, 8, 0.1
+CROWDED, HUBS, WORTH = 16, 2, 0.1
 #: Ids that may be broadcast as a filter; beyond, Spark shuffles.
 BROADCAST_IDS = 500_000
 
@@ -242,7 +242,7 @@ def classes(docs: DataFrame) -> DataFrame:
     texts only. Classes are what links connect. Candidates come from the bands: each bucket links its members with its
     hub, the member of least hash. The texts of buckets that still hold several classes are then joined by the rare
     shingles that a link must share, an exact way for whatever the hub leaves: first each with one text of each of its
-    shingles, as long as that links many, then all pairs of different classes. Equal shingle sets are one node
+    shingles, again as long as many pairs are left and that links many, then all pairs of different classes. Equal shingle sets are one node
     throughout, so copies make no pairs. Rows that repeat a doc_id are one document only if their texts are equal; others
     are linked by their texts alone. An id of several texts names the class of one of these; a class that no id is left
     to name, as one without any id, has a hash above all ids as its class_id, and all its rows are representatives. Very long texts are one
@@ -277,7 +277,7 @@ def classes(docs: DataFrame) -> DataFrame:
     tokens = several_parts(stored(prefixes(sets)), parts, "token")
     for turn in itertools.count():
         held, most = crowding(tokens)
-        stars = most > CROWDED * held
+        stars = not turn or most > CROWDED * held  # pairs that link grow with the square of a family; stars link it by a few for each text
         met.append(stored(similarities(unmet(prefix_pairs(tokens, turn if stars else None)), sets)))
         tried, linked = met[-1].agg(F.count("*"), F.count_if(F.col("similarity") >= LEAST)).first()
         if linked:

@@ -111,6 +111,26 @@ def test_links_inside_large_buckets(spark):
     assert {i: c for i, c in got.items() if c != i // 2 * 2} == {}
 
 
+def test_stars_link_a_family_before_all_pairs_meet(spark, monkeypatch):
+    """Texts of which all pairs are linked, and that the bands left apart: nothing is left to the join of all pairs."""
+    rows = [(k, " ".join([*(f"t{i}" for i in range(100)), *(f"v{k}x{i}" for i in range(4))])) for k in range(15)]
+    connected, prefix_pairs, found, rounds = neardup.connected, neardup.prefix_pairs, [], []
+
+    def apart(edges):
+        found.append(connected(edges))
+        return found[-1].limit(0) if len(found) == 1 else found[-1]
+
+    def counted(tokens, turn=None):
+        pairs = prefix_pairs(tokens, turn)
+        rounds.append((turn, pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(neardup, "connected", apart)
+    monkeypatch.setattr(neardup, "prefix_pairs", counted)
+    assert {x.class_id for x in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
+    assert rounds[0][0] == 0 and rounds[-1] == (None, 0)
+
+
 def test_one_row_stays_of_each_class(spark):
     near = " ".join(f"w{i}" for i in range(80))
     rows = [(1, near, "a"), (1, near, "b"), (5, near + " more", "c"), (None, "a text of no id at all here", "d"), (None, "a text of no id at all here", "e"), (7, None, "f"), (8, "", "g"), (9, "alone in the world", "h")]
