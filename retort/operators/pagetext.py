@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retort.functions import text as t
@@ -17,26 +17,14 @@ LEAST_WORDS, LEAST_SIDE, LEAST_SHARE, BALANCE = 120, 30, 0.18, 0.45
 LEAST_CHARS, LEAST_KEPT = 80, 0.4
 
 
-def two_column_pages(words: DataFrame, page: Sequence[str]) -> DataFrame:
-    """page and two_column of pages of words (page, x0, x1, top, page_width, page_height)."""
-    body = F.col("top").between(BODY[0] * F.col("page_height"), BODY[1] * F.col("page_height"))
-    left = F.count_if(body & (F.col("x0") < SIDES[0] * F.col("page_width")))
-    right = F.count_if(body & (F.col("x1") > SIDES[1] * F.col("page_width")))
-    sides = words.groupBy(*page).agg(F.count_if(body).alias("n"), left.alias("l"), right.alias("r"))
-    least, most = F.least("l", "r"), F.greatest("l", "r")
-    enough = least >= F.greatest(F.lit(LEAST_SIDE), F.floor(F.col("n") * LEAST_SHARE))
-    return sides.select(*page, ((F.col("n") >= LEAST_WORDS) & enough & (least >= BALANCE * most)).alias("two_column"))
-
-
-def lines_of(words: DataFrame, by: Sequence[str], tolerance: float) -> DataFrame:
-    """by and text of words (by, text, x0, top): words whose tops follow each other within the tolerance are a line, read
-    by x0; lines are joined by line ends, from the top down."""
-    w = Window.partitionBy(*by).orderBy("top", "x0", "text")
-    begins = F.coalesce((F.col("top") - F.lag("top").over(w) > tolerance).cast("int"), F.lit(1))
-    placed = words.withColumn("_begins", begins).withColumn("_line", F.sum("_begins").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    lines = placed.groupBy(*by, "_line").agg(F.array_sort(F.collect_list(F.struct("x0", "top", "text"))).alias("_words"))
-    lines = lines.select(*by, F.struct("_line", F.array_join(F.transform("_words", lambda x: x["text"]), " ").alias("text")).alias("_text"))
-    return lines.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list("_text")), lambda x: x["text"]), "\n").alias("text"))
+def lines_of(words: Column, tolerance: float) -> Column:
+    """Text of a page's or side's words (array<struct<top, x0, text, ...>>, in that order): words whose tops follow each
+    other within the tolerance are a line, read by x0; lines are joined by line ends, from the top down."""
+    begins = lambda w, i: (i == 0) | F.coalesce(w[i]["top"] - F.get(w, i - 1)["top"] > tolerance, F.lit(True))
+    starts = lambda w: F.filter(F.transform(w, lambda _, i: F.when(begins(w, i), i)), lambda i: i.isNotNull())
+    line = lambda ws: F.array_join(F.transform(F.array_sort(F.transform(ws, lambda w: F.struct(w["x0"], w["top"], w["text"]))), lambda w: w["text"]), " ")
+    cut = lambda w, at: F.transform(at, lambda i, k: line(F.slice(w, i + 1, F.coalesce(F.get(at, k + 1), F.size(w)) - i)))
+    return F.array_join(t.bound(words, lambda w: t.bound(starts(w), lambda at: cut(w, at))), "\n")
 
 
 def page_texts(words: DataFrame, page: Sequence[str], layout: str = "auto", tolerance: float = 3.0) -> DataFrame:
@@ -45,18 +33,29 @@ def page_texts(words: DataFrame, page: Sequence[str], layout: str = "auto", tole
     layout `single` reads all pages across, `two_column` reads each page's left and then its right half, `auto` those
     that look so. A word belongs to the half that holds its middle; halves leave out the page's upper and lower margin.
     Where the columns give too little text (80 characters, 40 %), the page is read across after all. Blank words and
-    pages without any are left out; all work is within a page, so no group is larger than one.
+    pages without any are left out. Words are gathered and sorted once a page, and arrays do the rest: no group is larger
+    than a page.
     """
     page = list(page)
     words = words.filter(t.strip(F.col("text")) != "")
-    across = lines_of(words.select(*page, "text", "x0", "top"), page, tolerance).withColumnRenamed("text", "_across")
-    if layout == "single":
-        return across.select(*page, F.lit(False).alias("two_column"), F.col("_across").alias("text"))
+    if layout != "single":
+        words = words.dropna(subset=page)
     inside = (F.col("bottom") > COLUMNS[0] * F.col("page_height")) & (F.col("top") < COLUMNS[1] * F.col("page_height"))
-    side = (F.col("x0") + F.col("x1") > F.col("page_width")).cast("int")
-    columns = lines_of(words.filter(inside).select(*page, side.alias("_side"), "text", "x0", "top"), [*page, "_side"], tolerance)
-    both = columns.groupBy(*page).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_side", "text"))), lambda x: x["text"]), "\n\n").alias("_columns"))
-    out = across.join(both, page, "left").join(two_column_pages(words, page), page)
-    asked: Column = F.lit(True) if layout == "two_column" else F.col("two_column")
-    enough = F.coalesce(F.char_length("_columns"), F.lit(0)) >= F.greatest(F.lit(LEAST_CHARS), F.floor(F.char_length("_across") * LEAST_KEPT))
-    return out.select(*page, (asked & enough).alias("two_column"), F.when(asked & enough, F.col("_columns")).otherwise(F.col("_across")).alias("text"))
+    side = F.coalesce((F.col("x0") + F.col("x1") > F.col("page_width")).cast("int"), F.lit(-1))
+    body = F.col("top").between(BODY[0] * F.col("page_height"), BODY[1] * F.col("page_height"))
+    left = F.count_if(body & (F.col("x0") < SIDES[0] * F.col("page_width")))
+    right = F.count_if(body & (F.col("x1") > SIDES[1] * F.col("page_width")))
+    item = F.struct("top", "x0", "text", F.when(inside, side).alias("side"))
+    pages = words.groupBy(*page).agg(F.sort_array(F.collect_list(item)).alias("_words"), F.count_if(body).alias("n"), left.alias("l"), right.alias("r"))
+    pages = pages.select(*page, "_words", lines_of(F.col("_words"), tolerance).alias("_across"), "n", "l", "r")
+    if layout == "single":
+        return pages.select(*page, F.lit(False).alias("two_column"), F.col("_across").alias("text"))
+    half = lambda s: F.filter("_words", lambda w: w["side"] == s)
+    sides = F.filter(F.array(half(-1), half(0), half(1)), lambda ws: F.size(ws) > 0)  # -1: a box without a place, before all
+    columns = F.array_join(F.transform(sides, lambda ws: lines_of(ws, tolerance)), "\n\n")
+    least, most = F.least("l", "r"), F.greatest("l", "r")
+    looks = (F.col("n") >= LEAST_WORDS) & (least >= F.greatest(F.lit(LEAST_SIDE), F.floor(F.col("n") * LEAST_SHARE))) & (least >= BALANCE * most)
+    # Only pages that are to be read in columns are: the others' columns aren't made.
+    out = pages.select(*page, "_across", F.when(F.lit(True) if layout == "two_column" else looks, columns).alias("_columns"))
+    out = out.select(*page, "_across", F.when(F.char_length("_columns") >= F.greatest(F.lit(LEAST_CHARS), F.floor(F.char_length("_across") * LEAST_KEPT)), F.col("_columns")).alias("_columns"))
+    return out.select(*page, F.col("_columns").isNotNull().alias("two_column"), F.coalesce("_columns", "_across").alias("text"))

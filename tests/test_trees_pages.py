@@ -130,6 +130,14 @@ def test_pages_of_one_and_two_columns(spark):
     assert forced[3] == (True, "\n".join(left * 2)) and not forced[2][0]  # under 80 characters: read across
 
 
+def test_words_of_pages_are_shuffled_once(spark):
+    words = spark.createDataFrame([(1, "b", 30.0, 40.0, 71.0, 80.0, 600.0, 800.0), (1, "a", 10.0, 20.0, 73.0, 80.0, 600.0, 800.0), (1, "c", 5.0, 9.0, 77.0, 90.0, 600.0, 800.0)], BOX)
+    made = pagetext.page_texts(words, ["page_num"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Window" not in plan and "Join" not in plan
+    assert [tuple(r) for r in made.collect()] == [(1, False, "a b\nc")]
+
+
 def test_no_pages(spark):
     assert pagetext.page_texts(spark.createDataFrame([], BOX), ["page_num"]).count() == 0
 
