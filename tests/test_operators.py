@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from retort import registry, schemas
 from retort.functions import metrics as m
-from retort.operators import canon, dedupe, filters, questions, reports, resolve, sections
+from retort.operators import canon, dedupe, filters, graph, questions, reports, resolve, sections
 
 
 def reactions(spark, *bodies):
@@ -132,6 +132,33 @@ def test_candidates_go_out_where_they_meet(spark):
     assert found(rows, others)[1] == expected(rows, others)
 
 
+def test_pairs_of_parts_and_blocks_are_all_pairs(spark, monkeypatch):
+    rows = [(i, "p", "abc"[i % 3], "xy"[i % 2]) for i in range(30)] + [(None, "p", "a", "x"), (1, "p", "a", "y")]
+    others = [(100 + i, "p", "abd"[i % 3], "xz"[i % 2]) for i in range(20)] + [(None, "p", "d", "x")]
+    best = {}
+    for i, _, k, x in rows:
+        for o, _, m, y in others:
+            if k == m or x == y:
+                best[i, o] = min(0 if k == m else 1, best.get((i, o), 1))
+    schema = "i int, s string, k string, l string"
+    a, b = spark.createDataFrame(rows, schema), spark.createDataFrame(others, schema).withColumnRenamed("i", "o")
+    for pairs, least, ids in ((10**6, 1000, 500), (5, 2, 3)):
+        for name, value in (("PART_PAIRS", pairs), ("PART_ROWS", least), ("BLOCK_IDS", ids)):
+            monkeypatch.setattr(resolve, name, value)
+        got = [(r.i, r.o, r.method) for r in resolve.first_key_pairs(a, b, ["s"], ["k", "l"], "i", "o").collect()]
+        assert sorted(got, key=str) == sorted(((i, o, "kl"[r]) for (i, o), r in best.items()), key=str)
+
+
+def test_pairs_of_systematic_names_are_not_gathered(spark):
+    schema = "entity_id string, source_paper string, field string, name string, iupac string, smiles string, symbol string, token string"
+    side = lambda x: spark.createDataFrame([(f"{x}{i}", "p", "products", f"n{i % 2}", f"n{i % 2}" if i < 4 else "", "", f"{x}{i}", "") for i in range(6)], schema)
+    found = graph.align(side("t"), side("i"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not [line for line in plan if "Aggregate [" in line and "image_id" in line]
+    got = sorted((r.text_id, r.image_id) for r in found.filter("relationship = 'SAME_AS'").collect())
+    assert got == sorted((f"t{i}", f"i{j}") for i in range(4) for j in range(4) if i % 2 == j % 2)
+
+
 def test_bands_of_large_balances_are_written_as_in_sql(spark, tmp_path):
     c = duckdb.connect()
     c.execute("CREATE TABLE customer AS SELECT i AS c_custkey, 1 AS c_nationkey, b AS c_acctbal FROM (VALUES (1, 2e9), (2, -50.0), (3, 123456789012.5), (4, NULL), (5, 0.0), (5, 0.0)) t(i, b)")
